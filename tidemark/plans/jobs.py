@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
-from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -26,8 +25,6 @@ from tidemark.sources.warehouse import Commit, Warehouse
 
 logger = logging.getLogger(__name__)
 
-_Result = TypeVar("_Result")
-
 
 class StageError(RuntimeError):
     """A pipeline stage failed; ``stage`` is one of the seven stage names."""
@@ -37,14 +34,6 @@ class StageError(RuntimeError):
         self.stage = stage
 
 
-def _together(tasks: Iterable[Callable[[], _Result]]) -> list[_Result]:
-    """Run independent Spark jobs at the same time; the first error is raised."""
-    tasks = list(tasks)
-    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
-        running = [pool.submit(inheritable_thread_target(task)) for task in tasks]
-        return [job.result() for job in running]
-
-
 class Pipeline:
     """The medallion jobs. Each call publishes one commit or leaves everything as it was."""
 
@@ -59,6 +48,13 @@ class Pipeline:
         self.rules = rules
         self.secrets = secrets
 
+    def _together(self, *tasks: Callable[[], None]) -> None:
+        """Run independent Spark jobs at the same time; the first error is raised."""
+        inherit = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            for job in [pool.submit(inherit(task)) for task in tasks]:
+                job.result()
+
     # --- Stages ------------------------------------------------------------------
 
     @contextmanager
@@ -195,23 +191,19 @@ class Pipeline:
             commit.append(spec.name, rows, spread_by_partition=True)
             written = commit.written(spec.name)
             self._append_load(commit, schemas.SILVER_LOADS.name, written)
-            _together(
-                [
-                    lambda: self._require_none(
-                        quality.null_counts(written, spec.required).filter("null_count > 0"),
-                        f"{spec.name} has nulls",
-                    ),
-                    lambda: self._require_none(
-                        quality.duplicate_keys(written, list(spec.unique[0])),
-                        f"{spec.name} has duplicate keys",
-                    ),
-                    lambda: self._require_none(
-                        quality.duplicate_keys(
-                            commit.staged(schemas.SILVER_LOADS.name), ["run_id"]
-                        ),
-                        f"{spec.name} already has the run, or it has several extraction times",
-                    ),
-                ]
+            self._together(
+                lambda: self._require_none(
+                    quality.null_counts(written, spec.required).filter("null_count > 0"),
+                    f"{spec.name} has nulls",
+                ),
+                lambda: self._require_none(
+                    quality.duplicate_keys(written, list(spec.unique[0])),
+                    f"{spec.name} has duplicate keys",
+                ),
+                lambda: self._require_none(
+                    quality.duplicate_keys(commit.staged(schemas.SILVER_LOADS.name), ["run_id"]),
+                    f"{spec.name} already has the run, or it has several extraction times",
+                ),
             )
 
     def _append_load(self, commit: Commit, name: str, rows: DataFrame) -> None:
@@ -237,17 +229,15 @@ class Pipeline:
             return False
         pending = standardise_times(ledger.pending_silver(silver, runs))
         with self._stage("gold_transform"):
-            _together(
-                [
-                    lambda: self._require_none(
-                        ledger.mixed_extraction_runs(pending),
-                        "Silver run contains multiple extraction timestamps",
-                    ),
-                    lambda: self._require_none(
-                        facts.grain_violations(pending),
-                        "Gold submission snapshots must be unique by issue_id and extracted_at",
-                    ),
-                ]
+            self._together(
+                lambda: self._require_none(
+                    ledger.mixed_extraction_runs(pending),
+                    "Silver run contains multiple extraction timestamps",
+                ),
+                lambda: self._require_none(
+                    facts.grain_violations(pending),
+                    "Gold submission snapshots must be unique by issue_id and extracted_at",
+                ),
             )
         with self.warehouse.begin() as commit:
             with self._stage("gold_transform"):
@@ -270,11 +260,11 @@ class Pipeline:
 
     def _build_gold(self, commit: Commit, pending: DataFrame) -> DataFrame:
         """Upsert the dimensions, resolve keys against them, number the snapshots."""
-        _together(
-            [
+        self._together(
+            *(
                 lambda spec=spec: self._upsert_dimension(commit, spec, pending)
                 for spec in schemas.DIMENSIONS.values()
-            ]
+            )
         )
         current = {
             name: commit.staged(spec.table.name) for name, spec in schemas.DIMENSIONS.items()
@@ -290,14 +280,10 @@ class Pipeline:
 
     def _load_gold(self, commit: Commit, numbered: DataFrame) -> None:
         reviewers = commit.staged(schemas.DIM_REVIEWER.table.name)
-        _together(
-            [
-                lambda: commit.append(schemas.FACT.name, facts.fact_rows(numbered)),
-                lambda: commit.append(
-                    schemas.BRIDGE.name, facts.bridge_rows(numbered, reviewers)
-                ),
-                lambda: self._append_load(commit, schemas.GOLD_LOADS.name, numbered),
-            ]
+        self._together(
+            lambda: commit.append(schemas.FACT.name, facts.fact_rows(numbered)),
+            lambda: commit.append(schemas.BRIDGE.name, facts.bridge_rows(numbered, reviewers)),
+            lambda: self._append_load(commit, schemas.GOLD_LOADS.name, numbered),
         )
 
     # --- Whole run and metrics -----------------------------------------------------------

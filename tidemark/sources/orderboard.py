@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -41,18 +41,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def snapshot_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders once per snapshot in which they exist, without a join."""
-    ordered_at = F.col("o_orderdate").cast("timestamp")
+def _snapshots_since(ordered_at: Column) -> Column:
+    """The snapshots in which an order placed at this time exists."""
     taken = F.array(*(F.lit(at) for at in SNAPSHOTS))
-    return table(spark, folder, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_orderpriority",
-        ordered_at.alias("created_at"),
-        F.explode(F.filter(taken, lambda at: at >= ordered_at)).alias("extracted_at"),
-    )
+    return F.filter(taken, lambda at: at >= ordered_at)
 
 
 def shipped_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,10 +74,14 @@ def shipped_items(spark: SparkSession, folder: str) -> DataFrame:
 def board_submissions(spark: SparkSession, folder: str) -> DataFrame:
     """Submissions in silver columns before measures, plus ``o_orderkey``."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    orders = table(spark, folder, "orders").withColumn(
+        "created_at", F.col("o_orderdate").cast("timestamp")
+    )
+    # Orders are joined once and only then repeated per snapshot.
     rows = (
-        snapshot_orders(spark, folder)
-        .join(shipped_items(spark, folder), "o_orderkey", "left")
+        orders.join(shipped_items(spark, folder), "o_orderkey", "left")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .withColumn("extracted_at", F.explode(_snapshots_since(F.col("created_at"))))
     )
     known = F.create_map(*(F.lit(x) for pair in STATUS_BY_PRIORITY.items() for x in pair))
     mystery = F.when(F.col("o_orderkey") % 2 == 0, "Mystery")
@@ -175,7 +171,13 @@ def board_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     # One row per snapshot, of which there are three.
     last_pages = (
-        snapshot_orders(spark, folder)
+        table(spark, folder, "orders")
+        .select(
+            "o_orderkey",
+            F.explode(_snapshots_since(F.col("o_orderdate").cast("timestamp"))).alias(
+                "extracted_at"
+            ),
+        )
         .groupBy("extracted_at")
         .agg(F.max(block + 1).alias("last_page"))
     )

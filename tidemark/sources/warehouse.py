@@ -2,8 +2,8 @@
 
 Layout below ``root``::
 
-    data/<table>/<commit id>/...          parquet, written once, never changed
-    manifests/version=<n>/...             which folders make up each table
+    data/<table>/commit=<id>/...     parquet, written once, never changed
+    manifests/version=<n>/...        which commits make up each table
 
 A commit writes any number of data folders and then one manifest. Readers resolve
 tables only through the newest manifest, so all tables of a commit appear together and
@@ -12,6 +12,7 @@ a failed run leaves nothing but unreferenced folders. One writer at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.schemas import TABLES, TableSpec
 from tidemark.operators.quality import require_columns
 
-_MANIFEST_SCHEMA = "table string, position int, folder string, next_key long, version long"
+_MANIFEST_SCHEMA = "table string, position int, commit string, next_key long"
 
 
 class Warehouse:
@@ -38,49 +39,53 @@ class Warehouse:
         return self._newest().version
 
     def _newest(self) -> "Manifest":
-        # One manifest holds one row per load and table. Only the newest is read in
-        # full: the version column is a folder name.
+        folder = f"{self.root}/manifests"
         try:
-            manifests = self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{self.root}/manifests")
+            # Listing the files runs no job; a manifest that was not finished has none.
+            files = self.spark.read.schema(_MANIFEST_SCHEMA).json(folder).inputFiles()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
+            files = []
+        versions = [int(re.search(r"/version=(\d+)/", file).group(1)) for file in files]
+        if not versions:
             return Manifest(0, {}, {})
-        newest = manifests.agg(F.max("version").alias("version"))
-        rows = (
-            manifests.filter(F.col("version") == newest.scalar())
-            .orderBy("table", "position")
-            .collect()
+        newest = self.spark.read.schema(_MANIFEST_SCHEMA).json(
+            f"{folder}/version={max(versions)}"
         )
-        folders: dict[str, list[str]] = {}
-        for row in rows:
-            folders.setdefault(row["table"], []).append(row["folder"])
-        counters = {r["table"]: r["next_key"] for r in rows if r["next_key"] is not None}
-        return Manifest(rows[0]["version"] if rows else 0, folders, counters)
+        commits: dict[str, list[str]] = {}
+        counters: dict[str, int] = {}
+        for row in sorted(newest.collect(), key=lambda row: row["position"]):
+            commits.setdefault(row["table"], []).append(row["commit"])
+            if row["next_key"] is not None:
+                counters[row["table"]] = row["next_key"]
+        return Manifest(max(versions), commits, counters)
 
     def read(self, name: str) -> DataFrame:
         """The table as of the newest manifest; empty when nothing was published."""
-        return self._frame(name, self._newest().folders.get(name, []))
+        return self._frame(name, self._newest().commits.get(name, []))
 
     def read_all(self, *names: str) -> dict[str, DataFrame]:
         """Several tables as of one and the same manifest."""
-        folders = self._newest().folders
-        return {name: self._frame(name, folders.get(name, [])) for name in names}
+        commits = self._newest().commits
+        return {name: self._frame(name, commits.get(name, [])) for name in names}
 
-    def _frame(self, name: str, folders: list[str]) -> DataFrame:
+    def _frame(self, name: str, commits: list[str]) -> DataFrame:
         spec = self.tables[name]
-        if not folders:
+        if not commits:
             return self.spark.createDataFrame([], spec.schema)
-        paths = [f"{self.root}/data/{folder}" for folder in folders]
-        return self.spark.read.schema(spec.schema).parquet(*paths).select(*spec.columns)
+        # The commit is a partition folder, so one scan covers the folders of all commits.
+        reader = self.spark.read.schema(spec.schema).option("basePath", f"{self.root}/data/{name}")
+        paths = [f"{self.root}/data/{name}/commit={commit}" for commit in commits]
+        return reader.parquet(*paths).select(*spec.columns)
 
     def create_tables(self) -> None:
         """Publish an empty version of every table that has none yet (idempotent)."""
-        if set(self._newest().folders) >= set(self.tables):
+        if set(self._newest().commits) >= set(self.tables):
             return
         with self.begin() as commit:
             for name, spec in self.tables.items():
-                if name not in commit.folders:
+                if name not in commit.commits:
                     commit.replace(name, self.spark.createDataFrame([], spec.schema))
 
     def begin(self) -> "Commit":
@@ -90,7 +95,7 @@ class Warehouse:
 @dataclass(frozen=True)
 class Manifest:
     version: int
-    folders: dict[str, list[str]]
+    commits: dict[str, list[str]]
     #: Next surrogate key of tables that only ever grow, so that loading a batch need
     #: not read the keys already given out.
     counters: dict[str, int]
@@ -103,7 +108,7 @@ class Commit:
         self.warehouse = warehouse
         newest = warehouse._newest()
         self.version = newest.version + 1
-        self.folders = {name: list(paths) for name, paths in newest.folders.items()}
+        self.commits = {name: list(ids) for name, ids in newest.commits.items()}
         self.counters = dict(newest.counters)
         self.commit_id = f"{self.version:06d}-{uuid.uuid4().hex[:12]}"
 
@@ -120,16 +125,16 @@ class Commit:
         ``spread_by_partition`` gathers the rows of a partition folder into few files
         first, splitting large folders; leave it off for rows already in that order.
         """
-        folder = self._write(name, frame, spread_by_partition)
-        self.folders.setdefault(name, []).append(folder)
+        commit = self._write(name, frame, spread_by_partition)
+        self.commits.setdefault(name, []).append(commit)
 
     def replace(self, name: str, frame: DataFrame) -> None:
         """Write a whole new version of a table."""
-        self.folders[name] = [self._write(name, frame)]
+        self.commits[name] = [self._write(name, frame)]
 
     def written(self, name: str) -> DataFrame:
         """Only the rows this commit added to the table."""
-        return self.warehouse._frame(name, self.folders[name][-1:])
+        return self.warehouse._frame(name, self.commits[name][-1:])
 
     def counter(self, name: str) -> int:
         """Next unused surrogate key of a growing table."""
@@ -140,12 +145,11 @@ class Commit:
 
     def staged(self, name: str) -> DataFrame:
         """A table as this commit will publish it."""
-        return self.warehouse._frame(name, self.folders.get(name, []))
+        return self.warehouse._frame(name, self.commits.get(name, []))
 
     def _write(self, name: str, frame: DataFrame, spread_by_partition: bool = False) -> str:
         spec = self.warehouse.tables[name]
         require_columns(frame, spec.columns, f"DataFrame does not match {name} schema")
-        folder = f"{name}/{self.commit_id}"
         typed = frame.select(
             *(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields)
         )
@@ -154,18 +158,16 @@ class Commit:
         writer = typed.write.mode("errorifexists")
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(f"{self.warehouse.root}/data/{folder}")
-        return folder
+        writer.parquet(f"{self.warehouse.root}/data/{name}/commit={self.commit_id}")
+        return self.commit_id
 
     def publish(self) -> None:
         rows = [
-            (name, position, folder, self.counters.get(name))
-            for name, folders in self.folders.items()
-            for position, folder in enumerate(folders)
+            (name, position, commit, self.counters.get(name))
+            for name, commits in self.commits.items()
+            for position, commit in enumerate(commits)
         ]
-        manifest = self.warehouse.spark.createDataFrame(
-            rows, "table string, position int, folder string, next_key long"
-        )
+        manifest = self.warehouse.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
         manifest.coalesce(1).write.mode("errorifexists").json(
             f"{self.warehouse.root}/manifests/version={self.version}"
         )
