@@ -43,10 +43,16 @@ def label_members(silver: DataFrame, natural_key: str) -> DataFrame:
 
 
 def issue_members(silver: DataFrame) -> DataFrame:
-    """Issues with the attributes of their latest extraction in the batch."""
+    """Issues with the attributes of their latest extraction in the batch.
+
+    An issue has at most one row per run, so there is little to combine before the
+    shuffle; partitioning first saves the sort a map-side aggregate would need.
+    """
     attributes = F.struct(*DIM_ISSUE.attributes)
     return (
         silver.filter(F.col("issue_id").isNotNull())
+        .select("issue_id", *DIM_ISSUE.attributes, "extracted_at", "run_id")
+        .repartition("issue_id")
         .groupBy("issue_id")
         .agg(
             F.max_by(attributes, _extraction()).alias("latest"),

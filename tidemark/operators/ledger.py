@@ -188,6 +188,23 @@ def gold_guards(rows: DataFrame, gold_loads: DataFrame) -> DataFrame:
     )
 
 
+def runs_sharing_a_time(runs: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Runs, pending or loaded, whose extraction time a pending run shares with another.
+
+    Only they can hold two snapshots of one submission at one time, since the rows of a
+    run are unique per submission; usually there are none.
+    """
+    every = runs.select("run_id", "extracted_at", F.lit(True).alias("is_pending")).unionByName(
+        loaded.select("run_id", "extracted_at", F.lit(False).alias("is_pending"))
+    )
+    shared = (
+        every.groupBy("extracted_at")
+        .agg(F.count("*").alias("n"), F.bool_or("is_pending").alias("concerns_pending"))
+        .filter((F.col("n") > 1) & F.col("concerns_pending"))
+    )
+    return every.join(shared, "extracted_at", "left_semi").select("run_id", "extracted_at")
+
+
 def load_rows(runs: DataFrame) -> DataFrame:
     """Silver or gold ledger rows for runs just loaded."""
     return runs.select("run_id", "extracted_at", F.current_timestamp().alias("loaded_at"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -17,7 +17,7 @@ from tidemark.functions.text import redact
 from tidemark.operators import dimensions, facts, ledger, quality
 from tidemark.operators.silver import standardise_times, to_silver
 from tidemark.operators.snapshots import Mart
-from tidemark.plans.metrics import validated_metrics
+from tidemark.plans.metrics import metric_frames
 from tidemark.schemas import BoardRules
 from tidemark.session import prepare, scratch_path
 from tidemark.sources import landing
@@ -229,16 +229,17 @@ class Pipeline:
             return False
         pending = standardise_times(ledger.pending_silver(silver, runs))
         with self._stage("gold_transform"):
-            self._together(
-                lambda: self._require_none(
-                    ledger.mixed_extraction_runs(pending),
-                    "Silver run contains multiple extraction timestamps",
-                ),
-                lambda: self._require_none(
-                    facts.grain_violations(pending),
-                    "Gold submission snapshots must be unique by issue_id and extracted_at",
-                ),
+            # Checked on the run list: a run has one ledger row per extraction time.
+            self._require_none(
+                quality.duplicate_keys(runs, ["run_id"]),
+                "Silver run contains multiple extraction timestamps",
             )
+            shared = ledger.runs_sharing_a_time(runs, gold_loads)
+            if not shared.isEmpty():
+                self._require_none(
+                    facts.grain_violations(ledger.restrict_to_runs(silver, shared)),
+                    "Gold submission snapshots must be unique by issue_id and extracted_at",
+                )
         with self.warehouse.begin() as commit:
             with self._stage("gold_transform"):
                 numbered = self._build_gold(commit, pending)
@@ -296,6 +297,14 @@ class Pipeline:
         return Mart.open(self.warehouse, self.rules.zone)
 
     def build_datasets(self, folder: str) -> None:
-        """Validate the five metric datasets and write each below ``folder``."""
-        for name, frame in validated_metrics(Mart.open(self.warehouse, self.rules.zone)).items():
-            frame.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        """Write the five metric datasets of the current mart below ``folder``."""
+        write_datasets(metric_frames(Mart.open(self.warehouse, self.rules.zone)), folder)
+
+
+def write_datasets(frames: Mapping[str, DataFrame], folder: str) -> None:
+    """Validate the five metric datasets, from the mart or from CSV, then write them.
+
+    Nothing is written unless all of them are valid.
+    """
+    for name, frame in quality.validate_datasets(frames).items():
+        frame.write.mode("errorifexists").parquet(f"{folder}/{name}")

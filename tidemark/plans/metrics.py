@@ -258,5 +258,6 @@ def validated_metric(mart: Mart, name: str) -> DataFrame:
     return validate_dataset(metric(mart, name), schemas.CONTRACTS[name])
 
 
-def validated_metrics(mart: Mart) -> dict[str, DataFrame]:
-    return {name: validated_metric(mart, name) for name in schemas.CONTRACTS}
+def metric_frames(mart: Mart) -> dict[str, DataFrame]:
+    """All metric datasets, before validation."""
+    return {name: metric(mart, name) for name in schemas.CONTRACTS}

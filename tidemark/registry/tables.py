@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.operators.snapshots import Mart
 from tidemark.plans.jobs import Pipeline
 from tidemark.session import prepare, scratch_path
-from tidemark.sources import landing, orderboard
+from tidemark.sources import orderboard
 from tidemark.sources.warehouse import Warehouse
 
 _built: dict[tuple[str, str, str], str] = {}
@@ -48,8 +48,8 @@ def landed_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
     def build(pipeline: Pipeline) -> None:
         path = scratch_path(spark, "landed")
-        orderboard.board_pages(spark, folder).write.json(path)
-        pipeline.run(landing.scan_landed_pages(spark, path))
+        orderboard.board_pages(spark, folder).write.parquet(path)
+        pipeline.run(spark.read.parquet(path))
 
     return _once(spark, folder, "landed-run", build)
 

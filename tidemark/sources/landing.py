@@ -33,17 +33,26 @@ def scan_payload_documents(
 
     The three metadata columns may be literals or derived from ``source_file``.
     """
-    documents = spark.read.text(path, wholetext=True).select(
-        F.col("value").alias("document"), F.col("_metadata.file_path").alias("source_file")
+    files = spark.read.text(path, wholetext=True)
+    return explode_documents(stamp_documents(files, run_id, attempt_number, extracted_at))
+
+
+def stamp_documents(
+    files: DataFrame, run_id: Column, attempt_number: Column, extracted_at: Column
+) -> DataFrame:
+    """Whole-text files, read at once or as a stream, with their run metadata."""
+    documents = files.select(
+        F.col("value").alias("document"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
     )
-    stamped = documents.withColumns(
+    return documents.withColumns(
         {
             "run_id": run_id,
             "attempt_number": attempt_number.cast("int"),
             "extracted_at": extracted_at.cast("timestamp"),
         }
     )
-    return explode_documents(stamped)
 
 
 def explode_documents(documents: DataFrame, document: str = "document") -> DataFrame:
