@@ -99,11 +99,9 @@ class Pipeline:
         with self.warehouse.begin() as commit:
             with self._stage("extraction"):
                 fresh = ledger.new_attempts(landed, attempts)
-                checked = landing.page_checks(fresh, owner_type)
-                verdicts = self._attempt_verdicts(checked)
-                verdict_path = scratch_path(self.spark, "verdicts")
-                verdicts.write.parquet(verdict_path)
-                verdicts = self.spark.read.parquet(verdict_path)
+                # Each body is parsed once; what is kept of it is a few short columns.
+                checked = self._keep(landing.page_checks(fresh, owner_type).drop("body"))
+                verdicts = self._keep(self._attempt_verdicts(checked))
             with self._stage("bronze_transform"):
                 good = verdicts.filter(F.col("problem").isNull())
                 failures = verdicts.filter(F.col("problem").isNotNull()).select(
@@ -124,6 +122,12 @@ class Pipeline:
                 commit.append(schemas.RAW_EXTRACTIONS.name, pages)
                 commit.append(schemas.PIPELINE_ATTEMPTS.name, outcomes)
 
+    def _keep(self, frame: DataFrame) -> DataFrame:
+        """Write an intermediate result to the shared scratch folder and read it back."""
+        path = scratch_path(self.spark, "kept")
+        frame.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def _attempt_verdicts(self, checked: DataFrame) -> DataFrame:
         """Per attempt: the problem of its first bad page, or null."""
         chained = landing.cursor_chain(checked, ledger.ATTEMPT)
@@ -181,14 +185,18 @@ class Pipeline:
             return False
         with self._stage("silver_transform"):
             rows = to_silver(ledger.extractions_of(pages, pending), self.rules)
-        self.load_silver(rows)
+        self.load_silver(rows, several_runs=pending.limit(2).count() > 1)
         return True
 
-    def load_silver(self, rows: DataFrame) -> None:
-        """Append silver rows after the column, null and key checks."""
+    def load_silver(self, rows: DataFrame, several_runs: bool = True) -> None:
+        """Append silver rows after the column, null and key checks.
+
+        Rows of a single run go into one folder as they are; those of several runs are
+        gathered per run first, or every task would write a file to every folder.
+        """
         spec = schemas.SILVER
         with self.warehouse.begin() as commit, self._stage("silver_load"):
-            commit.append(spec.name, rows, spread_by_partition=True)
+            commit.append(spec.name, rows, spread_by_partition=several_runs)
             written = commit.written(spec.name)
             self._append_load(commit, schemas.SILVER_LOADS.name, written)
             self._together(

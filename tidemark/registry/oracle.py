@@ -151,6 +151,8 @@ bridge AS (
     JOIN dim_reviewer r ON r.reviewer = a.reviewer
 )"""
 
+_KNOWN = "['Unchecked/Unassigned', 'In review', 'Needs Improvement', 'Passed']"
+
 _METRICS = f""",
 latest AS (
     SELECT * FROM fact WHERE extracted_at = (SELECT max(extracted_at) FROM fact)
@@ -175,37 +177,33 @@ names AS (
     FROM bridge GROUP BY submission_snapshot_key
 ),
 judged AS (
-    SELECT c.*, n.names, coalesce(n.n, 0) AS n, e.expected, e.final,
-           c.status IS NULL OR c.status NOT IN ('Unchecked/Unassigned', 'In review',
-               'Needs Improvement', 'Passed') AS is_unknown,
-           upper(c.state) = 'CLOSED' AND c.status <> 'Passed' AS is_contradiction
+    SELECT c.*, n.names, e.expected,
+           CASE WHEN c.status IS NULL OR NOT list_contains({_KNOWN}, c.status) THEN 1
+                WHEN c.status <> 'Passed' AND upper(c.state) = 'CLOSED' THEN 2
+                WHEN c.status = 'Passed' THEN if(c.milestone_number < e.final, 7, 8)
+                WHEN c.status = 'Needs Improvement' THEN 6
+                WHEN c.status = 'In review' THEN 5
+                ELSE if(coalesce(n.n, 0) = 0, 3, 4) END AS situation
     FROM current c LEFT JOIN names n USING (submission_snapshot_key), expected e
 ),
+steps(situation, next_actor, next_action, sort_priority) AS (
+    VALUES (1, 'Program admin', 'Verify submission status', 0),
+           (2, 'Program admin', 'Verify or reopen unresolved issue', 0),
+           (3, 'Program admin', 'Assign a reviewer', 1),
+           (4, 'Reviewer', 'Start review', 1),
+           (5, 'Reviewer', 'Complete review', 1),
+           (6, 'Builder', 'Revise and resubmit', 1),
+           (7, 'Builder', 'Begin next milestone', 2),
+           (8, 'None', 'Program complete', 3)
+),
 classified AS (
     SELECT issue_author AS builder, milestone AS current_milestone,
            coalesce(status, 'Unknown') AS status,
-           CASE WHEN milestone_number >= expected - 1 THEN 'On track' ELSE 'Delayed' END
-               AS schedule_status,
+           if(milestone_number >= expected - 1, 'On track', 'Delayed') AS schedule_status,
            coalesce(names, 'Unassigned') AS reviewer, state AS issue_state,
            submission_age_days, days_since_update, issue_url,
-           CASE WHEN is_unknown OR is_contradiction THEN 'Program admin'
-                WHEN status = 'Unchecked/Unassigned' AND n = 0 THEN 'Program admin'
-                WHEN status IN ('Unchecked/Unassigned', 'In review') THEN 'Reviewer'
-                WHEN status = 'Needs Improvement' THEN 'Builder'
-                WHEN milestone_number < final THEN 'Builder'
-                ELSE 'None' END AS next_actor,
-           CASE WHEN is_unknown THEN 'Verify submission status'
-                WHEN is_contradiction THEN 'Verify or reopen unresolved issue'
-                WHEN status = 'Unchecked/Unassigned' AND n = 0 THEN 'Assign a reviewer'
-                WHEN status = 'Unchecked/Unassigned' THEN 'Start review'
-                WHEN status = 'In review' THEN 'Complete review'
-                WHEN status = 'Needs Improvement' THEN 'Revise and resubmit'
-                WHEN milestone_number < final THEN 'Begin next milestone'
-                ELSE 'Program complete' END AS next_action,
-           CASE WHEN is_unknown OR is_contradiction THEN 0
-                WHEN status <> 'Passed' THEN 1
-                WHEN milestone_number < final THEN 2 ELSE 3 END AS sort_priority
-    FROM judged
+           next_actor, next_action, sort_priority
+    FROM judged JOIN steps USING (situation)
 ),
 distribution AS (
     SELECT m.milestone, x.status, count(l.submission_snapshot_key) AS submission_count
