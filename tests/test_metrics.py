@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -132,6 +134,29 @@ def test_current_submission_tie_breaks(spark):
     assert current_submissions(mart_of(spark, rows)).first()["issue_key"] == 9
 
 
+def test_one_builder_with_a_third_of_all_submissions(spark):
+    rng = random.Random(7)
+    rows = []
+    for key in range(1, 1501):
+        builder = "hot" if key % 3 == 0 else f"b{rng.randrange(40)}"
+        rows.append((key, rng.randrange(10**6), builder, rng.randrange(7), rng.choice(STATUSES), "OPEN", 1, LATEST))
+    rows = list({row[1]: row for row in rows}.values())
+    assigned = [(row[0], name) for row in rows for name in ("alpha", "zeta") if rng.random() < 0.5]
+    mart = mart_of(spark, rows, assigned)
+    best = {}
+    for row in rows:
+        if row[2] not in best or (row[3], row[1]) > (best[row[2]][3], best[row[2]][1]):
+            best[row[2]] = row
+    found = {r["builder"]: r["submission_snapshot_key"] for r in current_submissions(mart).collect()}
+    assert found == {builder: row[0] for builder, row in best.items()}
+
+    expected = Counter()
+    for row in best.values():
+        if row[4] != "Passed":
+            expected.update([n for k, n in assigned if k == row[0]] or ["Unassigned"])
+    assert {r[0]: r[1] for r in metrics.reviewer_workload(mart).collect()} == dict(expected)
+
+
 def test_workload_counts_a_submission_for_each_reviewer(mart):
     rows = [tuple(r) for r in metrics.validated_metric(mart, "reviewer_workload").collect()]
     assert rows == [("Unassigned", 4), ("alpha", 2), ("zeta", 1)]

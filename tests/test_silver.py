@@ -153,3 +153,9 @@ def test_hot_group_is_cut_before_the_shuffle(spark):
     rows = to_silver(bronze(spark, page(node("a"))))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_page_without_items_is_not_passed_over(spark):
+    pages = bronze(spark, page(node("a")), {"data": {"organization": None}})
+    with pytest.raises(Exception, match="no project items"):
+        to_silver(pages).collect()

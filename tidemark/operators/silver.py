@@ -17,10 +17,14 @@ from tidemark.sources.landing import decode_pages
 
 
 def unnest_nodes(decoded: DataFrame) -> DataFrame:
-    """One row per board item; a board belongs to an organization or a user."""
+    """One row per board item; a board belongs to an organization or a user.
+
+    A page without items fails the job: leaving it out would lose submissions unseen.
+    """
     data = F.col("page.data")
     nodes = F.coalesce(
-        *(data[owner]["projectV2"]["items"]["nodes"] for owner in schemas.OWNER_TYPES)
+        *(data[owner]["projectV2"]["items"]["nodes"] for owner in schemas.OWNER_TYPES),
+        F.raise_error(F.lit("Bronze page holds no project items")),
     )
     return decoded.select("run_id", "extracted_at", F.explode(nodes).alias("node"))
 

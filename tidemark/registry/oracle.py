@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.registry.queries import REDACT_LENGTH
-
 ORACLE: dict[str, str] = {}
 
 
@@ -521,11 +519,13 @@ SELECT CAST(l_orderkey AS VARCHAR) AS run_id, count(DISTINCT l_shipdate) AS extr
             WHEN l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
                 THEN 'already loaded' END AS problem
 FROM lineitem GROUP BY l_orderkey"""
-ORACLE["redact_truncate"] = f"""
+ORACLE["redact_truncate"] = """
 WITH redacted AS (
-    SELECT doc_id, left(replace(replace(text, 'the', '[REDACTED]'), 'er', '[REDACTED]'),
-                        {REDACT_LENGTH}) AS message FROM documents)
-SELECT doc_id, length(message) AS n_kept, md5(message) AS digest FROM redacted"""
+    SELECT doc_id, replace(replace(text, 'the', '[REDACTED]'), 'er', '[REDACTED]') AS message
+    FROM documents)
+SELECT doc_id, length(message) AS n_full, md5(message) AS full_digest,
+       length(left(message, 2000)) AS n_kept, md5(left(message, 2000)) AS kept_digest
+FROM redacted"""
 ORACLE["failure_append"] = (
     _EVENT_ATTEMPTS
     + """SELECT run_id, attempt_number, 'failed' AS attempt_status,

@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SECRETS = ("the", "er", None, "")
-REDACT_LENGTH = 2000
+NO_LIMIT = 2**31 - 1
 
 
 def register(query: Query) -> Query:
@@ -544,9 +544,15 @@ def gold_guards(spark, folder):
 
 @register
 def redact_truncate(spark, folder):
-    message = text.redact(F.col("text"), SECRETS, REDACT_LENGTH)
+    """Whole texts redacted, and what the message limit keeps of each."""
+    full = text.redact(F.col("text"), SECRETS, NO_LIMIT)
+    kept = text.redact(F.col("text"), SECRETS, schemas.MAX_ERROR_MESSAGE)
     return table(spark, folder, "documents").select(
-        "doc_id", F.length(message).alias("n_kept"), F.md5(message.cast("binary")).alias("digest")
+        "doc_id",
+        F.length(full).alias("n_full"),
+        F.md5(full.cast("binary")).alias("full_digest"),
+        F.length(kept).alias("n_kept"),
+        F.md5(kept.cast("binary")).alias("kept_digest"),
     )
 
 
