@@ -191,3 +191,10 @@ def test_large_batches_of_new_members_are_numbered_by_ranges(spark, tmp_path, mo
     )
     merged, added = dimensions.upsert(spec, old, incoming, str(tmp_path / "u"), 5)
     assert added == 2 and natural_keys(merged, spec) == {"OPEN": 4, "b": 5, "a": 6}
+
+
+def test_members_are_reduced_by_hashing_before_any_shuffle(spark):
+    plan = dimensions.label_members(silver(spark, silver_row()), "state")._jdf.queryExecution()
+    lines = plan.executedPlan().toString().splitlines()
+    reduced = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "partial_min(extracted_at" in line)
+    assert not any("Sort" in line or "Exchange" in line for line in lines[reduced:])

@@ -28,17 +28,19 @@ def _extraction() -> Column:
     return F.struct("extracted_at", "run_id")
 
 
-def label_members(silver: DataFrame, natural_key: str) -> DataFrame:
-    """Distinct non-null values of one column with their first extraction.
+def _per_run(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per run and key, ``extracted_at`` kept.
 
-    The first aggregate keeps one row per value and run and hashes before the shuffle,
-    so a value in a third of all rows costs no more than a rare one.
+    A hash aggregate over plain columns: it shrinks the data before any shuffle, so a
+    value in a third of all rows costs no more than a rare one. A minimum over a struct
+    would sort every row first, and Catalyst drops a distinct below a minimum.
     """
-    per_run = (
-        silver.filter(F.col(natural_key).isNotNull())
-        .select(natural_key, "extracted_at", "run_id")
-        .distinct()
-    )
+    return rows.groupBy(*keys, "run_id").agg(F.min("extracted_at").alias("extracted_at"))
+
+
+def label_members(silver: DataFrame, natural_key: str) -> DataFrame:
+    """Distinct non-null values of one column with their first extraction."""
+    per_run = _per_run(silver.filter(F.col(natural_key).isNotNull()), natural_key)
     return per_run.groupBy(natural_key).agg(F.min(_extraction()).alias(FIRST_SEEN))
 
 
@@ -85,7 +87,7 @@ def milestone_members(silver: DataFrame, rules: BoardRules) -> DataFrame:
     A configured milestone belongs to every extraction, hence to the first of the batch.
     """
     deadlines = configured_milestones(silver, rules)
-    first_extraction = silver.agg(F.min(_extraction()).alias(FIRST_SEEN))
+    first_extraction = _per_run(silver).agg(F.min(_extraction()).alias(FIRST_SEEN))
     configured = deadlines.select(
         "milestone", first_extraction.scalar().alias(FIRST_SEEN)
     )

@@ -14,7 +14,6 @@ from tidemark.operators.quality import duplicate_keys
 from tidemark.schemas import (
     BRIDGE,
     DATE_ROLES,
-    DIM_DATE,
     DIM_ISSUE,
     DIM_MILESTONE,
     DIM_STATE,

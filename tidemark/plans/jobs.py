@@ -135,9 +135,9 @@ class Pipeline:
         per_attempt = chained.groupBy(*ledger.ATTEMPT).agg(
             F.min("extracted_at").alias("extracted_at"),
             F.min_by(problem, F.when(problem.isNotNull(), F.col("page_no"))).alias("first_problem"),
-            F.max(F.struct("page_no", "has_next")).alias("last"),
+            F.max_by("has_next", "page_no").alias("goes_on"),
         )
-        unfinished = F.when(F.col("last.has_next"), "last page is missing")
+        unfinished = F.when(F.col("goes_on"), "last page is missing")
         return per_attempt.select(
             *ledger.ATTEMPT,
             "extracted_at",

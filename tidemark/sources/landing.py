@@ -1,9 +1,9 @@
 """Landed board pages: scan, page checks, decoding.
 
 A *landed page* is a row ``(run_id, attempt_number, extracted_at, page_no,
-request_cursor, body)``; a *bronze page* is a row ``(run_id, attempt_number, extracted_at, page_no, payload)``. Pages are never
-concatenated per run: ``page_no`` carries the order, so that one large run spreads over
-many tasks.
+request_cursor, body)``; a *bronze page* has ``payload`` instead of cursor and body. Pages
+are never concatenated per run: ``page_no`` carries the order, so that one large run
+spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -192,17 +192,16 @@ def cursor_chain(checked: DataFrame, run_key: Sequence[str] = ("run_id",)) -> Da
 
 def run_completeness(chained: DataFrame) -> DataFrame:
     """Per run: page count, chain breaks, and whether the chain was read to its end."""
-    last_page = F.max(F.struct("page_no", "has_next"))
     per_run = chained.groupBy("run_id").agg(
         F.count("*").alias("page_count"),
         F.count("chain_problem").alias("break_count"),
-        last_page.alias("last"),
+        F.max_by("has_next", "page_no").alias("goes_on"),
     )
     return per_run.select(
         "run_id",
         "page_count",
         "break_count",
-        ((F.col("break_count") == 0) & ~F.col("last.has_next")).alias("is_complete"),
+        ((F.col("break_count") == 0) & ~F.col("goes_on")).alias("is_complete"),
     )
 
 
