@@ -45,9 +45,17 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def spaced(text: Column) -> Column:
+    """The text with every kind of white space as a blank; byte searches, no pattern."""
+    text = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null text has none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
+    return F.array_remove(F.split(spaced(text), " "), "")
 
 
 def mix(values: np.ndarray) -> np.ndarray:

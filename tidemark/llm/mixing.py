@@ -190,7 +190,7 @@ OP1_SQL = r"""
 WITH RECURSIVE rows AS (
   SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS key,
          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                         x -> x <> ''))::BIGINT AS size
+                         lambda x: x <> ''))::BIGINT AS size
   FROM documents
 ), weighed AS (
   SELECT source, sum(size)::BIGINT AS source_size,

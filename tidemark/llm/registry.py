@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from tidemark.llm.mixing import OP1_SQL, op1_mixing
 from tidemark.llm.ngram_join import op3_ngram_join
+from tidemark.llm.quality import OP4_SQL, op4_quality
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_ngram_join": op3_ngram_join,
+    "op4_quality": op4_quality,
 }
 
 SQL = {
     "op1_mixing": OP1_SQL,
+    "op4_quality": OP4_SQL,
 }
