@@ -53,7 +53,13 @@ def _distance(p: Column, q: Column) -> Column:
 def features(docs: DataFrame) -> DataFrame:
     """``doc_id, lang``, the base counts, and the two histograms of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", "lang", text.alias("text"), spaced(F.col("text")).alias("spaced"))
+    rows = docs.select(
+        "doc_id",
+        "lang",
+        F.xxhash64("text").alias("text_key"),
+        text.alias("text"),
+        spaced(F.col("text")).alias("spaced"),
+    )
     rows = rows.select(
         "*",
         F.array_remove(F.split("spaced", " "), "").alias("w"),
@@ -125,6 +131,7 @@ def features(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id",
         "lang",
+        "text_key",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -172,6 +179,7 @@ def judged(docs: DataFrame) -> DataFrame:
     odd = (chars > ODD_CHAR_DISTANCE) & (words > WORD_DISTANCE)
     strange = F.coalesce(far | ((F.col("n_words") >= LEAST_WORDS) & odd), F.lit(False))
     return rows.select(
+        "text_key",
         *"doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed".split(),
         "char_distance",
         "word_distance",
@@ -179,10 +187,28 @@ def judged(docs: DataFrame) -> DataFrame:
     )
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, in their own columns.
+
+    Rows of one id and text are judged alike, so a row is found again by these two.
+    """
+    kept = judged(docs).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    return (
+        docs.withColumn("_text_key", F.xxhash64("text"))
+        .join(
+            kept,
+            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
+            "left_semi",
+        )
+        .select(*docs.columns)
+    )
+
+
 def op4_quality(spark, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     rows = judged(table(spark, sf_dir, "documents"))
-    return rows.drop("char_distance", "word_distance")
+    return rows.drop("text_key", "char_distance", "word_distance")
 
 
 OP4_SQL = r"""
