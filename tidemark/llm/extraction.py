@@ -280,11 +280,11 @@ def article_root(weights: dict[str, int]) -> str | None:
 def host_roots(pages: DataFrame) -> DataFrame:
     """``root_host, root``: the template subtree that holds the articles of a host."""
 
-    def choose(key, group: pa.Table) -> pa.Table:
+    def choose(group: pa.Table) -> pa.Table:
         rows = group.to_pydict()
         root = article_root(dict(zip(rows["path"], rows["chars"], strict=True)))
         return pa.table(
-            {"root_host": pa.array([key[0].as_py()]), "root": pa.array([root], pa.string())}
+            {"root_host": pa.array(rows["host"][:1], pa.string()), "root": pa.array([root], pa.string())}
         )
 
     return (
