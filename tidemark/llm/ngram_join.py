@@ -201,8 +201,8 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
 class _Linker:
     """Verified links so far, and the components that they make."""
 
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
+    def __init__(self, percent: int):
+        self.percent = percent
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -212,10 +212,10 @@ class _Linker:
         named = postings.join(self.labels, "node", "left")
         return named.withColumn("component", F.coalesce("component", "node"))
 
-    def verify(self, pairs: DataFrame) -> bool:
+    def verify(self, pairs: DataFrame, sets: DataFrame) -> bool:
         """Add the pairs ``a, b`` that are similar enough; False if there are none."""
         side = [
-            self.sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+            sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
             for c in "ab"
         ]
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -294,13 +294,13 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _class_sets(docs: DataFrame, classes: DataFrame, postings: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of the classes that have postings, one row each.
+def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``node, shingles`` of the classes in ``nodes``, one row each.
 
     A bitmap over text keys picks the texts to read again; one text stands for a class.
     """
     wanted = staged(
-        postings.select("node").distinct().join(classes.select("node", "text_key"), "node"),
+        nodes.distinct().join(classes.select("node", "text_key"), "node"),
         "wanted",
     )
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "text_key"))
@@ -357,16 +357,21 @@ def similar_components(
     )
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     postings = _postings(classes, percent)
-    linker = _Linker(_class_sets(docs, classes, postings, shingle_words), percent)
+    linker, sets = _Linker(percent), None
     entries = postings.count()
     for turn in range(PIVOT_ROUNDS):
         apart = _sized(linker.labelled(postings))
         due = apart.filter("component != largest").agg(F.sum("texts")).first()[0] or 0
         if due <= PAIRS_PER_POSTING * entries:
             break
-        if not linker.verify(staged(_pivot_pairs(apart, turn, percent), "pivots")):
+        if sets is None:
+            nodes = apart.filter(F.col("texts") > PIVOT_LIST).select("node")
+            sets = _class_sets(docs, classes, nodes, shingle_words)
+        if not linker.verify(staged(_pivot_pairs(apart, turn, percent), "pivots"), sets):
             break
-    linker.verify(staged(_cross_pairs(_sized(linker.labelled(postings)), percent), "pairs"))
+    pairs = staged(_cross_pairs(_sized(linker.labelled(postings)), percent), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    linker.verify(pairs, _class_sets(docs, classes, nodes, shingle_words))
     named = linker.labelled(classes.select("node", "cls", "least_id"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_class = staged(named.join(least, "component").select("cls", "component_id"), "by-class")
