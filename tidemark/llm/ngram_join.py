@@ -359,17 +359,19 @@ def similar_components(
     postings = _postings(classes, percent)
     linker, sets = _Linker(percent), None
     entries = postings.count()
-    for turn in range(PIVOT_ROUNDS):
-        apart = _sized(linker.labelled(postings))
+    for turn in range(PIVOT_ROUNDS + 1):
+        # Lists that have become one component are done with, so each turn reads fewer.
+        apart = staged(_sized(linker.labelled(postings)), "apart")
+        postings = apart.select("shingle", "node", "n", "needs")
         due = apart.filter("component != largest").agg(F.sum("texts")).first()[0] or 0
-        if due <= PAIRS_PER_POSTING * entries:
+        if turn == PIVOT_ROUNDS or due <= PAIRS_PER_POSTING * entries:
             break
         if sets is None:
             nodes = apart.filter(F.col("texts") > PIVOT_LIST).select("node")
             sets = _class_sets(docs, classes, nodes, shingle_words)
         if not linker.verify(staged(_pivot_pairs(apart, turn, percent), "pivots"), sets):
             break
-    pairs = staged(_cross_pairs(_sized(linker.labelled(postings)), percent), "pairs")
+    pairs = staged(_cross_pairs(apart, percent), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     linker.verify(pairs, _class_sets(docs, classes, nodes, shingle_words))
     named = linker.labelled(classes.select("node", "cls", "least_id"))
