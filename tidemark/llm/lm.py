@@ -29,7 +29,7 @@ from tidemark.llm.common import mix, staged, table, word_hashes
 from tidemark.llm.langid import fold
 
 #: Words that have numbers of their own; bounds what is broadcast (16 bytes each).
-VOCABULARY = 1 << 20
+VOCABULARY = 1 << 18
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
 #: First words with more than this share of all tokens are dealt by pair.

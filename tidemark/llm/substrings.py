@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table, text_bytes
+from tidemark.llm.common import bitmap_of, in_bitmap, staged, table, text_bytes
 
 #: Borders are taken where the top BORDER_BITS of the hash are zero, LEAST bytes or more
 #: after the last one; after MOST bytes a chunk ends in any case.
@@ -109,7 +109,19 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = staged(chunked(docs), "chunks")
     place = F.struct("doc_id", "text_key", "begin")
     first = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    later = rows.join(first.filter("n > 1"), "digest").filter(place != F.col("first"))
+    first = staged(first.filter("n > 1").select("digest", "first"), "repeated")
+    key = F.xxhash64("digest").alias("key")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(first.select(key), "key"))
+
+    def possible(batches):
+        for batch in batches:
+            kept = in_bitmap(bitmap.value, batch.column("key").to_numpy())
+            yield batch.filter(pa.array(kept))
+
+    # Most chunks are unique and need no second shuffle.
+    keyed = rows.select("*", key)
+    some = keyed.mapInArrow(possible, keyed.schema).drop("key")
+    later = some.join(first, "digest").filter(place != F.col("first"))
     # Hot digests are spread again: rows meet by text, not by digest.
     spans = later.groupBy("doc_id", "text_key").agg(
         F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")
