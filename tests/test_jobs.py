@@ -63,7 +63,7 @@ def test_datasets_from_gold_and_from_csv(spark, stored, tmp_path):
     single.load_silver(rows)
     assert single.catch_up_gold()
     single.build_datasets(str(tmp_path / "datasets"))
-    read = {n: spark.read.parquet(str(tmp_path / "datasets" / n)) for n in schemas.CONTRACTS}
+    read = {n: spark.read.parquet(str(tmp_path / "datasets" / n)) for n in schemas.DATASET_SCHEMAS}
     assert {n: f.count() for n, f in read.items()} == {
         "submission_status": 14,
         "builder_schedule": 1,  # M2 and M3 are both on track in early August

@@ -154,3 +154,19 @@ def test_lookup_reads_one_run_folder(spark, warehouse):
     found = ledger.extraction_lookup(warehouse.read("bronze.raw_issue_extractions"), "r2", 1)
     assert [r["run_id"] for r in found.collect()] == ["r2"]
     assert prunes_runs(found)
+
+
+def test_first_failure_of_an_attempt_is_kept_whatever_the_order(spark):
+    schema = (
+        "run_id string, attempt_number int, started_at timestamp, completed_at timestamp, "
+        "error_stage string, error_type string, error_message string"
+    )
+    rows = [
+        ("r", 1, utc("2026-08-01T00:00:00"), utc("2026-08-01T02:00:00"), "extraction", "E", "late"),
+        ("r", 1, utc("2026-08-01T00:00:00"), utc("2026-08-01T01:00:00"), "extraction", "E", "soon"),
+        ("r", 1, utc("2026-08-01T00:00:00"), None, "bronze_load", "E", "never"),
+    ]
+    attempts = spark.createDataFrame([], "run_id string, attempt_number int")
+    for order in (rows, rows[::-1]):
+        kept = ledger.appendable_failures(spark.createDataFrame(order, schema), attempts).collect()
+        assert [r["error_message"] for r in kept] == ["soon"]

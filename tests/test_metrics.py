@@ -225,6 +225,7 @@ def test_status_pivot_order_and_zeros(spark):
     rows = table.collect()
     assert [r["status"] for r in rows] == ["Passed", "In review", "Zebra"]
     assert [rows[1][f"M{n}"] for n in range(7)] == [0, 0, 3, 0, 0, 0, 0]
+    assert [r["other"] for r in rows] == [0, 8, 0]
 
 
 def test_progress_axis(spark):

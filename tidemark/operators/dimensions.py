@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import milestone_number
 from tidemark.functions.timing import local_date
-from tidemark.operators.keys import number_rows
+from tidemark.operators.keys import number_ranges
 from tidemark.schemas import (
     DATE_ROLES,
     DIM_DATE,
@@ -183,8 +183,5 @@ def upsert(
     merged = existing.sparkSession.read.parquet(f"{path}/merged")
     known = merged.filter(F.col(key).isNotNull())
     fresh = merged.filter(F.col(key).isNull())
-    fresh_count = fresh.count()
-    numbered = number_rows(
-        fresh, key, member_order(spec), f"{path}/numbered", start, fresh_count
-    )
-    return known.select(*columns).unionByName(numbered.select(*columns)), fresh_count
+    numbered = number_ranges(fresh, key, member_order(spec), f"{path}/numbered", start)
+    return known.select(*columns).unionByName(numbered.select(*columns)), numbered.count()

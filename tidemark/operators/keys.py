@@ -5,12 +5,8 @@ from __future__ import annotations
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Up to this many rows are numbered by one task; more are numbered range by range.
-ONE_TASK_ROWS = 100_000
-
 _SLOT = "_slot"
 _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row number below
 
@@ -44,19 +40,3 @@ def number_ranges(
     row = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     offset = F.get(F.array(*(F.lit(o).cast("bigint") for o in offsets)), part)
     return staged.withColumn(key, offset + row).drop(_SLOT)
-
-
-def number_rows(
-    frame: DataFrame,
-    key: str,
-    order_by: list[Column],
-    path: str,
-    start: int,
-    row_count: int,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """The same numbering for a frame of known row count: a small one needs no staging."""
-    if row_count > one_task_rows:
-        return number_ranges(frame, key, order_by, path, start)
-    position = F.row_number().over(W.orderBy(*order_by)).cast("bigint")
-    return frame.withColumn(key, position + F.lit(start - 1))

@@ -87,8 +87,19 @@ def failure_rows(
 
 
 def appendable_failures(failures: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Failure rows not in the ledger yet; the first per attempt within the batch."""
-    return new_attempts(failures, attempts).dropDuplicates(ATTEMPT)
+    """Failure rows not in the ledger yet; of several for an attempt, the first to complete.
+
+    Ties go to the earlier start, then by stage, type and message; nulls come last.
+    """
+    rows = new_attempts(failures, attempts)
+    order = []
+    for column in ("completed_at", "started_at", "error_stage", "error_type", "error_message"):
+        order += [F.col(column).isNull().alias(f"no_{column}"), F.col(column)]
+    others = [c for c in rows.columns if c not in ATTEMPT]
+    first = F.min_by(F.struct(*others), F.struct(*order))
+    return rows.groupBy(*ATTEMPT).agg(first.alias("row")).select(
+        *(c if c in ATTEMPT else F.col(f"row.{c}").alias(c) for c in rows.columns)
+    )
 
 
 # --- Selection --------------------------------------------------------------------

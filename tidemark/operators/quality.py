@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CONTRACTS, DatasetContract
-
-
-def column_problems(actual: Sequence[str], expected: Iterable[str]) -> list[str]:
-    """What keeps a column list from being exactly the expected set."""
-    wanted, present = set(expected), set(actual)
-    found = {
-        "missing columns": sorted(wanted - present),
-        "unexpected columns": sorted(present - wanted),
-        "duplicate columns": sorted(c for c in present if list(actual).count(c) > 1),
-    }
-    return [f"{label}: {columns}" for label, columns in found.items() if columns]
+from tidemark.schemas import DATASET_SCHEMAS
 
 
 def require_columns(frame: DataFrame, expected: Iterable[str], complaint: str) -> DataFrame:
-    """Raise ``ValueError`` unless the frame has exactly the expected columns."""
-    problems = column_problems(frame.columns, expected)
-    if problems:
-        raise ValueError(f"{complaint} ({'; '.join(problems)})")
+    """The frame, if its columns are the expected ones in any order, each once."""
+    wanted, actual = Counter(expected), Counter(frame.columns)
+    if wanted != actual:
+        lacks, surplus = sorted((wanted - actual).elements()), sorted((actual - wanted).elements())
+        raise ValueError(f"{complaint} (lacking {lacks}, beyond it {surplus})")
     return frame
 
 
@@ -68,74 +59,75 @@ def check_failures(frame: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     return frame.withColumn("failed_check", F.explode(broken))
 
 
-# --- Metric dataset contracts ---------------------------------------------------
+# --- Metric datasets --------------------------------------------------------------
 
+#: How the type of a dataset's column in ``DATASET_SCHEMAS`` is checked: the role it plays,
+#: and the types that are taken for it.
+_ROLES = {
+    T.LongType: ("numeric", (T.NumericType, T.BooleanType)),
+    T.DoubleType: ("numeric", (T.NumericType, T.BooleanType)),
+    T.DateType: ("date", (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)),
+    T.StringType: ("label", (T.StringType,)),
+}
 
-def contract_violations(frame: DataFrame, contract: DatasetContract) -> DataFrame:
-    """Bad cells per contract column ``(column_name, role, bad_count)``, one pass.
 
-    Numeric and label columns may not be null; text in a date column must parse.
-    """
-    roles = {
-        **{c: "numeric" for c in contract.numeric},
-        **{c: "date" for c in contract.dates},
-        **{c: "label" for c in contract.labels},
-    }
-    types = {f.name: f.dataType for f in frame.schema.fields}
-
-    def is_bad(column: str):
-        value = F.col(column)
-        if roles[column] != "date":
-            return value.isNull()
-        if isinstance(types[column], T.StringType):
-            return value.isNotNull() & F.try_to_timestamp(value).isNull()
-        return F.lit(False)
-
-    totals = frame.agg(*(F.count_if(is_bad(c)).alias(c) for c in contract.columns))
-    role_of = F.create_map(*(F.lit(x) for pair in roles.items() for x in pair))
-    return totals.unpivot([], list(contract.columns), "column_name", "bad_count").select(
-        "column_name", role_of[F.col("column_name")].alias("role"), "bad_count"
+def _bad_cell(column: str, role: str, kind: T.DataType) -> Column:
+    """Null in a number or label; text that is no date in a date column."""
+    if role != "date":
+        return F.col(column).isNull()
+    if isinstance(kind, T.StringType):
+        return F.col(column).isNotNull() & F.try_to_timestamp(F.col(column)).isNull()
+    return F.lit(False)
+
+
+def contract_violations(frame: DataFrame, schema: T.StructType) -> DataFrame:
+    """``column_name, role, bad_count`` per column of a dataset schema, from one pass."""
+    role = {f.name: _ROLES[type(f.dataType)][0] for f in schema}
+    totals = frame.agg(
+        *(F.count_if(_bad_cell(c, role[c], frame.schema[c].dataType)).alias(c) for c in role)
     )
+    rows = totals.unpivot([], list(role), "column_name", "bad_count")
+    names = F.create_map(*(F.lit(x) for pair in role.items() for x in pair))
+    return rows.select("column_name", names[F.col("column_name")].alias("role"), "bad_count")
 
 
-def validate_dataset(frame: DataFrame, contract: DatasetContract) -> DataFrame:
-    """The contract's columns in contract order, or an error naming the first problem.
+def validate_dataset(frame: DataFrame, name: str) -> DataFrame:
+    """The dataset's columns in their order; an error lists everything that is wrong.
 
-    Extra columns are dropped. Types are read from the schema; the null counts of all
-    columns come from one aggregate.
+    Further columns are dropped, and dates given as text become timestamps. Absent columns
+    raise ``ValueError``, unfit types ``TypeError``; cells are looked at after that, where
+    text that is no date counts as an unfit type.
     """
-    missing = [c for c in contract.columns if c not in frame.columns]
-    if missing:
-        raise ValueError(
-            f"{contract.name} dataset is missing required columns: {', '.join(missing)}"
-        )
-    selected = frame.select(*contract.columns)
-    types = {f.name: f.dataType for f in selected.schema.fields}
-    label = f"{contract.name} dataset column"
-    for column in contract.numeric:
-        if not isinstance(types[column], (T.NumericType, T.BooleanType)):
-            raise TypeError(f"{label} '{column}' must be numeric")
-    for column in contract.dates:
-        if not isinstance(types[column], (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
-            raise TypeError(f"{label} '{column}' must contain dates")
-    for column in contract.labels:
-        if not isinstance(types[column], T.StringType):
-            raise TypeError(f"{label} '{column}' must contain text")
-
-    # One row per contract column, whatever the size of the dataset.
-    for row in contract_violations(selected, contract).filter("bad_count > 0").collect():
-        if row["role"] == "date":
-            raise TypeError(f"{label} '{row['column_name']}' must contain dates")
-        raise ValueError(f"{label} '{row['column_name']}' cannot contain null values")
-    parsed = {
-        c: F.to_timestamp(c) for c in contract.dates if isinstance(types[c], T.StringType)
-    }
-    return selected.withColumns(parsed) if parsed else selected
+    schema = DATASET_SCHEMAS[name]
+    absent = [f.name for f in schema if f.name not in frame.columns]
+    if absent:
+        raise ValueError(f"{name} lacks the columns {', '.join(absent)}")
+    chosen = frame.select(*schema.names)
+    unfit = [
+        f"{f.name} ({chosen.schema[f.name].dataType.simpleString()}) is no {role} column"
+        for f in schema
+        for role, kinds in [_ROLES[type(f.dataType)]]
+        if not isinstance(chosen.schema[f.name].dataType, kinds)
+    ]
+    if unfit:
+        raise TypeError(f"{name}: {'; '.join(unfit)}")
+    # One row per column, whatever the size of the dataset.
+    bad = contract_violations(chosen, schema).filter("bad_count > 0").collect()
+    if bad:
+        cells = "; ".join(f"{row['column_name']} has {row['bad_count']} bad cells" for row in bad)
+        kind = TypeError if all(row["role"] == "date" for row in bad) else ValueError
+        raise kind(f"{name}: {cells}")
+    texts = [
+        f.name
+        for f in schema
+        if isinstance(f.dataType, T.DateType) and isinstance(chosen.schema[f.name].dataType, T.StringType)
+    ]
+    return chosen.withColumns({c: F.to_timestamp(c) for c in texts}) if texts else chosen
 
 
 def validate_datasets(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Validate every contracted dataset; a missing dataset is an error."""
-    absent = [name for name in CONTRACTS if name not in frames]
+    """All five metric datasets, validated; none may be left out."""
+    absent = sorted(DATASET_SCHEMAS.keys() - frames.keys())
     if absent:
-        raise ValueError(f"Missing datasets: {', '.join(absent)}")
-    return {name: validate_dataset(frames[name], c) for name, c in CONTRACTS.items()}
+        raise ValueError(f"No frame was given for {', '.join(absent)}")
+    return {name: validate_dataset(frames[name], name) for name in DATASET_SCHEMAS}

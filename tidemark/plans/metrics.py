@@ -255,9 +255,9 @@ def metric(mart: Mart, name: str) -> DataFrame:
 
 
 def validated_metric(mart: Mart, name: str) -> DataFrame:
-    return validate_dataset(metric(mart, name), schemas.CONTRACTS[name])
+    return validate_dataset(metric(mart, name), name)
 
 
 def metric_frames(mart: Mart) -> dict[str, DataFrame]:
     """All metric datasets, before validation."""
-    return {name: metric(mart, name) for name in schemas.CONTRACTS}
+    return {name: metric(mart, name) for name in schemas.DATASET_SCHEMAS}

@@ -13,23 +13,30 @@ from tidemark.functions.text import normalise_term, slug
 _SCHEDULE_CARDS = (("on track", "On track", "success"), ("delayed", "Delayed", "danger"))
 
 
+#: Column for submissions of milestones that a pivot was not asked to list.
+OTHER_MILESTONES = "other"
+
+
 def status_pivot(
     distribution: DataFrame, milestones: Sequence[str] = schemas.DISPLAY_MILESTONES
 ) -> DataFrame:
-    """One row per status, one zero-filled column per milestone.
+    """One row per status, one zero-filled column per milestone, and one for all others.
 
-    Statuses with a fixed place come first, the others follow by name. Milestones that
-    are not listed are left out.
+    Statuses with a fixed place come first, the others follow by name. Milestones that are
+    not listed, and null, are summed as ``other``, so each row adds up to its status.
     """
+    shown = F.when(F.col("milestone").isin(*milestones), F.col("milestone"))
+    columns = [*milestones, OTHER_MILESTONES]
     place = F.array_position(
         F.array(*(F.lit(s) for s in schemas.STATUS_DISPLAY_ORDER)), F.col("status")
     )
     unplaced = len(schemas.STATUS_DISPLAY_ORDER) + 1
     return (
-        distribution.groupBy("status")
-        .pivot("milestone", list(milestones))
+        distribution.withColumn("milestone", F.coalesce(shown, F.lit(OTHER_MILESTONES)))
+        .groupBy("status")
+        .pivot("milestone", columns)
         .agg(F.sum("submission_count"))
-        .na.fill(0, list(milestones))
+        .na.fill(0, columns)
         .withColumn(
             "display_rank", F.when(place > 0, place).otherwise(unplaced).cast("bigint")
         )

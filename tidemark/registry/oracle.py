@@ -369,7 +369,7 @@ _mart(
            {_day(_local('extracted_at'))} AS extracted_at_date FROM fact""",
 )
 
-_TWO_LOADS = (
+_ISSUE_LOADS = (
     _SNAPSHOT_SILVER.rstrip()
     + f""",
 offered AS (
@@ -377,27 +377,23 @@ offered AS (
            CASE WHEN days_since_update <= 365 THEN issue_author END AS issue_author
     FROM silver
 ),
-old AS (
-    SELECT row_number() OVER (ORDER BY issue_id) AS issue_key, *
-    FROM offered WHERE run_id = 'run-1998'
-),
-merged AS (
-    SELECT o.issue_key AS old_key, n.*,
-           row_number() OVER (PARTITION BY o.issue_key IS NULL ORDER BY n.issue_id) AS place
-    FROM (SELECT * FROM offered WHERE run_id = 'run-2001') n LEFT JOIN old o USING (issue_id)
+first_seen AS (
+    SELECT issue_id, min(run_id) AS first_run,
+           row_number() OVER (ORDER BY min(run_id), issue_id) AS issue_key
+    FROM offered GROUP BY issue_id
 ),
 loaded AS (
-    SELECT old_key, coalesce(old_key, (SELECT count(*) FROM old) + place) AS issue_key,
+    SELECT CASE WHEN first_run = 'run-1998' THEN issue_key END AS old_key, issue_key,
            issue_id, issue_title, issue_url, issue_author
-    FROM merged
+    FROM first_seen JOIN offered USING (issue_id) WHERE run_id = 'run-2001'
 )
 """
 )
 ORACLE["dim_upsert_scd1"] = (
-    _TWO_LOADS + "SELECT issue_key, issue_id, issue_title, issue_url, issue_author FROM loaded"
+    _ISSUE_LOADS + "SELECT issue_key, issue_id, issue_title, issue_url, issue_author FROM loaded"
 )
 ORACLE["key_stability"] = (
-    _TWO_LOADS
+    _ISSUE_LOADS
     + """SELECT count(*) FILTER (WHERE old_key = issue_key) AS kept,
        count(*) FILTER (WHERE old_key <> issue_key) AS changed,
        count(*) FILTER (WHERE old_key IS NULL) AS added, max(issue_key) AS greatest_key
@@ -407,8 +403,7 @@ _silver(
     "dim_insert_only",
     """, seen AS (
     SELECT reviewer, min(run_id) AS first_run FROM (
-        SELECT run_id, unnest(reviewer) AS reviewer FROM silver
-        WHERE run_id IN ('run-1998', 'run-2001')) GROUP BY reviewer)
+        SELECT run_id, unnest(reviewer) AS reviewer FROM silver) GROUP BY reviewer)
 SELECT row_number() OVER (ORDER BY first_run, reviewer) AS reviewer_key, reviewer FROM seen""",
 )
 
@@ -676,7 +671,10 @@ _mart(
         f"CAST(coalesce(sum(submission_count) FILTER (WHERE milestone = 'M{n}'), 0) AS BIGINT) AS \"M{n}\""
         for n in range(7)
     )
-    + f""", CAST(coalesce(nullif(list_position({_DISPLAY_ORDER}, status), 0), 9) AS BIGINT)
+    + f""", CAST(coalesce(sum(submission_count) FILTER (
+               WHERE coalesce(milestone NOT IN ('M0', 'M1', 'M2', 'M3', 'M4', 'M5', 'M6'), true)), 0)
+             AS BIGINT) AS "other"
+         , CAST(coalesce(nullif(list_position({_DISPLAY_ORDER}, status), 0), 9) AS BIGINT)
            AS display_rank
        FROM distribution GROUP BY status""",
 )

@@ -191,7 +191,7 @@ def dim_date(spark, folder):
 
 @register
 def fact_snapshot(spark, folder):
-    return snapshot_mart(spark, folder).fact.select(*schemas.FACT_COLUMNS)
+    return snapshot_mart(spark, folder).fact.drop("extracted_on")
 
 
 @register
@@ -240,17 +240,18 @@ def _upsert(spark, spec, existing, incoming, start):
     return spark.read.schema(spec.table.schema).parquet(f"{path}/result"), start + added
 
 
-def _two_issue_loads(spark, folder):
+def _issue_loads(spark, folder):
     spec = schemas.DIM_ISSUE
     nothing = spark.createDataFrame([], spec.table.schema)
     first, start = _upsert(spark, spec, nothing, _issue_batch(spark, folder, "run-1998"), 1)
-    second, _ = _upsert(spark, spec, first, _issue_batch(spark, folder, "run-2001"), start)
-    return first, second
+    second, start = _upsert(spark, spec, first, _issue_batch(spark, folder, "run-2000"), start)
+    third, _ = _upsert(spark, spec, second, _issue_batch(spark, folder, "run-2001"), start)
+    return first, third
 
 
 @register
 def dim_upsert_scd1(spark, folder):
-    return _two_issue_loads(spark, folder)[1]
+    return _issue_loads(spark, folder)[1]
 
 
 @register
@@ -262,14 +263,17 @@ def dim_insert_only(spark, folder):
     def batch(run_id):
         return dimensions.reviewer_members(rows.filter(F.col("run_id") == run_id))
 
-    first, start = _upsert(spark, spec, nothing, batch("run-1998"), 1)
-    return _upsert(spark, spec, first, batch("run-2001"), start)[0]
+    loaded, start = nothing, 1
+    for run_id in ("run-1998", "run-2000", "run-2001"):
+        loaded, added = _upsert(spark, spec, loaded, batch(run_id), start)
+        start += added
+    return loaded
 
 
 @register
 def key_stability(spark, folder):
     """Keys after two loads: kept, changed (must be none) and added."""
-    first, second = _two_issue_loads(spark, folder)
+    first, second = _issue_loads(spark, folder)
     before = first.select("issue_id", F.col("issue_key").alias("old_key"))
     both = second.select("issue_id", "issue_key").join(before, "issue_id", "full_outer")
     return both.agg(
@@ -673,7 +677,7 @@ def contract_validation(spark, folder):
         F.col("status").alias("next_action"),
         "issue_url",
     )
-    return quality.contract_violations(offered, schemas.CONTRACTS["interventions"])
+    return quality.contract_violations(offered, schemas.DATASET_SCHEMAS["interventions"])
 
 
 # --- Landed pages ----------------------------------------------------------------------------------
