@@ -220,6 +220,8 @@ def _deal(docs: DataFrame, shared) -> DataFrame:
                     else:
                         to = (hashes[other] % np.uint64(buckets)).astype(np.int64)
                     owner = doc[of] * 2 + train[doc[of]]
+                    if not len(to):
+                        continue
                     order = np.lexsort((owner, pairs, to))
                     to, pairs, owner = to[order], pairs[order], owner[order]
                     cut = np.flatnonzero(np.diff(to, prepend=-1))
