@@ -12,11 +12,12 @@ import re
 import sys
 import types
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import staged, table
 from tidemark.operators.keys import number_ranges
 from tidemark.session import scratch_path
 
@@ -37,6 +38,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+
+
+def _parts(text: str) -> list[str]:
+    """The text cut as by ``_CUT``; plain splitting where no two spaces meet."""
+    if sum(map(text.count, _SPACES)) == len(text.split()) - 1:
+        return text.split(" ")
+    return _CUT.split(text)
+
+
 class _Encoder:
     """Ids of texts as little-endian bytes, remembering those of frequent words."""
 
@@ -48,10 +59,10 @@ class _Encoder:
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in found]
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [_CUT.split(text or "") for text in texts]
+        split = [_parts(text or "") for text in texts]
         heads = self._encode([parts[0] for parts in split])
         new = list({word for parts in split for word in parts[1:]} - self.known.keys())
         if len(self.known) + len(new) > REMEMBERED:
@@ -132,8 +143,9 @@ def packed(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) ->
         "doc_id", "start", "length", "doc_tokens", F.crc32("ids").alias("ids_crc32")
     )
     order = [F.col("length").desc(), F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
+    # Written first: range partitioning reads its input twice.
     numbered = number_ranges(
-        narrow, "sequence_id", order, scratch_path(docs.sparkSession, "packed"), 0
+        staged(narrow, "pieces"), "sequence_id", order, scratch_path(docs.sparkSession, "packed"), 0
     )
     return numbered.withColumn("offset", F.lit(0).cast("bigint"))
 
