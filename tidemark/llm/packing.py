@@ -26,7 +26,7 @@ SEQUENCE = 1024
 #: Id that ends each document.
 END_ID = 0
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Texts are cut at blanks between other characters. The tokenizer begins a new piece at
 #: each of them in any case, so the parts give the ids of the whole.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -38,6 +38,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_MARKS = frozenset(".,")
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 
@@ -56,6 +58,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
@@ -68,9 +71,14 @@ class _Encoder:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list({word for parts in split for word in parts[1:]})
+        # A mark after a letter begins a piece too, so only the word before it is encoded.
+        ended = [w for w in new if w[-1:] in _MARKS and w[-2:-1] in _LETTERS and len(w) > 1]
+        new = list({w[:-1] for w in ended} - self.known.keys() | set(new) - set(ended))
         for begin in range(0, len(new), 4096):
             words = new[begin : begin + 4096]
             self.known.update(zip(words, self._encode([f" {w}" for w in words]), strict=True))
+        for word in ended:
+            self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
         return [
             b"".join([head, *map(self.known.__getitem__, parts[1:])])
             for head, parts in zip(heads, split, strict=True)
