@@ -143,14 +143,12 @@ def learn(docs: DataFrame) -> LanguageFilter:
     kept = (
         counts.join(totals, "lang")
         .filter(F.col("n") >= F.greatest(F.lit(2), LEAST_SHARE * F.col("total")))
-        .groupBy("lang")
-        .agg(F.collect_list("code").alias("codes"))
-        .orderBy("lang")
-        .collect()
+        .select("lang", "code")
+        .toPandas()
     )
-    model = LanguageFilter([row["lang"] for row in kept])
-    for i, row in enumerate(kept):
-        model.add(i, np.array(row["codes"], np.uint32))
+    model = LanguageFilter(sorted(kept["lang"].unique()))
+    for i, name in enumerate(model.languages):
+        model.add(i, kept["code"][kept["lang"] == name].to_numpy(np.uint32))
     return model
 
 
