@@ -7,11 +7,13 @@ its own m from 1 to ``MOST_MATCHES`` by the cost its prefix is estimated to caus
 crowded prefixes grow longer and ask for more shared shingles before a pair is verified; a
 pair must share the smaller m of its two sides.
 
-Results are exact. Three things keep the work linear in dense groups:
+A parity sketch gives a lower bound of how far two sets differ, which spares most pairs the
+join with their sets. Results are exact. Three things keep the work linear in dense groups:
 
 * A posting list whose classes are already one component yields no pair.
-* Long lists are first linked through pivots, one pair per member and round. Pivots only
-  unite components sooner; what stays apart is compared in full afterwards.
+* Long lists are first linked through pivots, one pair per member and round, as long as
+  that spares pairs. Pivots only unite components sooner; what stays apart is compared in
+  full afterwards.
 * In a list of several components only pairs across them are formed, each with a member
   outside the largest one.
 """
@@ -43,6 +45,8 @@ VERIFY_COST = 8
 #: Lists longer than this are first linked through pivots, for at most so many rounds, and
 #: only while full comparison would form more than so many pairs per posting.
 PIVOT_LIST, PIVOT_ROUNDS, PAIRS_PER_POSTING = 32, 6, 4
+#: Bits of the parity sketch that rules out pairs before their sets are joined.
+SKETCH_BITS = 1024
 #: The table of common shingles that orders the prefixes has at most so many rows.
 COMMON_ROWS = 1 << 19
 
@@ -59,6 +63,15 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """One bit per slot: whether an odd number of the set's shingles falls into it.
+
+    The sketches of two sets differ in at most as many bits as the sets do in shingles.
+    """
+    slots = (shingles >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
+    return np.packbits(np.bincount(slots, minlength=SKETCH_BITS) & 1).tobytes()
+
+
 def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
     """Shingles that come back within a task, with how many texts of such tasks have them.
 
@@ -214,6 +227,25 @@ class _Linker:
 
     def verify(self, pairs: DataFrame, sets: DataFrame) -> bool:
         """Add the pairs ``a, b`` that are similar enough; False if there are none."""
+        size = F.size("shingles")
+        light = [
+            sets.select(
+                F.col("node").alias(c), size.alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")
+            )
+            for c in "ab"
+        ]
+        # At most this share of both sets together may be in one of them only.
+        apart = F.aggregate(
+            F.zip_with("sketch_a", "sketch_b", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+            F.lit(0),
+            lambda total, bits: total + bits,
+        )
+        pairs = (
+            pairs.join(light[0], "a")
+            .join(light[1], "b")
+            .filter(apart * (100 + self.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent))
+            .select("a", "b")
+        )
         side = [
             sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
             for c in "ab"
@@ -295,7 +327,7 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of the classes in ``nodes``, one row each.
+    """``node, shingles, sketch`` of the classes in ``nodes``, one row each.
 
     A bitmap over text keys picks the texts to read again; one text stands for a class.
     """
@@ -313,6 +345,8 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
                 continue
             shingles = [held.view(np.int64) for _, held in _sets(part, size)]
             lengths = np.cumsum([0, *map(len, shingles)])
+            sketches = b"".join(_sketch(held.view(np.uint64)) for held in shingles)
+            words = SKETCH_BITS // 64
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("text_key"),
@@ -321,18 +355,23 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
                         pa.array(lengths, pa.int32()),
                         pa.array(np.concatenate([*shingles, np.zeros(0, np.int64)])),
                     ),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(shingles) + 1) * words, pa.int32()),
+                        pa.array(np.frombuffer(sketches, np.int64)),
+                    ),
                 ],
-                ["text_key", "cls", "shingles"],
+                ["text_key", "cls", "shingles", "sketch"],
             )
 
     read = docs.select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        sets, "text_key long, cls binary, shingles array<long>"
+        sets, "text_key long, cls binary, shingles array<long>, sketch array<long>"
     )
-    one = read.groupBy("text_key", "cls").agg(F.any_value("shingles").alias("shingles"))
+    held = F.any_value(F.struct("shingles", "sketch"))
+    one = read.groupBy("text_key", "cls").agg(held.alias("held"))
     return staged(
         wanted.join(classes.select("node", "cls"), "node")
         .join(one, ["text_key", "cls"])
-        .select("node", "shingles"),
+        .select("node", "held.shingles", "held.sketch"),
         "sets",
     )
 
@@ -358,7 +397,7 @@ def similar_components(
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     postings = _postings(classes, percent)
     linker, sets = _Linker(percent), None
-    entries = postings.count()
+    entries, before = postings.count(), None
     for turn in range(PIVOT_ROUNDS + 1):
         # Lists that have become one component are done with, so each turn reads fewer.
         apart = staged(_sized(linker.labelled(postings)), "apart")
@@ -366,6 +405,10 @@ def similar_components(
         due = apart.filter("component != largest").agg(F.sum("texts")).first()[0] or 0
         if turn == PIVOT_ROUNDS or due <= PAIRS_PER_POSTING * entries:
             break
+        # A further turn must be worth its cost: the last one has to have spared more.
+        if before is not None and before - due < PAIRS_PER_POSTING * entries:
+            break
+        before = due
         if sets is None:
             nodes = apart.filter(F.col("texts") > PIVOT_LIST).select("node")
             sets = _class_sets(docs, classes, nodes, shingle_words)
