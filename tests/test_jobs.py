@@ -3,12 +3,12 @@ from __future__ import annotations
 import json
 
 import pytest
-from boards import node, page
+from boards import bronze, node, page
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.snapshots import Mart
-from tidemark.plans.jobs import Pipeline, write_datasets
+from tidemark.plans.jobs import Pipeline, StageError, write_datasets
 from tidemark.sources import csv_datasets
 from tidemark.sources.warehouse import Warehouse
 from tidemark.streaming.intake import store_new_documents
@@ -80,3 +80,28 @@ def test_datasets_from_gold_and_from_csv(spark, stored, tmp_path):
     again = spark.read.parquet(str(tmp_path / "again" / "interventions"))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, read["interventions"].collect()))
     assert "None" not in {r["reviewer"] for r in again.collect()}
+
+
+def test_a_bad_run_is_set_aside_and_an_empty_one_recorded(spark, warehouse):
+    pipeline = Pipeline(warehouse)
+    pipeline.store_extractions(bronze(spark, page(node("a", assignees=[{"login": "rex"}])), run_id="good"))
+    bad = bronze(spark, page(node("b")), run_id="bad", extracted_at="2026-08-06T00:00:00")
+    pipeline.store_extractions(bad.withColumn("payload", F.lit("{oops")))
+    untitled = page(node("z", title="no milestone"))
+    pipeline.store_extractions(bronze(spark, untitled, run_id="empty", extracted_at="2026-08-07T00:00:00"))
+    assert pipeline.catch_up_silver()
+    loads = warehouse.read("ops.silver_loads").collect()
+    assert {r["run_id"]: r["row_count"] for r in loads} == {"good": 1, "empty": 0}
+    failure = warehouse.read("ops.stage_failures").first()
+    assert (failure["run_id"], failure["error_stage"]) == ("bad", "silver_transform")
+    with pytest.raises(StageError, match="silver_transform: 1 malformed pages"):
+        pipeline.catch_up_silver()
+    assert pipeline.catch_up_gold() and not pipeline.catch_up_gold()
+    assert warehouse.read("gold.fact_submission_snapshot").count() == 1
+
+
+def test_a_page_stored_twice_is_rejected(spark, warehouse):
+    pages = bronze(spark, page(node("a")))
+    with pytest.raises(StageError, match="duplicate page"):
+        Pipeline(warehouse).store_extractions(pages.unionByName(pages))
+    assert warehouse.read("bronze.raw_issue_extractions").isEmpty()

@@ -98,14 +98,20 @@ def milestone_members(silver: DataFrame, rules: BoardRules) -> DataFrame:
         .agg(F.min(FIRST_SEEN).alias(FIRST_SEEN))
     )
     number = milestone_number(F.col("milestone"))
-    # The deadline goes with the number, so "M02" shares the deadline of "M2".
-    by_number = deadlines.select(
-        milestone_number(F.col("milestone")).alias("milestone_number"), "deadline_date"
+    # A name's own deadline first; otherwise it goes with the number, so "M02" shares the
+    # deadline of "M2". Deadlines that contradict each other give an unknown name none.
+    own = deadlines.withColumnRenamed("deadline_date", "own_deadline")
+    by_number = deadlines.groupBy(number.alias("milestone_number")).agg(
+        F.when(F.min("deadline_date") == F.max("deadline_date"), F.min("deadline_date")).alias(
+            "number_deadline"
+        )
     )
+    deadline = F.coalesce("own_deadline", "number_deadline")
     return (
         names.withColumn("milestone_number", number)
+        .join(F.broadcast(own), "milestone", "left")
         .join(F.broadcast(by_number), "milestone_number", "left")
-        .select("milestone", "milestone_number", "deadline_date", FIRST_SEEN)
+        .select("milestone", "milestone_number", deadline.alias("deadline_date"), FIRST_SEEN)
     )
 
 

@@ -216,6 +216,6 @@ def runs_sharing_a_time(runs: DataFrame, loaded: DataFrame) -> DataFrame:
     return every.join(shared, "extracted_at", "left_semi").select("run_id", "extracted_at")
 
 
-def load_rows(runs: DataFrame) -> DataFrame:
+def load_rows(runs: DataFrame, *more: str) -> DataFrame:
     """Silver or gold ledger rows for runs just loaded."""
-    return runs.select("run_id", "extracted_at", F.current_timestamp().alias("loaded_at"))
+    return runs.select("run_id", "extracted_at", F.current_timestamp().alias("loaded_at"), *more)

@@ -65,20 +65,45 @@ class Pipeline:
         except StageError:
             raise
         except Exception as error:
+            row = (None, datetime.now(timezone.utc), stage, type(error).__name__, str(error))
             try:
-                self._record_stage_failure(stage, error)
+                self._record_stage_failures(
+                    self.spark.createDataFrame([row], schemas.STAGE_FAILURES.schema)
+                )
             except Exception:
                 logger.exception("Could not store the failure of stage %s", stage)
             raise StageError(stage, error) from error
 
-    def _record_stage_failure(self, stage: str, error: Exception) -> None:
-        row = (None, datetime.now(timezone.utc), stage, type(error).__name__, str(error))
-        failure = self.spark.createDataFrame([row], schemas.STAGE_FAILURES.schema)
+    def _record_stage_failures(self, failures: DataFrame) -> None:
         message = redact(F.col("error_message"), self.secrets, schemas.MAX_ERROR_MESSAGE)
         with self.warehouse.begin() as commit:
             commit.append(
-                schemas.STAGE_FAILURES.name, failure.withColumn("error_message", message)
+                schemas.STAGE_FAILURES.name, failures.withColumn("error_message", message)
+            )
+
+    def _without_failed(self, runs: DataFrame, failed: DataFrame) -> DataFrame:
+        """The other runs. ``failed`` (``run_id, error_stage, problem``) goes to the log.
+
+        If no other run is left, the first problem is raised; failed runs stay pending.
+        """
+        first = failed.orderBy("run_id").limit(1).collect()
+        if not first:
+            return runs
+        self._record_stage_failures(
+            failed.select(
+                "run_id",
+                F.current_timestamp().alias("failed_at"),
+                "error_stage",
+                F.lit("ValueError").alias("error_type"),
+                F.col("problem").alias("error_message"),
             )
+        )
+        others = runs.join(failed.select("run_id"), "run_id", "left_anti")
+        stage, cause = first[0]["error_stage"], ValueError(f"{first[0]['problem']} ({first[0]['run_id']})")
+        if others.isEmpty():
+            raise StageError(stage, cause)
+        logger.warning("Runs were set aside; the first: %s: %s", stage, cause)
+        return others
 
     def _require_none(self, violations: DataFrame, complaint: str) -> None:
         example = violations.limit(1).collect()
@@ -129,25 +154,31 @@ class Pipeline:
         return self.spark.read.parquet(path)
 
     def _attempt_verdicts(self, checked: DataFrame) -> DataFrame:
-        """Per attempt: the problem of its first bad page, or null."""
+        """Per attempt: the problem of its first bad page, or null.
+
+        A page number that comes twice is reported first: the chain is not defined then.
+        """
         chained = landing.cursor_chain(checked, ledger.ATTEMPT)
         problem = F.coalesce("reject_reason", "chain_problem")
         per_attempt = chained.groupBy(*ledger.ATTEMPT).agg(
             F.min("extracted_at").alias("extracted_at"),
             F.min_by(problem, F.when(problem.isNotNull(), F.col("page_no"))).alias("first_problem"),
             F.max_by("has_next", "page_no").alias("goes_on"),
+            (F.count("page_no") > F.count_distinct("page_no")).alias("repeats"),
         )
+        repeated = F.when(F.col("repeats"), "duplicate page")
         unfinished = F.when(F.col("goes_on"), "last page is missing")
         return per_attempt.select(
             *ledger.ATTEMPT,
             "extracted_at",
-            F.coalesce("first_problem", unfinished).alias("problem"),
+            F.coalesce(repeated, "first_problem", unfinished).alias("problem"),
         )
 
     def store_extractions(self, bronze: DataFrame, started_at: datetime | None = None) -> None:
         """Store bronze pages as succeeded attempts, e.g. from payload documents.
 
-        Attempts that already have an outcome are skipped.
+        Attempts that already have an outcome are skipped. A page number that comes twice
+        in an attempt fails the job.
         """
         now = F.current_timestamp()
         begun = F.lit(started_at) if started_at else now
@@ -155,6 +186,10 @@ class Pipeline:
         with self.warehouse.begin() as commit, self._stage("bronze_load"):
             commit.append(schemas.RAW_EXTRACTIONS.name, ledger.new_attempts(bronze, attempts))
             stored = commit.written(schemas.RAW_EXTRACTIONS.name)
+            self._require_none(
+                quality.duplicate_keys(stored, list(schemas.RAW_EXTRACTIONS.unique[0])),
+                f"{schemas.RAW_EXTRACTIONS.name} has a duplicate page",
+            )
             stored = stored.select(*ledger.ATTEMPT).distinct()
             commit.append(
                 schemas.PIPELINE_ATTEMPTS.name, ledger.success_rows(stored, begun, now)
@@ -172,7 +207,12 @@ class Pipeline:
     # --- Silver ----------------------------------------------------------------------
 
     def catch_up_silver(self) -> bool:
-        """Turn the pages of all pending runs into silver. False if none is pending."""
+        """Turn the pages of all pending runs into silver. False if none is pending.
+
+        All runs are loaded as one batch. Only if that fails are the runs looked at one by
+        one: those at fault go to ``ops.stage_failures``, and the others are loaded. A run
+        that yields no rows is recorded with none.
+        """
         stored = self.warehouse.read_all(
             schemas.RAW_EXTRACTIONS.name,
             schemas.PIPELINE_ATTEMPTS.name,
@@ -183,40 +223,94 @@ class Pipeline:
         if pending.isEmpty():
             logger.info("No pending runs to load into silver")
             return False
-        with self._stage("silver_transform"):
-            rows = to_silver(ledger.extractions_of(pages, pending), self.rules)
-        self.load_silver(rows, several_runs=pending.limit(2).count() > 1)
+        pending = self._keep(pending)
+        try:
+            self._publish_silver(pages, pending)
+        except Exception as error:
+            logger.warning("The silver batch failed, its runs are checked: %s", error)
+            with self._stage("silver_transform"):
+                failed = self._keep(self._silver_problems(pages, pending))
+            others = self._without_failed(pending, failed)
+            with self._stage("silver_load"):
+                self._publish_silver(pages, others)
         return True
 
+    def _publish_silver(self, pages: DataFrame, pending: DataFrame) -> None:
+        chosen = ledger.extractions_of(pages, pending)
+        times = chosen.select("run_id", "extracted_at").distinct()
+        several = pending.limit(2).count() > 1
+        with self.warehouse.begin() as commit:
+            self._add_silver(commit, to_silver(chosen, self.rules), several, times)
+
+    def _silver_problems(self, pages: DataFrame, pending: DataFrame) -> DataFrame:
+        """``run_id, error_stage, problem`` of the pending runs that cannot be loaded."""
+        chosen = ledger.extractions_of(pages, pending)
+        _, rejected = landing.quarantine_pages(chosen)
+        malformed = self._keep(
+            rejected.groupBy("run_id").agg(
+                F.lit("silver_transform").alias("error_stage"),
+                F.concat(F.count("*"), F.lit(" malformed pages")).alias("problem"),
+            )
+        )
+        readable = pending.join(malformed.select("run_id"), "run_id", "left_anti")
+        rows = to_silver(ledger.extractions_of(pages, readable), self.rules)
+        spec = schemas.SILVER
+        has_null = F.greatest(*(F.col(c).isNull().cast("int") for c in spec.required)) == 1
+        checked = rows.groupBy("run_id").agg(
+            F.count_if(has_null).alias("nulls"),
+            (F.count("*") - F.count_distinct("issue_id")).alias("repeats"),
+            F.count_distinct("extracted_at").alias("times"),
+        )
+        problem = (
+            F.when(F.col("nulls") > 0, f"{spec.name} has nulls")
+            .when(F.col("repeats") > 0, f"{spec.name} has duplicate keys")
+            .when(F.col("times") > 1, "the run has several extraction times")
+        )
+        unfit = checked.select(
+            "run_id", F.lit("silver_load").alias("error_stage"), problem.alias("problem")
+        )
+        return malformed.unionByName(unfit.filter(F.col("problem").isNotNull()))
+
     def load_silver(self, rows: DataFrame, several_runs: bool = True) -> None:
         """Append silver rows after the column, null and key checks.
 
         Rows of a single run go into one folder as they are; those of several runs are
         gathered per run first, or every task would write a file to every folder.
         """
-        spec = schemas.SILVER
         with self.warehouse.begin() as commit, self._stage("silver_load"):
-            commit.append(spec.name, rows, spread_by_partition=several_runs)
-            written = commit.written(spec.name)
-            self._append_load(commit, schemas.SILVER_LOADS.name, written)
-            self._together(
-                lambda: self._require_none(
-                    quality.null_counts(written, spec.required).filter("null_count > 0"),
-                    f"{spec.name} has nulls",
-                ),
-                lambda: self._require_none(
-                    quality.duplicate_keys(written, list(spec.unique[0])),
-                    f"{spec.name} has duplicate keys",
-                ),
-                lambda: self._require_none(
-                    quality.duplicate_keys(commit.staged(schemas.SILVER_LOADS.name), ["run_id"]),
-                    f"{spec.name} already has the run, or it has several extraction times",
-                ),
-            )
+            self._add_silver(commit, rows, several_runs)
 
-    def _append_load(self, commit: Commit, name: str, rows: DataFrame) -> None:
-        runs = rows.select("run_id", "extracted_at").distinct()
-        commit.append(name, ledger.load_rows(runs))
+    def _add_silver(
+        self,
+        commit: Commit,
+        rows: DataFrame,
+        several_runs: bool,
+        times: DataFrame | None = None,
+    ) -> None:
+        """``times``: ``run_id, extracted_at`` of runs to record even if they have no rows."""
+        spec = schemas.SILVER
+        commit.append(spec.name, rows, spread_by_partition=several_runs)
+        written = commit.written(spec.name)
+        counted = written.groupBy("run_id", "extracted_at").agg(F.count("*").alias("row_count"))
+        if times is not None:
+            empty = times.join(written.select("run_id").distinct(), "run_id", "left_anti")
+            empty = empty.groupBy("run_id").agg(F.min("extracted_at").alias("extracted_at"))
+            counted = counted.unionByName(empty.withColumn("row_count", F.lit(0)))
+        commit.append(schemas.SILVER_LOADS.name, ledger.load_rows(counted, "row_count"))
+        self._together(
+            lambda: self._require_none(
+                quality.null_counts(written, spec.required).filter("null_count > 0"),
+                f"{spec.name} has nulls",
+            ),
+            lambda: self._require_none(
+                quality.duplicate_keys(written, list(spec.unique[0])),
+                f"{spec.name} has duplicate keys",
+            ),
+            lambda: self._require_none(
+                quality.duplicate_keys(commit.staged(schemas.SILVER_LOADS.name), ["run_id"]),
+                f"{spec.name} already has the run, or it has several extraction times",
+            ),
+        )
 
     # --- Gold ------------------------------------------------------------------------
 
@@ -225,29 +319,22 @@ class Pipeline:
 
         The batch equals loading run after run in extraction order: the latest
         extraction of an issue supplies its attributes, and keys are given out in the
-        order in which runs, then members, appear.
+        order in which runs, then members, appear. Runs that break a guard go to
+        ``ops.stage_failures``, and the others are loaded; of runs that hold the same
+        submission at the same time, none is.
         """
         stored = self.warehouse.read_all(
             schemas.SILVER.name, schemas.SILVER_LOADS.name, schemas.GOLD_LOADS.name
         )
         silver, silver_loads, gold_loads = stored.values()
-        runs = ledger.pending_runs(silver_loads, gold_loads)
+        runs = ledger.pending_runs(silver_loads.filter("row_count > 0"), gold_loads)
         if runs.isEmpty():
             logger.info("No pending runs to load into gold")
             return False
-        pending = standardise_times(ledger.pending_silver(silver, runs))
         with self._stage("gold_transform"):
-            # Checked on the run list: a run has one ledger row per extraction time.
-            self._require_none(
-                quality.duplicate_keys(runs, ["run_id"]),
-                "Silver run contains multiple extraction timestamps",
-            )
-            shared = ledger.runs_sharing_a_time(runs, gold_loads)
-            if not shared.isEmpty():
-                self._require_none(
-                    facts.grain_violations(ledger.restrict_to_runs(silver, shared)),
-                    "Gold submission snapshots must be unique by issue_id and extracted_at",
-                )
+            failed = self._keep(self._gold_problems(silver, runs, gold_loads))
+        runs = self._without_failed(runs, failed)
+        pending = standardise_times(ledger.pending_silver(silver, runs))
         with self.warehouse.begin() as commit:
             with self._stage("gold_transform"):
                 numbered = self._build_gold(commit, pending)
@@ -255,6 +342,37 @@ class Pipeline:
                 self._load_gold(commit, numbered)
         return True
 
+    def _gold_problems(
+        self, silver: DataFrame, runs: DataFrame, gold_loads: DataFrame
+    ) -> DataFrame:
+        """``run_id, error_stage, problem`` of the pending runs that break a guard.
+
+        Rows are read only of runs that share their extraction time, usually none.
+        """
+
+        def problems(found: DataFrame, text: str) -> DataFrame:
+            return found.select(
+                "run_id", F.lit("gold_transform").alias("error_stage"), F.lit(text).alias("problem")
+            )
+
+        # Checked on the run list: a run has one ledger row per extraction time.
+        mixed = problems(
+            quality.duplicate_keys(runs, ["run_id"]),
+            "Silver run contains multiple extraction timestamps",
+        )
+        shared = ledger.runs_sharing_a_time(runs, gold_loads)
+        if shared.isEmpty():
+            return mixed
+        rows = ledger.restrict_to_runs(silver, shared)
+        repeated = facts.grain_violations(rows).select("issue_id", "extracted_at")
+        clashing = rows.join(repeated, ["issue_id", "extracted_at"], "left_semi")
+        clashing = clashing.select("run_id").distinct().join(runs, "run_id", "left_semi")
+        clashing = problems(
+            clashing.join(mixed, "run_id", "left_anti"),
+            "Gold submission snapshots must be unique by issue_id and extracted_at",
+        )
+        return mixed.unionByName(clashing)
+
     def _upsert_dimension(self, commit: Commit, spec, pending: DataFrame) -> None:
         name = spec.table.name
         merged, added = dimensions.upsert(
@@ -289,10 +407,21 @@ class Pipeline:
 
     def _load_gold(self, commit: Commit, numbered: DataFrame) -> None:
         reviewers = commit.staged(schemas.DIM_REVIEWER.table.name)
+        loads = numbered.select("run_id", "extracted_at").distinct()
+
+        def add_bridge() -> None:
+            commit.append(schemas.BRIDGE.name, facts.bridge_rows(numbered, reviewers))
+            nulls = quality.null_counts(
+                commit.written(schemas.BRIDGE.name), schemas.BRIDGE.required
+            )
+            self._require_none(
+                nulls.filter("null_count > 0"), "Gold batch contains an unresolved reviewer key"
+            )
+
         self._together(
             lambda: commit.append(schemas.FACT.name, facts.fact_rows(numbered)),
-            lambda: commit.append(schemas.BRIDGE.name, facts.bridge_rows(numbered, reviewers)),
-            lambda: self._append_load(commit, schemas.GOLD_LOADS.name, numbered),
+            add_bridge,
+            lambda: commit.append(schemas.GOLD_LOADS.name, ledger.load_rows(loads)),
         )
 
     # --- Whole run and metrics -----------------------------------------------------------

@@ -247,10 +247,11 @@ GOLD_LOADS = TableSpec(
     unique=(("run_id",),),
 )
 
-# Published with the silver rows: names the runs in silver without reading them.
+# Published with the silver rows: names the runs in silver without reading them. A run
+# may have no rows.
 SILVER_LOADS = TableSpec(
     "ops.silver_loads",
-    _schema("run_id:string extracted_at:ts loaded_at:ts"),
+    _schema("run_id:string extracted_at:ts loaded_at:ts row_count:long"),
     unique=(("run_id",),),
 )
 
