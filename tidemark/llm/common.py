@@ -172,11 +172,35 @@ def in_bitmap(bitmap: bytes, values: np.ndarray) -> np.ndarray:
     return (held >> (bit & _U64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
+def star_step(edges: DataFrame) -> DataFrame:
+    """Edges ``u > v`` with the same components, drawn nearer to the least nodes.
+
+    A large-star and a small-star step. Minimums combine before they are shuffled, and
+    joins on a hub are split by the skew join.
+    """
+    both = edges.union(edges.select("v", "u"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    edges = (
+        both.filter("v > u")
+        .join(least, "u")
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .filter("u > v")
+        .distinct()
+    )
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    joined = edges.join(least, "u")
+    return (
+        joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .union(least.select("u", F.col("m").alias("v")))
+        .filter("u > v")
+        .distinct()
+    )
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """``node, component`` for every node of ``links`` (``a``, ``b``): the least node reached.
 
-    Alternates the large-star and small-star steps until the edges stand still. Minimums
-    combine before they are shuffled, and joins on a hub are split by the skew join.
+    Repeats :func:`star_step` until the edges stand still.
     """
     edges = staged(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -185,24 +209,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         label,
     )
     while True:
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        edges = (
-            both.filter("v > u")
-            .join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .filter("u > v")
-            .distinct()
-        )
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        joined = edges.join(least, "u")
-        edges = staged(
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least.select("u", F.col("m").alias("v")))
-            .filter("u > v")
-            .distinct(),
-            label,
-        )
+        edges = staged(star_step(edges), label)
         # Done when all edges lead to a node that leads nowhere itself, one from each node.
         chained = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
         forked = edges.groupBy("u").count().filter("count > 1")

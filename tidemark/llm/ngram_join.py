@@ -11,9 +11,10 @@ A parity sketch gives a lower bound of how far two sets differ, which spares mos
 join with their sets. Results are exact. Three things keep the work linear in dense groups:
 
 * A posting list whose classes are already one component yields no pair.
-* Long lists are first linked through pivots, one pair per member and round, as long as
+* Long lists are first linked through pivots, a few pairs per member and round, as long as
   that spares pairs. Pivots only unite components sooner; what stays apart is compared in
-  full afterwards.
+  full afterwards. Rounds need no exact components: one step towards them is enough, as
+  long as equal labels mean one component.
 * In a list of several components only pairs across them are formed, each with a member
   outside the largest one.
 """
@@ -33,6 +34,7 @@ from tidemark.llm.common import (
     components,
     in_bitmap,
     staged,
+    star_step,
     table,
     windows,
     word_hashes,
@@ -42,9 +44,9 @@ from tidemark.llm.common import (
 MOST_MATCHES = 4
 #: Cost of verifying a pair, in posting entries read.
 VERIFY_COST = 8
-#: Lists longer than this are first linked through pivots, for at most so many rounds, and
-#: only while full comparison would form more than so many pairs per posting.
-PIVOT_LIST, PIVOT_ROUNDS, PAIRS_PER_POSTING = 32, 6, 4
+#: Lists longer than this are first linked through so many pivots a round, for at most so
+#: many rounds, and only while full comparison would form more than so many pairs per posting.
+PIVOT_LIST, PIVOTS, PIVOT_ROUNDS, PAIRS_PER_POSTING = 32, 2, 3, 4
 #: Bits of the parity sketch that rules out pairs before their sets are joined.
 SKETCH_BITS = 1024
 #: The table of common shingles that orders the prefixes has at most so many rows.
@@ -212,11 +214,14 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
 
 
 class _Linker:
-    """Verified links so far, and the components that they make."""
+    """Edges with the components of the verified links, and labels of the nodes.
+
+    Nodes of one label are in one component; after :meth:`finish` the reverse holds too.
+    """
 
     def __init__(self, percent: int):
         self.percent = percent
-        self.links: DataFrame | None = None
+        self.edges: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def labelled(self, postings: DataFrame) -> DataFrame:
@@ -261,10 +266,23 @@ class _Linker:
         )
         if links.isEmpty():
             return False
-        self.links = links if self.links is None else self.links.union(links)
-        self.labels = staged(components(self.links), "labels")
+        edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        self.edges = edges if self.edges is None else self.edges.union(edges)
         return True
 
+    def shorten(self) -> None:
+        """Label the nodes after one step towards the components."""
+        self.edges = staged(star_step(self.edges), "edges")
+        self.labels = self.edges.groupBy(F.col("u").alias("node")).agg(
+            F.min("v").alias("component")
+        )
+
+    def finish(self) -> None:
+        """Label the nodes by their components."""
+        if self.edges is not None:
+            links = self.edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+            self.labels = staged(components(links), "labels")
+
 
 def _in_reach(percent: int):
     """Sizes that can still be similar enough."""
@@ -286,13 +304,17 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member outside a long list's largest component with that list's pivot of this turn."""
+    """Each member outside a long list's largest component with that list's pivots of this turn."""
     long_lists = rows.filter(F.col("texts") > PIVOT_LIST)
-    order = F.struct(F.xxhash64("node", "shingle", F.lit(turn)), "node", "n")
+    least = [
+        F.min(F.struct(F.xxhash64("node", "shingle", F.lit(PIVOTS * turn + k)), "node", "n"))
+        for k in range(PIVOTS)
+    ]
     pivots = (
         long_lists.filter("component = largest")
         .groupBy("shingle")
-        .agg(F.min(order).alias("pivot"))
+        .agg(F.array(*least).alias("pivots"))
+        .select("shingle", F.explode("pivots").alias("pivot"))
         .select("shingle", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("n_b"))
     )
     return (
@@ -414,9 +436,11 @@ def similar_components(
             sets = _class_sets(docs, classes, nodes, shingle_words)
         if not linker.verify(staged(_pivot_pairs(apart, turn, percent), "pivots"), sets):
             break
+        linker.shorten()
     pairs = staged(_cross_pairs(apart, percent), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     linker.verify(pairs, _class_sets(docs, classes, nodes, shingle_words))
+    linker.finish()
     named = linker.labelled(classes.select("node", "cls", "least_id"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_class = staged(named.join(least, "component").select("cls", "component_id"), "by-class")
