@@ -49,6 +49,8 @@ VERIFY_COST = 8
 PIVOT_LIST, PIVOTS, PIVOT_ROUNDS, PAIRS_PER_POSTING = 32, 2, 3, 4
 #: Bits of the parity sketch that rules out pairs before their sets are joined.
 SKETCH_BITS = 1024
+#: Texts, and shingles to count, that a task holds at a time.
+SLICE_ROWS, BLOCK_SHINGLES = 1024, 1 << 21
 #: The table of common shingles that orders the prefixes has at most so many rows.
 COMMON_ROWS = 1 << 19
 
@@ -61,6 +63,12 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
             yield first + i, np.unique(windows(hashes[end - count : end], size))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(begin, SLICE_ROWS)
+
+
 def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -75,23 +83,31 @@ def _sketch(shingles: np.ndarray) -> bytes:
 
 
 def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
-    """Shingles that come back within a task, with how many texts of such tasks have them.
+    """Shingles that come back within a block, with how many texts of such blocks have them.
 
     An estimate that only orders the prefixes. It counts each whole text, and a table of
     its ``COMMON_ROWS`` most common shingles is bounded by construction.
     """
 
+    def repeated(held):
+        value, times = np.unique(np.concatenate(held), return_counts=True)
+        again = times > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(value[again].view(np.int64)), pa.array(times[again].astype(np.int64))],
+            ["shingle", "texts"],
+        )
+
     def count(batches):
-        held = []
-        for batch in batches:
-            held += [shingles for _, shingles in _sets(batch, size)]
+        held, entries = [], 0
+        for batch in _slices(batches):
+            for _, shingles in _sets(batch, size):
+                held.append(shingles)
+                entries += len(shingles)
+                if entries >= BLOCK_SHINGLES:
+                    yield repeated(held)
+                    held, entries = [], 0
         if held:
-            value, times = np.unique(np.concatenate(held), return_counts=True)
-            again = times > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value[again].view(np.int64)), pa.array(times[again].astype(np.int64))],
-                ["shingle", "texts"],
-            )
+            yield repeated(held)
 
     counts = docs.select("text").mapInArrow(count, "shingle long, texts long")
     return counts.groupBy("shingle").agg(F.sum("texts").alias("texts"))
@@ -126,7 +142,7 @@ def _signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(_common_table(docs, size))
 
     def sign(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             n, cls, prefix = [], [], []
             for _, shingles in _sets(batch, size):
                 n.append(len(shingles))
@@ -360,7 +376,7 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "text_key"))
 
     def sets(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             kept = in_bitmap(bitmap.value, batch.column("text_key").to_numpy())
             part = batch.filter(pa.array(kept))
             if not part.num_rows:
