@@ -300,6 +300,53 @@ def test_scores_equal_brute_force_and_sum_to_one(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(w in count for w in t), total)
 
 
+def test_every_word_is_in_the_model(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 20_000)
+    monkeypatch.setattr(lm, "BUCKET_WORDS", 30_000)
+    rng = random.Random(8)
+    rare = [f"w{i}" for i in range(300_000)]
+    texts = [rare[i : i + 1000] for i in range(0, 300_000, 1000)]
+    texts += [rng.choices(rare[:20_000] + WORDS * 200, k=1000) for _ in range(60)]
+    held = [rng.choices([*rare, *WORDS * 1000, "never"], k=50) for _ in range(40)]
+    rows = [(i, " ".join(t), i >= len(texts)) for i, t in enumerate(texts + held)]
+    texts, held = [[*t, "\0"] for t in texts], [[*t, "\0"] for t in held]
+    count = collections.Counter(w for t in texts for w in t)
+    pairs = collections.Counter(p for t in texts for p in zip(["", *t], t))
+    total, of = sum(count.values()), collections.Counter()
+    for (h, _), n in pairs.items():
+        of[h] += n
+
+    def factors(values):
+        found = collections.Counter(values)
+        return [*lm.discounts([0, *(found[r] for r in range(1, lm.DISCOUNTED + 2))]), 1.0]
+
+    single, double = factors(count.values()), factors(pairs.values())
+    share = {w: n * single[min(n, lm.DISCOUNTED + 1)] / total for w, n in count.items()}
+    unknown = 1 - math.fsum(share.values())
+    left, unseen, few = collections.Counter(of), collections.Counter(), set()
+    for (h, w), n in pairs.items():
+        left[h] -= n * double[min(n, lm.DISCOUNTED + 1)]
+        unseen[h] += share[w]
+        few |= {h} if n <= lm.DISCOUNTED else set()
+
+    def p(h, w):
+        more = h in of and h not in few and of[h] <= lm.FREQUENT * total
+        n = pairs[h, w]
+        if n:
+            return n * double[min(n, lm.DISCOUNTED + 1)] / (of[h] + more)
+        free = (left[h] + more) / (of[h] + more) if h in of else 1
+        return free / (1 - unseen[h]) * share.get(w, unknown)
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    found = lm.scored(frame).collect()
+    assert len(count) > 1 << 18 and len(found) == len(rows)
+    for r in found:
+        t = (texts + held)[r.doc_id]
+        want = math.fsum(math.log10(p(h, w)) for h, w in zip(["", *t], t))
+        assert math.isclose(r.score, want, rel_tol=1e-9)
+        assert r.n_known == sum(w in count for w in t)
+
+
 def test_lm_edge_rows(docs, nothing):
     from pyspark.sql import functions as F
 

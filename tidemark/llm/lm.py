@@ -5,16 +5,17 @@
 
 ``a(h)`` is the mass that the discounts free, over the mass of the words not seen after h,
 so that the probabilities after each h sum to 1. Where all pairs of h are too frequent to be
-discounted, c(h) + 1 takes the place of c(h), so that some mass is free. The vocabulary is the ``VOCABULARY`` most
-frequent words; all others are one class, within which a word has its share of counts, and
-words never seen have the share of words seen once. p(w) of the class is what the discounts
-leave.
-
-Tokens meet their counts in one shuffle. Pairs are dealt by their first word, those of a
-frequent first word by both. A bucket counts its pairs (the stored model), and gives each
-document sums that need no other bucket; what depends on global figures (discounts and
-back-off weights) is left open as counts and histories, and is filled in when the weights
-are known. Blocks of numbers travel as compressed columns, so a token costs a few bytes.
+discounted, c(h) + 1 takes the place of c(h), so that some mass is free. Every word of the
+training texts is in the vocabulary; p(w) of all words never seen is what the discounts leave.
+
+Texts are held in blocks of packed columns. A block asks for the counts of its distinct words
+by hash, and later for those of its distinct pairs; whoever has a share of the words or pairs
+sums what the blocks sent and answers each of them. No table of words is ever in one place.
+
+Words are numbered by falling count: a number tells its word's count, and with it p(w), from
+a table with one entry per count that occurs (at most the root of twice the tokens). Pairs
+are dealt by their first word, those of a common first word by both; a pair comes once per
+block, however often it occurs there.
 """
 
 from __future__ import annotations
@@ -28,14 +29,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mix, staged, table, word_hashes
 from tidemark.llm.langid import fold
 
-#: Words that have numbers of their own; bounds what is broadcast (16 bytes each).
-VOCABULARY = 1 << 18
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
-#: First words with more than this share of all tokens are dealt by pair.
+#: First words with more than this share of all tokens always have mass left by the discounts.
 FREQUENT = 1 / 512
-#: Training tokens per bucket, and tokens per block of documents.
-BUCKET_TOKENS, BLOCK_TOKENS = 1_000_000, 1_000_000
+#: Tokens per bucket of pairs, and distinct words of blocks per bucket of words.
+BUCKET_TOKENS, BUCKET_WORDS = 1_000_000, 250_000
+#: First words with more than this share of a bucket, or FREQUENT ones, are dealt by pair.
+SPREAD = 1 / 4
 END = np.uint64(0x5E17_B0DE_0FF1_CE01)
 
 
@@ -84,83 +85,40 @@ def discounts(counts_of_counts: list[int]) -> np.ndarray:
     return factors
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word, n``: how often each token hash occurs; tasks sum before the shuffle."""
-
-    def count(batches):
-        for batch in batches:
-            for _, _, hashes in _tokens(batch.column("text")):
-                word, n = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"]
-                )
+_BLOCKS = (
+    "block long, ids binary, flags binary, counts binary, words binary, trained binary, "
+    "tokens binary, n_tokens long, n_words long"
+)
 
-    rows = docs.select("text").mapInArrow(count, "word long, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
+def _blocks(docs: DataFrame) -> DataFrame:
+    """Runs of documents: their distinct words with training counts, and tokens as places there."""
 
-class Unigrams:
-    """What the words tell before pairs are counted; all arrays are bounded by VOCABULARY."""
+    def build(batches):
+        serial = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ids = batch.column("doc_id")
+            held = np.array(batch.column("held_out").to_pylist(), bool)
+            for first, counts, hashes in _tokens(batch.column("text")):
+                own = ids.slice(first, len(counts))
+                out = held[first : first + len(counts)]
+                words, index = np.unique(hashes, return_inverse=True)
+                trained = np.bincount(index, np.repeat(~out, counts), len(words))
+                row = {
+                    "block": serial,
+                    "ids": _packed(np.array(own.fill_null(0), np.int64)),
+                    "flags": _packed(np.array(own.is_valid(), np.int64) * 2 + out),
+                    "counts": _packed(counts.astype(np.int64)),
+                    "words": _sorted_packed(words),
+                    "trained": _packed(trained.astype(np.int64)),
+                    "tokens": _packed(index.astype(np.int64)),
+                    "n_tokens": len(hashes),
+                    "n_words": len(words),
+                }
+                yield pa.RecordBatch.from_pydict({name: [row[name]] for name in row})
+                serial += 1
 
-    def __init__(self, words: DataFrame):
-        level = F.floor(F.log2("n") * 8)
-        by_level = words.groupBy(level.alias("level")).agg(
-            F.count("*").alias("types"), F.sum("n").alias("tokens")
-        )
-        levels = sorted(by_level.collect(), key=lambda row: -row["level"])
-        self.types = sum(row["types"] for row in levels)
-        self.tokens = sum(row["tokens"] for row in levels)
-        kept, least = 0, 1 << 30
-        for row in levels:
-            kept += row["types"]
-            if kept > VOCABULARY:
-                break
-            least = row["level"]
-        held = words.filter((level >= least) | (F.col("word") == int(END.view(np.int64))))
-        frame = held.toPandas()
-        word = frame["word"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(word)
-        self.words, self.counts = word[order], frame["n"].to_numpy(np.int64)[order]
-        few = words.filter(F.col("n") <= DISCOUNTED + 1).groupBy("n").count().collect()
-        self.of_counts = [0] * (DISCOUNTED + 2)
-        for row in few:
-            self.of_counts[row["n"]] = row["count"]
-        end = np.flatnonzero(self.words == END)
-        self.documents = int(self.counts[end[0]]) if len(end) else 0
-
-    def arrays(self) -> dict:
-        """Plain arrays for the tasks. Numbers: words, then the class of all others, then start."""
-        size, tokens = len(self.words), max(self.tokens, 1)
-        factor = discounts(self.of_counts)
-        share = factor[np.minimum(self.counts, DISCOUNTED + 1) % (DISCOUNTED + 1)]
-        share = np.where(self.counts > DISCOUNTED, 1.0, share) * self.counts / tokens
-        # Without any discount nothing would be left for words not seen.
-        total = share.sum()
-        if total > 1 - 0.5 / tokens:
-            share = share * (1 - 0.5 / tokens) / total
-        others = self.tokens - int(self.counts.sum())
-        history = np.concatenate([self.counts, [others, self.documents]])
-        once = max(self.of_counts[1], 1)
-        return {
-            "words": self.words,
-            "base": np.log10(
-                (np.concatenate([self.counts, [0]]) + 0.5) / (self.tokens + 0.5 * (self.types + 1))
-            ),
-            "share": np.concatenate([share, [max(1 - share.sum(), 1e-300), 0.0]]),
-            "history": history,
-            "frequent": history > FREQUENT * tokens,
-            "buckets": max(1, -(-self.tokens // BUCKET_TOKENS)),
-            "others": others,
-            "once": once if others else 1,
-            "base_total": self.tokens + 0.5 * (self.types + 1),
-            "size": size,
-        }
-
-
-def _dealt(pairs: np.ndarray, width: int, frequent: np.ndarray, buckets: int) -> np.ndarray:
-    history = pairs // width
-    key = np.where(frequent[history], pairs, history)
-    return (mix(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(build, _BLOCKS)
 
 
 _ROWS = "bucket long, kind string, block long, a binary, b binary, c binary, d binary"
@@ -174,187 +132,251 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _deal(docs: DataFrame, shared) -> DataFrame:
-    """The tokens of all documents by bucket, and what is known of each block at once."""
+def _asked(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The distinct words of each block, by ranges of hashes."""
 
-    def deal(batches):
-        known = shared.value
-        words, size = known["words"], known["size"]
-        width, buckets = size + 2, known["buckets"]
-        serial = TaskContext.get().partitionId() << 32
+    def ask(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
-            held = np.array(batch.column("held_out").to_pylist(), bool)
-            for first, counts, hashes in _tokens(batch.column("text")):
-                number = np.minimum(np.searchsorted(words, hashes), max(size - 1, 0))
-                other = words[number] != hashes if size else np.ones(len(hashes), bool)
-                number = np.where(other, size, number)
-                doc = np.repeat(np.arange(len(counts)), counts)
-                starts = np.cumsum(counts) - counts
-                history = np.empty_like(number)
-                history[1:] = number[:-1]
-                history[starts] = size + 1
-                train = ~held[first : first + len(counts)]
-                base = np.bincount(doc, np.where(other, 0.0, known["base"][number]), len(counts))
-                known_words = np.bincount(doc, ~other, len(counts)).astype(np.int64)
+            for block, a, b in zip(
+                *(batch.column(c).to_pylist() for c in ("block", "words", "trained")), strict=True
+            ):
+                words, trained = _sorted_unpacked(a, np.uint64), _unpacked(b)
+                to = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 rows = [
-                    (
-                        serial % buckets,
-                        "block",
-                        serial,
-                        _packed(np.array(ids.slice(first, len(counts)).fill_null(0), np.int64)),
-                        _packed(
-                            np.array(ids.slice(first, len(counts)).is_valid(), np.int64) * 2
-                            + held[first : first + len(counts)]
-                        ),
-                        _packed(counts.astype(np.int64)),
-                        _pair(known_words, base),
-                    )
-                ]
-                for kind, pairs, of in (
-                    ("pair", history * width + number, slice(None)),
-                    ("word", hashes[other].view(np.int64), other),
-                ):
-                    if kind == "pair":
-                        to = _dealt(pairs, width, known["frequent"], buckets)
-                    else:
-                        to = (hashes[other] % np.uint64(buckets)).astype(np.int64)
-                    owner = doc[of] * 2 + train[doc[of]]
-                    if not len(to):
-                        continue
-                    order = np.lexsort((owner, pairs, to))
-                    to, pairs, owner = to[order], pairs[order], owner[order]
-                    cut = np.flatnonzero(np.diff(to, prepend=-1))
-                    for begin, end in zip(cut, [*cut[1:], len(to)], strict=True):
-                        rows.append(
-                            (
-                                int(to[begin]),
-                                kind,
-                                serial,
-                                _sorted_packed(pairs[begin:end]),
-                                _packed(owner[begin:end]),
-                                None,
-                                None,
-                            )
-                        )
-                for begin in range(0, len(rows), 256):
-                    yield _rows(rows[begin : begin + 256])
-                serial += 1
+                    (int(to[begin]), "ask", block, _sorted_packed(words[begin:end]),
+                     _packed(trained[begin:end]), None, None)
+                    for begin, end in _runs(to)
+                ]
+                yield _rows(rows)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(deal, _ROWS)
+    return blocks.select("block", "words", "trained").mapInArrow(ask, _ROWS)
 
 
-def _counted(dealt: DataFrame, shared) -> DataFrame:
-    """Per bucket: the model (pairs and counts), sums by first word, and sums by document."""
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begins and ends of the runs of equal values."""
+    cut = np.flatnonzero(values[1:] != values[:-1]) + 1
+    bounds = [0, *cut.tolist(), len(values)] if len(values) else [0]
+    return list(zip(bounds[:-1], bounds[1:], strict=True))
 
-    def count(group: pa.Table) -> pa.Table:
-        known = shared.value
-        width = known["size"] + 2
-        rows, out = group.to_pylist(), []
-        bucket = rows[0]["bucket"] if rows else 0
-        for kind in ("pair", "word"):
-            blobs = [row for row in rows if row["kind"] == kind]
-            if not blobs:
-                continue
-            values = [_sorted_unpacked(row["a"]) for row in blobs]
-            owners = [_unpacked(row["b"]) for row in blobs]
-            trained = np.concatenate(
-                [value[owner & 1 == 1] for value, owner in zip(values, owners, strict=True)]
+
+def _summed(rows: list[dict], kind=np.int64) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct values of all rows, their summed counts, and each row's places among them."""
+    values = [_sorted_unpacked(row["a"], kind) for row in rows]
+    distinct, where = np.unique(np.concatenate(values), return_inverse=True)
+    n = np.bincount(where, np.concatenate([_unpacked(row["b"]) for row in rows]), len(distinct))
+    return distinct, n.astype(np.int64), np.split(where, np.cumsum([len(v) for v in values])[:-1])
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    """Per block: count and rank of its words; per bucket: how many words have each count.
+
+    The rank of a word is its place among the words of its bucket that have its count.
+    """
+
+    def answer(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        bucket = rows[0]["bucket"]
+        words, n, parts = _summed(rows, np.uint64)
+        order = np.argsort(n, kind="stable")
+        counts, begins, types = np.unique(n[order], return_index=True, return_counts=True)
+        rank = np.empty_like(n)
+        rank[order] = np.arange(len(n)) - np.repeat(begins, types)
+        ends = n[words == END]
+        out = [(bucket, "level", 0, _packed(counts), _packed(types), _packed(ends), None)]
+        for row, part in zip(rows, parts, strict=True):
+            out.append(
+                (bucket, "number", row["block"], _packed(n[part]), _packed(rank[part]), None, None)
             )
-            pairs, n = np.unique(trained, return_counts=True)
-            if kind == "pair" and len(pairs):
-                out.append((bucket, "model", 0, _sorted_packed(pairs), _packed(n), None, None))
-                first, where = np.unique(pairs // width, return_inverse=True)
-                few = np.where(n > DISCOUNTED, 0, n)
-                sums = [np.bincount(where, few == r, len(first)) for r in range(1, DISCOUNTED + 1)]
-                sums.append(np.bincount(where, np.where(few == 0, n, 0), len(first)))
-                sparse = np.bincount(where, few > 0, len(first)) > 0
-                extra = (~sparse & ~known["frequent"][first])[where]
-                sums.append(np.bincount(where, known["share"][pairs % width], len(first)))
-                levels = np.bincount(np.minimum(n, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
-                out.append(
-                    (bucket, "first", 0, _packed(first), _packed(np.concatenate(sums)),
-                     _packed(levels[: DISCOUNTED + 2]), None)
-                )
-            for row, value, owner in zip(blobs, values, owners, strict=True):
-                at = np.minimum(np.searchsorted(pairs, value), max(len(pairs) - 1, 0))
-                seen = pairs[at] == value if len(pairs) else np.zeros(len(value), bool)
-                times = np.where(seen, n[at] if len(pairs) else 0, 0)
-                doc, where = np.unique(owner >> 1, return_inverse=True)
-                if kind == "word":
-                    part = np.log10((times + 0.5) / known["base_total"])
-                    inner = np.log10(
-                        np.where(seen, times, known["once"]) / (known["others"] + known["once"])
-                    )
-                    if not known["others"]:
-                        inner = np.zeros(len(value))
-                    sums = [
-                        np.bincount(where, inner, len(doc)),
-                        np.bincount(where, part, len(doc)),
-                        np.bincount(where, seen, len(doc)),
-                    ]
-                    out.append(
-                        (bucket, "words", row["block"], _packed(doc), _packed(np.concatenate(sums)),
-                         None, None)
-                    )
-                    continue
-                first = value // width
-                total = known["history"][first] + (extra[at] if len(pairs) else 0)
-                score = np.where(
-                    seen,
-                    np.log10(np.maximum(times, 1) / np.maximum(total, 1)),
-                    np.log10(np.maximum(known["share"][value % width], 1e-300)),
+        return pa.Table.from_batches([_rows(out)])
+
+    return asked.groupBy("bucket").applyInArrow(answer, _ROWS)
+
+
+def unigrams(levels: DataFrame, buckets: int) -> dict:
+    """What all tasks know of words: arrays with an entry for each count that occurs.
+
+    Numbers of words with one count are a range, in which ranks and buckets take turns. After
+    all words come the number of those never seen (``size``) and that of the start.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for a, b, c in zip(*(batch.column(x).to_pylist() for x in "abc"), strict=True):
+                counts, types, ends = _unpacked(a), _unpacked(b), _unpacked(c)
+                n = np.concatenate([counts[counts > 0], np.zeros(len(ends), np.int64)])
+                yield pa.RecordBatch.from_pydict(
+                    {"n": n, "types": np.concatenate([types[counts > 0], ends])}
                 )
-                few = [np.bincount(where, times == r, len(doc)) for r in range(1, DISCOUNTED + 1)]
-                out.append(
-                    (
-                        bucket,
-                        "pairs",
-                        row["block"],
-                        _packed(doc),
-                        _packed(np.bincount(where, score, len(doc))),
-                        _packed(np.concatenate(few).astype(np.int64)),
-                        _pair(first[~seen], (owner >> 1)[~seen]),
-                    )
+
+    rows = levels.select("a", "b", "c").mapInArrow(spread, "n long, types long")
+    frame = rows.groupBy("n").agg(F.sum("types").alias("types"), F.max("types").alias("most"))
+    frame = frame.toPandas().sort_values("n", ascending=False)
+    documents = int(frame["types"][frame["n"] == 0].sum())
+    frame = frame[frame["n"] > 0]
+    counts, types = frame["n"].to_numpy(np.int64), frame["types"].to_numpy(np.int64)
+    spans = frame["most"].to_numpy(np.int64) * buckets
+    size = int(spans.sum())
+    if size + 2 > 3_000_000_000:
+        raise ValueError(f"{int(types.sum())} words: pairs of their numbers exceed 63 bits")
+    tokens, kinds = int((counts * types).sum()), int(types.sum())
+    of_counts = [int(types[counts == r].sum()) for r in range(DISCOUNTED + 2)]
+    factor = np.append(discounts(of_counts), 1.0)
+    share = factor[np.minimum(counts, DISCOUNTED + 1)] * counts / max(tokens, 1)
+    # Without any discount nothing would be left for words not seen.
+    total = float((share * types).sum())
+    if total > 1 - 0.5 / max(tokens, 1):
+        share, total = share * (1 - 0.5 / tokens) / total, 1 - 0.5 / tokens
+    history = np.concatenate([counts, [0, documents]])
+    frequent = history > FREQUENT * max(tokens, 1)
+    known = np.concatenate([counts, [0, 0]])
+    return {
+        "tokens": tokens,
+        "word_buckets": buckets,
+        "size": size,
+        "starts": np.concatenate([[0], np.cumsum(spans), [size + 1]]),
+        "history": history,
+        "share": np.concatenate([share, [max(1 - total, 1e-300), 0.0]]),
+        "base": np.log10((known + 0.5) / (tokens + 0.5 * (kinds + 1))),
+        "frequent": frequent,
+        "spread": frequent | (history > SPREAD * BUCKET_TOKENS),
+        "buckets": max(1, -(-tokens // BUCKET_TOKENS)),
+    }
+
+
+def _level(known: dict, numbers: np.ndarray) -> np.ndarray:
+    return np.searchsorted(known["starts"], numbers, "right") - 1
+
+
+def _pairs_of(rows: list[dict], known: dict) -> dict:
+    """A block's tokens, and its distinct pairs in the order of buckets and pairs."""
+    info = next(row for row in rows if row["kind"] == "block")
+    answers = sorted((r for r in rows if r["kind"] == "number"), key=lambda r: r["bucket"])
+    n = [_unpacked(row["a"]) for row in answers]
+    bucket = np.repeat([row["bucket"] for row in answers], [len(x) for x in n])
+    n, rank = np.concatenate(n), np.concatenate([_unpacked(row["b"]) for row in answers])
+    size, width = known["size"], known["size"] + 2
+    at = np.searchsorted(-known["history"][:-2], -n)
+    number = known["starts"][at] + rank * known["word_buckets"] + bucket
+    number = np.where(n > 0, number, size)[_unpacked(info["c"])]
+    counts, flags = _unpacked(info["a"]), _unpacked(info["b"])
+    history = np.empty_like(number)
+    history[1:] = number[:-1]
+    history[np.cumsum(counts) - counts] = size + 1
+    pairs, index = np.unique(history * width + number, return_inverse=True)
+    first = pairs // width
+    spread = known["spread"][_level(known, first)]
+    key = np.where(spread, pairs, first).astype(np.uint64)
+    to = (mix(key) % np.uint64(known["buckets"])).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return {
+        "ids": _unpacked(info["d"]), "flags": flags, "counts": counts, "number": number,
+        "pairs": pairs[order], "to": to[order], "index": place[index], "spread": spread[order],
+    }
+
+
+def _asked_pairs(numbered: DataFrame, shared) -> DataFrame:
+    """The distinct pairs of each block with their training counts, by bucket."""
+
+    def ask(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        held = _pairs_of(rows, shared.value)
+        train = np.repeat(held["flags"] % 2 == 0, held["counts"])
+        pairs, to = held["pairs"], held["to"]
+        n = np.bincount(held["index"], train, len(pairs)).astype(np.int64)
+        return pa.Table.from_batches(
+            [
+                _rows(
+                    [
+                        (int(to[begin]), "ask", rows[0]["block"], _sorted_packed(pairs[begin:end]),
+                         _packed(n[begin:end]), None, None)
+                        for begin, end in _runs(to)
+                    ]
                 )
-        out += [tuple(row[c] for c in _ROW_NAMES) for row in rows if row["kind"] == "block"]
+            ]
+        )
+
+    return numbered.groupBy("block").applyInArrow(ask, _ROWS)
+
+
+def _counted(asked: DataFrame, shared) -> DataFrame:
+    """Per bucket: sums by spread first word and counts of counts; per block: its answers.
+
+    An answer has twice the count of each pair, plus one where its first word gets one count
+    more, and the sums of each first word that is not spread and has a pair not seen.
+    """
+
+    def count(group: pa.Table) -> pa.Table:
+        known = shared.value
+        width = known["size"] + 2
+        rows = group.to_pylist()
+        bucket = rows[0]["bucket"]
+        pairs, n, parts = _summed(rows)
+        first, where = np.unique(pairs // width, return_inverse=True)
+        level = _level(known, first)
+        seen, few = n > 0, np.where(n > DISCOUNTED, 0, n)
+        sums = [np.bincount(where, few == r, len(first)) for r in range(1, DISCOUNTED + 1)]
+        sums.append(np.bincount(where, np.where(few == 0, n, 0), len(first)))
+        share = known["share"][_level(known, pairs % width)]
+        sums.append(np.bincount(where, np.where(seen, share, 0.0), len(first)))
+        sums = np.array(sums)
+        spread = known["spread"][level]
+        extra = _extra(sums, known["frequent"][level]) & ~spread
+        levels = np.bincount(np.minimum(n, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
+        out = [
+            (bucket, "first", 0, _packed(first[spread]), _packed(sums[:, spread].reshape(-1)),
+             _packed(levels[: DISCOUNTED + 2]), None)
+        ]
+        code = n * 2 + extra[where]
+        for row, part in zip(rows, parts, strict=True):
+            unseen = where[part][~seen[part] & ~spread[where[part]]]
+            out.append(
+                (bucket, "count", row["block"], _packed(code[part]),
+                 _packed(sums[:, np.unique(unseen)].reshape(-1)), None, None)
+            )
         return pa.Table.from_batches([_rows(out)])
 
-    return dealt.groupBy("bucket").applyInArrow(count, _ROWS)
+    return asked.groupBy("bucket").applyInArrow(count, _ROWS)
 
 
-def _pair(first: np.ndarray, second: np.ndarray) -> bytes:
-    """Two arrays in one value."""
-    head = _packed(first)
-    return len(head).to_bytes(8, "little") + head + _packed(second)
+def _extra(sums: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """First words that get one count more: none of their pairs is discounted."""
+    return (sums[:DISCOUNTED].sum(axis=0) == 0) & (sums[DISCOUNTED] > 0) & ~frequent
 
 
-def _two(raw: bytes, kind=np.int64) -> tuple[np.ndarray, np.ndarray]:
-    end = 8 + int.from_bytes(raw[:8], "little")
-    return _unpacked(raw[8:end]), _unpacked(raw[end:], kind)
+def _weights(sums: np.ndarray, factor: np.ndarray, frequent: np.ndarray):
+    """Counts of first words, and log10 of their back-off weights, from their sums.
+
+    A word never seen with a successor backs off with weight 1. Some mass is left for words
+    not seen at all, so no first word is followed by everything.
+    """
+    r = np.arange(1, DISCOUNTED + 1)
+    total = r @ sums[:DISCOUNTED] + sums[DISCOUNTED] + _extra(sums, frequent)
+    kept = (r * factor[1:]) @ sums[:DISCOUNTED] + sums[DISCOUNTED]
+    unseen = np.maximum(1 - sums[DISCOUNTED + 1], 1e-300)
+    weight = np.log10(np.maximum(1 - kept / np.maximum(total, 1), 1e-12) / unseen)
+    return total, np.where(total > 0, weight, 0.0)
 
 
-def backoff_weights(model: DataFrame, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Discounts of pairs, and log10 of the back-off weight by first word.
+def spread_words(model: DataFrame, known: dict) -> tuple[np.ndarray, ...]:
+    """Discounts of pairs; numbers of the spread first words, their counts and weights.
 
-    ``model`` has the rows of kind ``first``. What comes to the driver is one row per word
-    of the vocabulary. A word never seen with a successor backs off with weight 1. Some mass
-    is left for words not seen at all, so no first word is followed by everything.
+    ``model`` has the rows of kind ``first``. There are at most 4 spread words per bucket
+    and 512 others, so that few rows come to the driver.
     """
     levels = np.zeros(DISCOUNTED + 2, np.int64)
+    names = [f"s{i}" for i in range(DISCOUNTED + 2)]
 
     def spread(batches):
         for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
                 first = _unpacked(a)
-                sums = _unpacked(b, np.float64).reshape(-1, len(first))
+                sums = _unpacked(b, np.float64).reshape(len(names), len(first))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first), *map(pa.array, sums)],
-                    ["first", *(f"s{i}" for i in range(len(sums)))],
+                    [pa.array(first), *map(pa.array, sums)], ["first", *names]
                 )
 
-    names = [f"s{i}" for i in range(DISCOUNTED + 2)]
-
     def level(batches):
         for batch in batches:
             for c in batch.column("c").to_pylist():
@@ -366,23 +388,16 @@ def backoff_weights(model: DataFrame, known: dict) -> tuple[np.ndarray, np.ndarr
     rows = model.select("c").mapInArrow(level, "r long, n long")
     for row in rows.groupBy("r").agg(F.sum("n").alias("n")).collect():
         levels[row["r"]] = row["n"]
+    levels[0] = 0
     factor = discounts(levels.tolist())
     sums = model.select("a", "b").mapInArrow(
         spread, "first long, " + ", ".join(f"{n} double" for n in names)
     )
     frame = sums.groupBy("first").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
-    weight = np.zeros(known["size"] + 2)
-    if len(frame):
-        part = frame[names].to_numpy()
-        kept = part[:, DISCOUNTED] + sum(
-            part[:, r - 1] * r * factor[r] for r in range(1, DISCOUNTED + 1)
-        )
-        at = frame["first"].to_numpy(np.int64)
-        extra = (part[:, :DISCOUNTED].sum(axis=1) == 0) & ~known["frequent"][at]
-        kept = kept / np.maximum(known["history"][at] + extra, 1)
-        unseen = np.maximum(1 - part[:, DISCOUNTED + 1], 1e-300)
-        weight[at] = np.log10(np.maximum(1 - kept, 1e-12) / unseen)
-    return factor, weight
+    frame = frame.sort_values("first")
+    first = frame["first"].to_numpy(np.int64)
+    frequent = known["frequent"][_level(known, first)]
+    return factor, first, *_weights(frame[names].to_numpy(np.float64).T, factor, frequent)
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -390,53 +405,72 @@ def scored(docs: DataFrame) -> DataFrame:
 
     Reads ``doc_id, held_out, text``; learns from rows not held out. Null text is empty: one
     token, the end. Repeated rows are scored alike and learned from as often as they occur.
-    With nothing to learn from, all words are one class. An empty table gives an empty result.
+    With nothing to learn from, no word is known. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    words = staged(count_words(docs.filter("not held_out")), "lm-words")
-    unigrams = Unigrams(words)
-    known = unigrams.arrays()
-    shared = spark.sparkContext.broadcast(known)
-    counted = staged(_counted(_deal(docs, shared), shared), "lm-buckets")
-    factor, weight = backoff_weights(counted.filter("kind = 'first'"), known)
-    filled = spark.sparkContext.broadcast((np.log10(factor), weight))
-    tokens = int(unigrams.tokens)
+    context = docs.sparkSession.sparkContext
+    blocks = staged(_blocks(docs), "lm-blocks")
+    entries = blocks.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(1, -(-entries // BUCKET_WORDS))
+    answers = staged(_answered(_asked(blocks, buckets)), "lm-words")
+    known = unigrams(answers.filter("kind = 'level'"), buckets)
+    shared = context.broadcast(known)
+    numbered = blocks.select(
+        F.lit(-1).cast("long").alias("bucket"), F.lit("block").alias("kind"), "block",
+        F.col("counts").alias("a"), F.col("flags").alias("b"), F.col("tokens").alias("c"),
+        F.col("ids").alias("d"),
+    ).union(answers.filter("kind = 'number'"))
+    counted = staged(_counted(_asked_pairs(numbered, shared), shared), "lm-pairs")
+    filled = context.broadcast(spread_words(counted.filter("kind = 'first'"), known))
 
     def finish(group: pa.Table) -> pa.Table:
-        log_factor, weight = filled.value
+        known = shared.value
+        factor, spread_first, spread_total, spread_weight = filled.value
         rows = group.to_pylist()
-        info = next(row for row in rows if row["kind"] == "block")
-        ids, flags, counts = _unpacked(info["a"]), _unpacked(info["b"]), _unpacked(info["c"])
-        known_words, base = _two(info["d"], np.float64)
-        known_words, base = known_words.copy(), base.copy()
-        score = np.zeros(len(ids))
-        for row in rows:
-            if row["kind"] == "words":
-                doc = _unpacked(row["a"])
-                inner, part, seen = _unpacked(row["b"], np.float64).reshape(3, -1)
-                score[doc] += inner
-                base[doc] += part
-                known_words[doc] += seen.astype(np.int64)
-            elif row["kind"] == "pairs":
-                doc = _unpacked(row["a"])
-                few = _unpacked(row["c"]).reshape(DISCOUNTED, -1)
-                score[doc] += _unpacked(row["b"], np.float64) + log_factor[1:] @ few
-                first, owner = _two(row["d"])
-                score += np.bincount(owner, weight[first], len(ids))
+        held = _pairs_of(rows, known)
+        pairs, spread, width = held["pairs"], held["spread"], known["size"] + 2
+        answers = sorted((r for r in rows if r["kind"] == "count"), key=lambda r: r["bucket"])
+        code = np.concatenate([_unpacked(row["a"]) for row in answers])
+        sums = np.concatenate(
+            [_unpacked(row["b"], np.float64).reshape(DISCOUNTED + 2, -1) for row in answers], axis=1
+        )
+        n, first = code >> 1, pairs // width
+        level = _level(known, first)
+        total = (known["history"][level] + (code & 1)).astype(np.float64)
+        weight = np.zeros(len(pairs))
+        if spread.any():
+            at = np.searchsorted(spread_first, first[spread])
+            total[spread], weight[spread] = spread_total[at], spread_weight[at]
+        rest = np.flatnonzero((n == 0) & ~spread)
+        if len(rest):
+            runs = _runs(first[rest])
+            begins = rest[[begin for begin, _ in runs]]
+            _, each = _weights(sums, factor, known["frequent"][level[begins]])
+            weight[rest] = np.repeat(each, [end - begin for begin, end in runs])
+        factors = np.append(factor, 1.0)[np.minimum(n, DISCOUNTED + 1)]
+        score = np.where(
+            n > 0,
+            np.log10(factors * np.maximum(n, 1) / np.maximum(total, 1)),
+            np.log10(known["share"][_level(known, pairs % width)]) + weight,
+        )
+        counts, number, flags = held["counts"], held["number"], held["flags"]
+        doc = np.repeat(np.arange(len(counts)), counts)
+        seen = np.bincount(doc, number < known["size"], len(counts)).astype(np.int64)
         return pa.table(
             {
-                "doc_id": pa.array(ids, mask=flags < 2),
+                "doc_id": pa.array(held["ids"], mask=flags < 2),
                 "held_out": pa.array(flags % 2 == 1),
                 "n_tokens": pa.array(counts),
-                "n_known": pa.array(known_words),
-                "train_tokens": pa.array(np.full(len(ids), tokens)),
-                "base_score": pa.array(base),
-                "score": pa.array(score),
+                "n_known": pa.array(seen),
+                "train_tokens": pa.array(np.full(len(counts), known["tokens"])),
+                "base_score": pa.array(
+                    np.bincount(doc, known["base"][_level(known, number)], len(counts))
+                ),
+                "score": pa.array(np.bincount(doc, score[held["index"]], len(counts))),
             }
         )
 
     return (
-        counted.filter(F.col("kind").isin("block", "words", "pairs"))
+        numbered.union(counted.filter("kind = 'count'"))
         .groupBy("block")
         .applyInArrow(
             finish,
