@@ -230,6 +230,21 @@ def test_article_text(spark):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_text_on_every_page_is_boilerplate(spark):
+    rail = "<div class=rail><p>Our other writing</p><p>All offers of this week</p></div>"
+    rows = [
+        (i, f"http://site.example/{i}", f"<body><article><h1>T{i}</h1><p>{prose(i, 20)}</p>{rail}</article>", "", "")
+        for i in range(8)
+    ]
+    # Copies of one page are no template, nor are two pages.
+    rows += [(20 + i, f"http://copy.example/{i}", rows[1][2], "", "") for i in range(6)]
+    rows += [(30 + i, f"http://two.example/{i}", rows[i][2], "", "") for i in range(2)]
+    found = {r.page_id: r.text for r in extraction.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [found[i] for i in range(8)] == [f"T{i} {prose(i, 20)}" for i in range(8)]
+    whole = "T1 " + prose(1, 20) + " Our other writing All offers of this week"
+    assert {found[i] for i in range(20, 26)} == {whole} and found[31] == whole
+
+
 def test_archives_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(page_rows(), PAGES)
     first, final = str(tmp_path / "first"), str(tmp_path / "final")

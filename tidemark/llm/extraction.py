@@ -1,32 +1,35 @@
 """Main text of pages, by templates deduced per host.
 
-A token is the path of a block element (names, classes, ids without digits). Its occurrence
-vector says how often it comes on each page of its host. Tokens that share a vector, are
-frequent, and hold together in order form an equivalence class; classes nest by the places
-that they span, and together they are the host's template. What a page has between template
-tokens are its slots. Slots under menus, adverts and the like are boilerplate by the
-names on their path; of the others the template subtree that holds the article is kept: one
-marked as article or main content, or else the deepest that has most of the running text.
-
-Vectors are compared by hash, and sums are formed within tasks, so that a host with a third
-of all pages costs no more shuffle than others.
+A token is the path of a block element (names, classes, ids without digits); those on most
+pages of a host are its template. The texts at one path of a page fill a slot. A slot that
+most of the host's differing pages fill alike is template text, whatever its names, and is
+boilerplate. So are slots under menus, adverts and the like, by the names on their path,
+which tell boilerplate that varies. Of the others the template subtree that holds the article
+is kept: one marked as article or main content, or else the deepest that has most of the
+running text. Slots are judged whole: a sentence that comes on every page among varying
+paragraphs of the same path belongs to the article.
+
+Sums are formed within tasks, so that a host with a third of all pages costs no more shuffle
+than others.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged, table
 
-#: A class is part of the template if it is on this share of its host's pages, and on two.
+#: A token is part of the template if it is on this share of its host's pages, and on two.
 SUPPORT = 0.5
+#: A slot is template text if so many differing pages, and SUPPORT of them, fill it alike.
+LEAST_ALIKE = 3
 #: A subtree without marks holds the article if it has this share of the running text.
 DOMINANT = 0.6
 #: Entries that a task sums before it writes them out.
@@ -156,99 +159,108 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1))
 
 
-_SUMS = "host string, path string, pages long, vector long, times long, place double, chars long"
+_SUMS = "host string, path string, pages long, chars long"
 
 
 def _occurrences(pages: DataFrame) -> DataFrame:
-    """Per host and path: its pages, vector hash, occurrences, mean place and running text."""
+    """Per host and path: its pages and running text."""
 
     def count(batches):
-        import hashlib
-
         sums: dict[tuple[str, str], list] = {}
 
         def written():
             keys = list(sums)
             columns = list(zip(*sums.values(), strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in keys], pa.string()),
                     pa.array([k[1] for k in keys], pa.string()),
-                    *(pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)),
+                    *(pa.array(c, pa.int64()) for c in columns),
                 ],
                 [part.split()[0] for part in _SUMS.split(", ")],
             )
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("host", "page", "html")]
-            for host, page, html in zip(*columns, strict=True):
-                seen: dict[str, list] = {}
-                for place, (path, text, linked, out) in enumerate(blocks(html)):
-                    entry = seen.setdefault(path, [0, place, 0])
-                    if text is None:
-                        entry[0] += 1
-                    elif not out:
-                        entry[2] += len(text) - linked
-                seen[""] = [1, -1, seen.get("", [0, 0, 0])[2]]
-                for path, (times, place, chars) in seen.items():
-                    key = f"{page}:{times}".encode()
-                    vector = int.from_bytes(
-                        hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True
-                    )
-                    entry = sums.setdefault((host, path), [0, 0, 0, 0.0, 0])
+            columns = [batch.column(c).to_pylist() for c in ("host", "html")]
+            for host, html in zip(*columns, strict=True):
+                seen: dict[str, int] = {"": 0}
+                for path, text, linked, out in blocks(html):
+                    running = len(text) - linked if text is not None and not out else 0
+                    seen[path] = seen.get(path, 0) + running
+                for path, chars in seen.items():
+                    entry = sums.setdefault((host, path), [0, 0])
                     entry[0] += 1
-                    entry[1] ^= vector
-                    entry[2] += times
-                    entry[3] += place
-                    entry[4] += chars
+                    entry[1] += chars
                 if len(sums) >= HELD:
                     yield written()
                     sums.clear()
         if sums:
             yield written()
 
-    rows = pages.select("host", F.col("page_id").alias("page"), "html").mapInArrow(count, _SUMS)
+    rows = pages.select("host", "html").mapInArrow(count, _SUMS)
     return rows.groupBy("host", "path").agg(
-        F.sum("pages").alias("pages"),
-        F.bit_xor("vector").alias("vector"),
-        F.sum("times").alias("times"),
-        (F.sum("place") / F.sum("pages")).alias("place"),
-        F.sum("chars").alias("chars"),
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars")
     )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, path, class, parent, place, chars``: each host's template tokens.
-
-    ``class`` numbers the equivalence classes of a host; ``parent`` is the class that spans
-    them most closely, null for outermost ones. Reads ``host, page_id, html``.
-    """
+    """``host, path, chars``: each host's template tokens. Reads ``host, page_id, html``."""
     counted = staged(_occurrences(pages), "occurrences")
     total = counted.filter("path = ''").select("host", F.col("pages").alias("all"))
     frequent = counted.filter("path != ''").join(total, "host").filter(
         (F.col("pages") >= 2) & (F.col("pages") >= SUPPORT * F.col("all"))
     )
-    key = ["host", "vector", "pages", "times"]
-    spans = frequent.groupBy(*key).agg(
-        F.min("place").alias("begin"), F.max("place").alias("end")
-    )
-    number = W.partitionBy("host").orderBy("begin", F.col("end").desc(), "vector")
-    spans = spans.withColumn("class", F.row_number().over(number))
-    outer = spans.select(
-        "host", F.col("class").alias("o"), F.col("begin").alias("ob"), F.col("end").alias("oe")
-    )
-    within = spans.join(outer, "host").filter(
-        (F.col("ob") <= F.col("begin")) & (F.col("oe") >= F.col("end")) & (F.col("o") != F.col("class"))
-        & ((F.col("oe") - F.col("ob")) > (F.col("end") - F.col("begin")))
-    )
-    parent = within.groupBy("host", "class").agg(
-        F.min(F.struct(F.col("oe") - F.col("ob"), F.col("o").alias("o"))).alias("p")
+    return frequent.select("host", "path", "chars")
+
+
+def _number(*parts: str) -> int:
+    raw = "\0".join(parts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+def slots(found: list[tuple[str, str | None, int, bool]]) -> dict[str, int]:
+    """A number for what fills each path of a page that has text."""
+    held: dict[str, list[str]] = {}
+    for path, text, _, _ in found:
+        if text:
+            held.setdefault(path, []).append(text)
+    return {path: _number(path, *texts) for path, texts in held.items()}
+
+
+def template_texts(pages: DataFrame) -> DataFrame:
+    """``alike_host, alike``: the slots that most pages of a host fill alike, as numbers.
+
+    Pages with the same texts count once, so that copies of an article do not make it a
+    template. A host has at most twice as many such slots as its pages have on average.
+    """
+
+    def fill(batches):
+        for batch in batches:
+            filled = [
+                slots(list(blocks(html))) for html in batch.column("html").to_pylist()
+            ]
+            whole = [_number(*map(str, sorted(page.values()))) for page in filled]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("host"),
+                    pa.array(whole, pa.int64()),
+                    pa.array([list(page.values()) for page in filled], pa.list_(pa.int64())),
+                ],
+                ["host", "whole", "slots"],
+            )
+
+    rows = pages.select("host", "html").mapInArrow(
+        fill, "host string, whole long, slots array<long>"
     )
-    parent = parent.select("host", "class", F.col("p.o").alias("parent"))
-    classes = spans.drop("begin", "end").join(parent, ["host", "class"], "left")
-    return frequent.join(classes, key).select(
-        "host", "path", "class", "parent", "place", "chars"
+    rows = staged(rows.dropDuplicates(["host", "whole"]), "slots")
+    total = rows.groupBy("host").agg(F.count("*").alias("all"))
+    alike = rows.select("host", F.explode("slots").alias("slot")).groupBy("host", "slot").count()
+    return (
+        alike.filter(F.col("count") >= LEAST_ALIKE)
+        .join(total, "host")
+        .filter(F.col("count") >= SUPPORT * F.col("all"))
+        .groupBy(F.col("host").alias("alike_host"))
+        .agg(F.collect_list("slot").alias("alike"))
     )
 
 
@@ -295,10 +307,19 @@ def host_roots(pages: DataFrame) -> DataFrame:
     )
 
 
-def main_text(html: str, root: str | None) -> str:
-    """Text of the slots under ``root``, or of the page's own best subtree without one."""
+def main_text(html: str, root: str | None, alike: list[int] | None = None) -> str:
+    """Text of the slots under ``root``, or of the page's own best subtree without one.
+
+    ``alike`` are the numbers of the host's template texts.
+    """
     found = list(blocks(html))
-    kept = [(path, text, linked) for path, text, linked, out in found if text and not out]
+    fixed = set(alike or ())
+    fixed = {path for path, number in slots(found).items() if number in fixed} if fixed else fixed
+    kept = [
+        (path, text, linked)
+        for path, text, linked, out in found
+        if text and not out and path not in fixed
+    ]
     if root is None or not any(_covers(root, path) for path, _, _ in kept):
         weights: dict[str, int] = {}
         for path, text, linked in kept:
@@ -326,14 +347,17 @@ def extracted(pages: DataFrame) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
     )
     roots = staged(host_roots(rows), "article-roots")
-    joined = rows.join(roots, F.col("host") == F.col("root_host"), "left")
+    alike = staged(template_texts(rows), "template-texts")
+    joined = rows.join(roots, F.col("host") == F.col("root_host"), "left").join(
+        alike, F.col("host") == F.col("alike_host"), "left"
+    )
 
     def extract(batches):
         for batch in batches:
             texts = [
-                main_text(html, root)
-                for html, root in zip(
-                    batch.column("html").to_pylist(), batch.column("root").to_pylist(), strict=True
+                main_text(html, root, alike)
+                for html, root, alike in zip(
+                    *(batch.column(c).to_pylist() for c in ("html", "root", "alike")), strict=True
                 )
             ]
             yield pa.RecordBatch.from_arrays(
@@ -347,7 +371,7 @@ def extracted(pages: DataFrame) -> DataFrame:
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "root").mapInArrow(
+    return joined.select("page_id", "url", "html", "root", "alike").mapInArrow(
         extract, f"page_id {kind}, url string, text string, n_chars long"
     )
 
