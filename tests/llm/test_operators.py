@@ -362,6 +362,16 @@ def test_every_word_is_in_the_model(spark, monkeypatch):
         assert r.n_known == sum(w in count for w in t)
 
 
+def test_a_repeated_pair_is_sent_once_per_block(spark, monkeypatch):
+    asked, counted = [], lm._counted
+    monkeypatch.setattr(lm, "_counted", lambda rows, shared: asked.append(rows) or counted(rows, shared))
+    frame = spark.createDataFrame([(i, "round and " * 1000, False) for i in range(40)], "doc_id long, text string, held_out boolean").coalesce(1)
+    assert lm.scored(frame).count() == 40
+    sent = [(r.block, lm._sorted_unpacked(bytes(r.a)), lm._unpacked(bytes(r.b))) for r in asked[0].collect() if r.kind in ("ask", "pair")]
+    assert sum(len(pairs) for _, pairs, _ in sent) == 4 * len({block for block, _, _ in sent})
+    assert sum(n.sum() for _, _, n in sent) == 40 * 2001
+
+
 def test_lm_edge_rows(docs, nothing):
     from pyspark.sql import functions as F
 
