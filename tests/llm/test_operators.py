@@ -397,6 +397,14 @@ def test_languages(docs, spark):
     assert {r.lang_pred for r in everything} == {"und"} and len(everything) == len(corpus())
 
 
+def test_a_language_of_one_short_text_is_learned(spark):
+    learned = [("the of and to in that with", "en")] * 20 + [("quick brown vexing jumps", "xx")]
+    model = langid.learn(spark.createDataFrame(learned, "text string, lang string"))
+    asked = spark.createDataFrame([(1, "brown jumps", True), (2, "and that", True)], "doc_id long, text string, held_out boolean")
+    assert model.languages == ["en", "xx"]
+    assert {r.doc_id: r.lang_pred for r in langid.predicted(asked, model).collect()} == {1: "xx", 2: "en"}
+
+
 def test_edited_fingerprints(docs):
     found = spotsigs.edited_fingerprints(docs).collect()
     rows = sorted(

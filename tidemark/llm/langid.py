@@ -21,7 +21,8 @@ from tidemark.llm.common import CHUNK_BYTES, mix, table, text_bytes
 
 #: Slots of the filter (8 MB for each 64 languages), and slots read per n-gram.
 SLOTS, PROBES = 1 << 20, 3
-#: An n-gram is learned if it makes up this share of its language's n-grams.
+#: An n-gram is learned if it makes up this share of its language's n-grams, and comes twice
+#: where that share is more than one n-gram. A language always learns its most frequent ones.
 LEAST_SHARE = 2e-5
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -136,13 +137,16 @@ def learn(docs: DataFrame) -> LanguageFilter:
     """The filter of all languages in ``docs`` (``text, lang``, rows without ``lang`` left out).
 
     Counts cover every row. The n-grams that come to the driver are those that make up
-    ``LEAST_SHARE`` of a language, so at most ``1 / LEAST_SHARE`` of each.
+    ``LEAST_SHARE`` of a language, so at most ``1 / LEAST_SHARE`` of each; of a language that
+    has none, those that come most. So every language with an n-gram is in the filter.
     """
     counts = count_ngrams(docs.filter(F.col("lang").isNotNull()))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.max("n").alias("most"))
+    share = LEAST_SHARE * F.col("total")
+    least = F.when(share > 1, F.greatest(F.lit(2), share)).otherwise(1)
     kept = (
         counts.join(totals, "lang")
-        .filter(F.col("n") >= F.greatest(F.lit(2), LEAST_SHARE * F.col("total")))
+        .filter(F.col("n") >= F.least(least, F.col("most")))
         .select("lang", "code")
         .toPandas()
     )
