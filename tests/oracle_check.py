@@ -39,7 +39,7 @@ def _rows(columns, rows):
     )
 
 
-SPARK_TO_SQL = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+SPARK_TO_SQL = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def compare(spark: SparkSession, connection, folder: str, name: str) -> str | None:
