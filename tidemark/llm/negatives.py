@@ -261,8 +261,9 @@ def hard_negatives(
     parts = []
     for group in range(groups):
         own = starts.filter(F.pmod(F.xxhash64("row"), F.lit(groups)) == group)
-        held = Anchors(own.orderBy("row").collect())
-        if len(held.row):
+        own = own.orderBy("row").collect()  # about GROUP_NUMBERS numbers
+        if own:
+            held = Anchors(own)
             chosen = _positives(vectors, held, positives)
             parts.append(staged(_negatives(vectors, held, chosen, negatives), "negatives"))
     found = rows.sparkSession.createDataFrame([], f"{_FOUND}, rank int")

@@ -10,6 +10,7 @@ from tidemark.llm.mixing import OP1_SQL, op1_mixing
 from tidemark.llm.negatives import OP12_SQL, op12_hard_negatives
 from tidemark.llm.ngram_join import op3_ngram_join
 from tidemark.llm.packing import op2_packing
+from tidemark.llm.pieces import op13_pieces
 from tidemark.llm.quality import OP4_SQL, op4_quality
 from tidemark.llm.spotsigs import op10_fingerprints
 from tidemark.llm.substrings import op5_substring_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_fingerprints": op10_fingerprints,
     "op11_vector_codes": op11_vector_codes,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_pieces": op13_pieces,
 }
 
 SQL = {
