@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from boards import second_run, silver, silver_row, utc
@@ -8,9 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import dimensions, facts, keys, quality
+from tidemark.operators import dimensions, facts, keys, ledger, quality
 from tidemark.operators.snapshots import Mart
-from tidemark.plans.jobs import Pipeline, StageError
+from tidemark.plans.jobs import Pipeline, StageError, add_members
 from tidemark.sources.warehouse import Warehouse
 
 
@@ -80,18 +81,19 @@ def test_dates_are_local_and_have_english_names(loaded):
 
 
 def test_loaded_runs_are_not_pending(loaded):
-    version = loaded.version()
+    before = loaded.read(schemas.GOLD_LOADS.name).collect()
     assert not Pipeline(loaded).catch_up_gold()
-    assert loaded.version() == version
+    assert loaded.read(schemas.GOLD_LOADS.name).collect() == before
 
 
 def test_tables_can_be_created_empty_and_only_once(spark, warehouse):
     warehouse.create_tables()
-    assert warehouse.version() == 1
-    assert warehouse.read("gold.dim_issue").schema.names == schemas.DIM_ISSUE.table.columns
-    assert warehouse.read(schemas.FACT.name).count() == 0
+    for name, spec in schemas.TABLES.items():
+        assert warehouse.read(name).schema.names == spec.columns
+        assert warehouse.read(name).isEmpty()
+    load(warehouse, spark, silver_row())
     warehouse.create_tables()
-    assert warehouse.version() == 1
+    assert warehouse.read(schemas.FACT.name).count() == 1
 
 
 def test_a_second_run_keeps_keys_and_a_joint_load_gives_the_same_tables(spark, tmp_path):
@@ -134,8 +136,15 @@ def test_a_failed_load_leaves_every_table_as_it_was(spark, warehouse, monkeypatc
     assert warehouse.read("gold.dim_issue").first()["issue_title"].startswith("[M2] Example")
     assert warehouse.read("gold.fact_submission_snapshot").count() == 1
     assert warehouse.read("ops.gold_loads").count() == 1
+    # The failed load has written members, which do not count.
+    assert warehouse.stored("gold.dim_issue").count() == 2
+    failure = warehouse.read("ops.stage_failures").first()
+    assert (failure["run_id"], failure["error_stage"]) == ("run-2", "gold_load")
     assert pipeline.catch_up_gold()
     assert warehouse.read("gold.dim_issue").first()["issue_title"] == "[M2] Lost"
+    assert warehouse.read("gold.dim_issue").count() == 1
+    keys_ = {r["submission_snapshot_key"] for r in warehouse.read(schemas.FACT.name).collect()}
+    assert keys_ == {1, 2}
 
 
 def test_duplicate_grain_is_rejected(spark, warehouse):
@@ -152,10 +161,68 @@ def test_unresolved_keys_are_found(spark):
         "submission_snapshot_key long, status string, status_key long, issue_key long",
     )
     rest = {c: F.lit(1) for c in ("state_key", "milestone_key", "created_at_key", "updated_at_key", "extracted_at_key")}
-    bad = facts.unresolved_keys(numbered.withColumns(rest))
+    bad = numbered.withColumns(rest).filter(facts.unresolved())
     assert {r["submission_snapshot_key"] for r in bad.collect()} == {2, 3}
 
 
+def test_a_load_with_a_lost_member_fails(spark, warehouse, monkeypatch):
+    pipeline = Pipeline(warehouse)
+    pipeline.load_silver(silver(spark, silver_row()))
+    monkeypatch.setattr(
+        dimensions, "label_members", lambda seen, spec, real=dimensions.label_members: real(seen, spec).limit(0)
+    )
+    with pytest.raises(StageError, match="unresolved"):
+        pipeline.catch_up_gold()
+    assert warehouse.read(schemas.FACT.name).isEmpty() and warehouse.read(schemas.BRIDGE.name).isEmpty()
+
+
+def test_keys_are_resolved_once_after_numbering(spark, warehouse, monkeypatch):
+    """Numbering reads its input twice, so it must come before the dimension joins."""
+    plans = []
+    number = facts.number_rows
+    monkeypatch.setattr(
+        facts, "number_rows", lambda frame, *rest: plans.append(frame) or number(frame, *rest)
+    )
+    load(warehouse, spark, silver_row(), silver_row("issue-2"))
+    (narrow,) = plans
+    assert "issue_title" not in narrow.columns and "issue_key" not in narrow.columns
+
+
+def test_small_dimensions_come_from_one_scan(spark, tmp_path):
+    silver(spark, silver_row(), silver_row("b", state="CLOSED")).write.parquet(str(tmp_path / "s"))
+    seen = dimensions.seen_members(spark.read.parquet(str(tmp_path / "s")), "Asia/Manila")
+    assert seen._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    found = {(r["dimension"], r["member"]) for r in seen.collect()}
+    assert found >= {("gold.dim_state", "OPEN"), ("gold.dim_state", "CLOSED"), ("gold.dim_reviewer", "bob")}
+    assert len(found) == 2 + 1 + 1 + 2 + 3  # states, status, milestone, reviewers, days
+
+
+def test_an_upsert_writes_what_changed(spark, warehouse):
+    """Of 20,000 members a batch that changes 1 % writes about 1 % of the bytes."""
+    spec = schemas.DIM_ISSUE
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("i"), "id").alias("issue_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("issue_title"),
+        F.lit("u").alias("issue_url"),
+        F.lit("a").alias("issue_author"),
+        F.struct(F.lit(utc("2026-08-01T00:00:00")).alias("extracted_at"), F.lit("r").alias("run_id")).alias("first_seen"),
+    )
+    sizes = []
+    for number, batch in enumerate((rows, rows.withColumn("issue_author", F.when(F.col("issue_id").substr(-2, 2) != "07", "a")))):
+        load_id = warehouse.new_load()
+        start = warehouse.next_keys().get(spec.table.name, 1)
+        start = add_members(warehouse, spec, batch, load_id, start)
+        keys_ = F.create_map(F.lit(spec.table.name), F.lit(start)).alias("next_keys")
+        run = spark.range(1).select(F.lit(f"r{number}").alias("run_id"), F.current_timestamp().alias("extracted_at"))
+        warehouse.write(schemas.GOLD_LOADS.name, ledger.load_rows(run, load_id, keys_))
+        files = Path(warehouse.path(spec.table.name)).glob(f"load_id={load_id}/**/*.parquet")
+        sizes.append(sum(f.stat().st_size for f in files))
+    assert sizes[1] < 0.03 * sizes[0]
+    current = warehouse.read(spec.table.name)
+    assert current.count() == 20_000 and current.filter("issue_author IS NULL").count() == 199
+    assert current.agg(F.max("issue_key")).first()[0] == 20_000
+
+
 def test_numbering_by_ranges_equals_one_global_numbering(spark, tmp_path):
     rows = spark.range(0, 5000).select(
         F.concat(F.lit("k"), ((F.col("id") * 7919) % 5000).cast("string")).alias("name"),
@@ -189,12 +256,12 @@ def test_new_members_are_numbered_after_the_old(spark, tmp_path):
         [("OPEN", (utc("2026-08-01T00:00:00"), "r")), ("a", (utc("2026-08-02T00:00:00"), "r")), ("b", (utc("2026-08-01T00:00:00"), "r"))],
         "state string, first_seen struct<extracted_at: timestamp, run_id: string>",
     )
-    merged, added = dimensions.upsert(spec, old, incoming, str(tmp_path / "u"), 5)
-    assert added == 2 and natural_keys(merged, spec) == {"OPEN": 4, "b": 5, "a": 6}
+    rows, added = dimensions.upsert(spec, old, incoming, str(tmp_path / "u"), 5)
+    assert added == 2 and natural_keys(rows, spec) == {"b": 5, "a": 6}
 
 
 def test_members_are_reduced_by_hashing_before_any_shuffle(spark):
-    plan = dimensions.label_members(silver(spark, silver_row()), "state")._jdf.queryExecution()
-    lines = plan.executedPlan().toString().splitlines()
+    seen = dimensions.seen_members(silver(spark, silver_row()), "Asia/Manila")
+    lines = seen._jdf.queryExecution().executedPlan().toString().splitlines()
     reduced = next(i for i, line in enumerate(lines) if "HashAggregate" in line and "partial_min(extracted_at" in line)
     assert not any("Sort" in line or "Exchange" in line for line in lines[reduced:])

@@ -63,8 +63,7 @@ def test_pending_runs_after_retries_failures_and_loads(spark, warehouse):
     assert not pipeline.catch_up_silver()
 
 
-def test_many_pending_runs_are_joined_instead_of_listed(spark, monkeypatch):
-    monkeypatch.setattr(ledger, "LITERAL_RUNS", 1)
+def test_rows_are_restricted_to_runs(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "run_id string, n int")
     wanted = spark.createDataFrame([("a",), ("c",)], "run_id string")
     assert {r["n"] for r in ledger.restrict_to_runs(rows, wanted).collect()} == {1, 3}

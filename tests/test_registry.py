@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest test tables."""
+"""Every registered query of the mart against its SQL on the smallest test tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pytest
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.registry.oracle import ORACLE
+from tidemark.registry.queries import QUERIES
 from tidemark.registry.tables import landed_warehouse, snapshot_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,17 +32,18 @@ def problems(spark):
             return repr(error)
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        return dict(zip(queries(), pool.map(check, queries())))
+        return dict(zip(QUERIES, pool.map(check, QUERIES)))
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).columns[:2] == ["builder", "current_milestone"]
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(problems, name):
     assert problems[name] is None

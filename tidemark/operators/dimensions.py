@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import milestone_number
 from tidemark.functions.timing import local_date
-from tidemark.operators.keys import number_ranges
+from tidemark.operators.keys import number_rows
 from tidemark.schemas import (
     DATE_ROLES,
     DIM_DATE,
@@ -38,10 +38,33 @@ def _per_run(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys, "run_id").agg(F.min("extracted_at").alias("extracted_at"))
 
 
-def label_members(silver: DataFrame, natural_key: str) -> DataFrame:
-    """Distinct non-null values of one column with their first extraction."""
-    per_run = _per_run(silver.filter(F.col(natural_key).isNotNull()), natural_key)
-    return per_run.groupBy(natural_key).agg(F.min(_extraction()).alias(FIRST_SEEN))
+def seen_members(silver: DataFrame, zone: str) -> DataFrame:
+    """``dimension, member, first_seen`` of all dimensions but issues, from one scan.
+
+    Values of all these dimensions are unfolded and reduced together; members are text.
+    """
+
+    def member(spec: DimensionSpec, value: Column) -> Column:
+        return F.struct(
+            F.lit(spec.table.name).alias("dimension"), value.cast("string").alias("member")
+        )
+
+    single = [
+        *(member(spec, F.col(spec.natural_key)) for spec in (DIM_STATE, DIM_STATUS, DIM_MILESTONE)),
+        *(member(DIM_DATE, local_date(F.col(c), zone)) for c in DATE_ROLES),
+    ]
+    names = F.transform(F.col("reviewer"), lambda name: member(DIM_REVIEWER, name))
+    values = F.concat(F.array(*single), F.coalesce(names, F.filter(F.array(*single), lambda _: F.lit(False))))
+    rows = silver.select("extracted_at", "run_id", F.inline(values))
+    per_run = _per_run(rows.filter(F.col("member").isNotNull()), "dimension", "member")
+    return per_run.groupBy("dimension", "member").agg(F.min(_extraction()).alias(FIRST_SEEN))
+
+
+def label_members(seen: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Members of one dimension with their first extraction."""
+    own = seen.filter(F.col("dimension") == spec.table.name)
+    kind = spec.table.schema[spec.natural_key].dataType
+    return own.select(F.col("member").cast(kind).alias(spec.natural_key), FIRST_SEEN)
 
 
 def issue_members(silver: DataFrame) -> DataFrame:
@@ -70,29 +93,25 @@ def reviewer_assignments(silver: DataFrame, *keys: str) -> DataFrame:
     return silver.select(*keys, F.explode(names).alias("reviewer"))
 
 
-def reviewer_members(silver: DataFrame) -> DataFrame:
-    return label_members(reviewer_assignments(silver, "extracted_at", "run_id"), "reviewer")
-
-
-def configured_milestones(silver: DataFrame, rules: BoardRules) -> DataFrame:
+def configured_milestones(seen: DataFrame, rules: BoardRules) -> DataFrame:
     """``milestone, deadline_date`` as configured for the board."""
-    return silver.sparkSession.createDataFrame(
+    return seen.sparkSession.createDataFrame(
         sorted(rules.deadlines.items()), "milestone string, deadline_date date"
     )
 
 
-def milestone_members(silver: DataFrame, rules: BoardRules) -> DataFrame:
+def milestone_members(seen: DataFrame, rules: BoardRules) -> DataFrame:
     """Configured and observed milestones with number and deadline.
 
     A configured milestone belongs to every extraction, hence to the first of the batch.
     """
-    deadlines = configured_milestones(silver, rules)
-    first_extraction = _per_run(silver).agg(F.min(_extraction()).alias(FIRST_SEEN))
+    deadlines = configured_milestones(seen, rules)
+    first_extraction = seen.agg(F.min(FIRST_SEEN).alias(FIRST_SEEN))
     configured = deadlines.select(
         "milestone", first_extraction.scalar().alias(FIRST_SEEN)
     )
     names = (
-        label_members(silver, "milestone")
+        label_members(seen, DIM_MILESTONE)
         .unionByName(configured)
         .groupBy("milestone")
         .agg(F.min(FIRST_SEEN).alias(FIRST_SEEN))
@@ -115,12 +134,10 @@ def milestone_members(silver: DataFrame, rules: BoardRules) -> DataFrame:
     )
 
 
-def date_members(silver: DataFrame, zone: str) -> DataFrame:
-    """Distinct local dates of the three timestamps with their calendar attributes."""
-    dates = F.array(*(local_date(F.col(c), zone) for c in DATE_ROLES))
-    days = silver.select("extracted_at", "run_id", F.explode(dates).alias("date"))
+def date_members(seen: DataFrame) -> DataFrame:
+    """Local dates of the three timestamps with their calendar attributes."""
     day = F.col("date")
-    return label_members(days, "date").withColumns(
+    return label_members(seen, DIM_DATE).withColumns(
         {
             "year": F.year(day),
             "month": F.month(day),
@@ -131,18 +148,18 @@ def date_members(silver: DataFrame, zone: str) -> DataFrame:
     )
 
 
-def members(spec: DimensionSpec, silver: DataFrame, rules: BoardRules) -> DataFrame:
-    """Members of any of the six dimensions found in a silver batch."""
+def members(
+    spec: DimensionSpec, silver: DataFrame, seen: DataFrame | None, rules: BoardRules
+) -> DataFrame:
+    """Members of any of the six dimensions: issues from the batch, others from those seen."""
     if spec is DIM_ISSUE:
         return issue_members(silver)
     if spec is DIM_MILESTONE:
-        return milestone_members(silver, rules)
+        return milestone_members(seen, rules)
     if spec is DIM_DATE:
-        return date_members(silver, rules.zone)
-    if spec is DIM_REVIEWER:
-        return reviewer_members(silver)
-    if spec in (DIM_STATE, DIM_STATUS):
-        return label_members(silver, spec.natural_key)
+        return date_members(seen)
+    if spec in (DIM_REVIEWER, DIM_STATE, DIM_STATUS):
+        return label_members(seen, spec)
     raise ValueError(f"Unknown dimension: {spec.table.name}")
 
 
@@ -155,39 +172,46 @@ def member_order(spec: DimensionSpec) -> list[Column]:
 
 
 def merge_members(spec: DimensionSpec, existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored and incoming members in one row each; new ones have a null key.
+    """Incoming members that are new (null key), or known with other updatable values.
 
     Known members keep their key and take the batch's value of the updatable columns,
-    nulls included. Nothing is removed.
+    nulls included. Stored members that the batch leaves as they are don't appear.
     """
     key, natural = spec.surrogate_key, spec.natural_key
-    old = existing.select(
-        natural, key, *(F.col(a).alias(f"old_{a}") for a in spec.attributes)
-    )
-    is_old, is_incoming = F.col(key).isNotNull(), F.col(FIRST_SEEN).isNotNull()
-
-    def merged(attribute: str) -> Column:
-        takes_new = is_incoming if attribute in spec.updates else is_incoming & ~is_old
-        return F.when(takes_new, F.col(attribute)).otherwise(F.col(f"old_{attribute}"))
-
-    return old.join(incoming, natural, "full_outer").select(
-        key, natural, *(merged(a).alias(a) for a in spec.attributes), FIRST_SEEN
+    old = existing.select(natural, key, F.struct(*spec.updates or [key]).alias("old"))
+    other = F.lit(False)
+    for column in spec.updates:
+        other = other | ~F.col(column).eqNullSafe(F.col(f"old.{column}"))
+    is_new = F.col(key).isNull()
+    return (
+        incoming.join(old, natural, "left")
+        .filter(is_new | other)
+        .select(key, natural, *spec.attributes, FIRST_SEEN, (~is_new).alias("is_update"))
     )
 
 
 def upsert(
     spec: DimensionSpec, existing: DataFrame, incoming: DataFrame, path: str, start: int
 ) -> tuple[DataFrame, int]:
-    """Merge a batch of members into a dimension; new members get keys from ``start``.
+    """The rows that a batch adds to a dimension; new members get keys from ``start``.
 
-    Returns the new version of the dimension and the number of keys given out. The merge
-    is written once below ``path``, so that counting and numbering do not repeat it; only
-    new members are sorted.
+    Also returns the number of keys given out. What is written is in proportion to the
+    members that are new or changed, not to the dimension; only new ones are sorted.
     """
-    key, columns = spec.surrogate_key, spec.table.columns
-    merge_members(spec, existing, incoming).write.parquet(f"{path}/merged")
-    merged = existing.sparkSession.read.parquet(f"{path}/merged")
-    known = merged.filter(F.col(key).isNotNull())
-    fresh = merged.filter(F.col(key).isNull())
-    numbered = number_ranges(fresh, key, member_order(spec), f"{path}/numbered", start)
-    return known.select(*columns).unionByName(numbered.select(*columns)), numbered.count()
+    columns = [*spec.table.columns, "is_update"]
+    merged = merge_members(spec, existing, incoming)
+    changed = []
+    if spec.updates:
+        # Kept, because it is read for the new and for the changed members.
+        merged.write.parquet(f"{path}/merged")
+        merged = existing.sparkSession.read.parquet(f"{path}/merged")
+        changed.append(merged.filter("is_update").select(*columns))
+        merged = merged.filter(~F.col("is_update"))
+    fresh = merged.drop(spec.surrogate_key)
+    rows, added = number_rows(
+        fresh, spec.surrogate_key, member_order(spec), f"{path}/numbered", start
+    )
+    rows = rows.select(*columns)
+    for more in changed:
+        rows = rows.unionByName(more)
+    return rows, added

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timing import local_date
 from tidemark.operators.dimensions import reviewer_assignments
-from tidemark.operators.keys import number_ranges
+from tidemark.operators.keys import number_rows
 from tidemark.operators.quality import duplicate_keys
 from tidemark.schemas import (
     BRIDGE,
@@ -26,6 +26,12 @@ from tidemark.schemas import (
 #: Natural order of snapshots: the order in which runs are loaded, then the issue.
 SNAPSHOT_ORDER = ("extracted_at", "run_id", "issue_id")
 
+#: Silver columns behind fact and bridge; texts of the issue are not among them.
+_SNAPSHOT = (
+    "run_id issue_id state status milestone reviewer created_at updated_at extracted_at "
+    "is_assigned days_since_update submission_age_days"
+).split()
+
 
 def grain_violations(silver: DataFrame) -> DataFrame:
     """Submissions seen more than once in one extraction."""
@@ -65,31 +71,33 @@ def resolve_keys(silver: DataFrame, dimensions: Mapping[str, DataFrame], zone: s
     return add_date_keys(rows, dimensions["dim_date"], zone)
 
 
-def number_snapshots(resolved: DataFrame, path: str, start: int) -> DataFrame:
-    """Give every snapshot its key and keep the result at ``path``.
+def number_snapshots(silver: DataFrame, path: str, start: int) -> tuple[DataFrame, int]:
+    """What fact and bridge need of the silver rows, each row with its snapshot key.
 
-    Rows end up ordered by extraction, so each later write task sees few extractions.
+    Numbered before any dimension is joined, because numbering reads its input twice. Rows
+    end up ordered by extraction, so each later write task sees few extractions. Also
+    returns the number of rows.
     """
     order: list[Column] = [F.col(c) for c in SNAPSHOT_ORDER]
-    return number_ranges(resolved, "submission_snapshot_key", order, path, start)
+    return number_rows(silver.select(*_SNAPSHOT), "submission_snapshot_key", order, path, start)
 
 
-def unresolved_keys(numbered: DataFrame) -> DataFrame:
-    """Rows in which a natural value found no key; only the status may be missing."""
+def unresolved() -> Column:
+    """A natural value found no key; only the status may be missing."""
     bad = F.col("status").isNotNull() & F.col("status_key").isNull()
     for column in FACT.required:
         if column.endswith("_key"):
             bad = bad | F.col(column).isNull()
-    return numbered.filter(bad)
+    return bad
 
 
 def _extracted_on() -> Column:
     return F.to_date("extracted_at").alias("extracted_on")
 
 
-def fact_rows(numbered: DataFrame) -> DataFrame:
+def fact_rows(resolved: DataFrame) -> DataFrame:
     """The fact columns and nothing else."""
-    return numbered.withColumn("extracted_on", _extracted_on()).select(*FACT.columns)
+    return resolved.withColumn("extracted_on", _extracted_on()).select(*FACT.columns)
 
 
 def bridge_rows(numbered: DataFrame, dim_reviewer: DataFrame) -> DataFrame:

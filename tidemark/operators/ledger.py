@@ -17,9 +17,6 @@ from tidemark.operators.joins import broadcast_within
 
 ATTEMPT = ["run_id", "attempt_number"]
 
-#: Most runs that are written into a filter; a normal catch-up has a handful.
-LITERAL_RUNS = 1_000
-
 
 # --- Attempts ---------------------------------------------------------------------
 
@@ -106,15 +103,8 @@ def appendable_failures(failures: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def restrict_to_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """Rows of the given runs; reads only their partition folders.
-
-    A few runs become literals, which prune the folders when the scan is planned. Beyond
-    ``LITERAL_RUNS`` they are joined.
-    """
-    names = [row["run_id"] for row in runs.select("run_id").limit(LITERAL_RUNS + 1).collect()]
-    if len(names) <= LITERAL_RUNS:
-        return rows.filter(F.col("run_id").isin(*names))
-    return rows.join(broadcast_within(runs.select("run_id")), "run_id", "left_semi")
+    """Rows of the given runs. The run list is a ledger's; it prunes the partition folders."""
+    return rows.join(broadcast_within(runs.select("run_id").distinct()), "run_id", "left_semi")
 
 
 def canonical_attempts(stored: DataFrame, attempts: DataFrame) -> DataFrame:
@@ -216,6 +206,7 @@ def runs_sharing_a_time(runs: DataFrame, loaded: DataFrame) -> DataFrame:
     return every.join(shared, "extracted_at", "left_semi").select("run_id", "extracted_at")
 
 
-def load_rows(runs: DataFrame, *more: str) -> DataFrame:
+def load_rows(runs: DataFrame, load_id: str, *more: str | Column) -> DataFrame:
     """Silver or gold ledger rows for runs just loaded."""
-    return runs.select("run_id", "extracted_at", F.current_timestamp().alias("loaded_at"), *more)
+    now = F.current_timestamp().alias("loaded_at")
+    return runs.select("run_id", "extracted_at", now, F.lit(load_id).alias("load_id"), *more)

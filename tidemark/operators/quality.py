@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,27 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.filter(F.col(child_key).isNotNull()).join(known, child_key, "left_anti")
 
 
+def orphan_counts(
+    child: DataFrame, references: Sequence[tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """``column_name, orphan_count`` for all references of a table, from one scan of it.
+
+    A reference is a column, its parent frame and the parent's key, which must be unique.
+    """
+    rows = child.select(*(column for column, _, _ in references))
+    for number, (column, parent, parent_key) in enumerate(references):
+        known = parent.select(F.col(parent_key).alias(f"known_{number}"))
+        rows = rows.join(known, F.col(column) == F.col(f"known_{number}"), "left")
+    totals = rows.agg(
+        *(
+            F.count_if(F.col(column).isNotNull() & F.col(f"known_{number}").isNull()).alias(column)
+            for number, (column, _, _) in enumerate(references)
+        )
+    )
+    columns = [column for column, _, _ in references]
+    return totals.unpivot([], columns, "column_name", "orphan_count")
+
+
 def check_failures(frame: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     """Rows that break a CHECK expression, one row per broken check.
 
@@ -91,13 +112,8 @@ def contract_violations(frame: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select("column_name", names[F.col("column_name")].alias("role"), "bad_count")
 
 
-def validate_dataset(frame: DataFrame, name: str) -> DataFrame:
-    """The dataset's columns in their order; an error lists everything that is wrong.
-
-    Further columns are dropped, and dates given as text become timestamps. Absent columns
-    raise ``ValueError``, unfit types ``TypeError``; cells are looked at after that, where
-    text that is no date counts as an unfit type.
-    """
+def _contract_columns(frame: DataFrame, name: str) -> DataFrame:
+    """The columns of a dataset, if none is absent and all types fit."""
     schema = DATASET_SCHEMAS[name]
     absent = [f.name for f in schema if f.name not in frame.columns]
     if absent:
@@ -111,23 +127,62 @@ def validate_dataset(frame: DataFrame, name: str) -> DataFrame:
     ]
     if unfit:
         raise TypeError(f"{name}: {'; '.join(unfit)}")
-    # One row per column, whatever the size of the dataset.
-    bad = contract_violations(chosen, schema).filter("bad_count > 0").collect()
-    if bad:
-        cells = "; ".join(f"{row['column_name']} has {row['bad_count']} bad cells" for row in bad)
-        kind = TypeError if all(row["role"] == "date" for row in bad) else ValueError
-        raise kind(f"{name}: {cells}")
+    return chosen
+
+
+def _require_cells(name: str, bad: Mapping[str, int]) -> None:
+    """``bad``: number of bad cells by column."""
+    found = {column: n for column, n in bad.items() if n}
+    if found:
+        schema = DATASET_SCHEMAS[name]
+        dates_only = all(isinstance(schema[c].dataType, T.DateType) for c in found)
+        cells = "; ".join(f"{column} has {n} bad cells" for column, n in found.items())
+        raise (TypeError if dates_only else ValueError)(f"{name}: {cells}")
+
+
+def _read_dates(chosen: DataFrame, name: str) -> DataFrame:
     texts = [
         f.name
-        for f in schema
+        for f in DATASET_SCHEMAS[name]
         if isinstance(f.dataType, T.DateType) and isinstance(chosen.schema[f.name].dataType, T.StringType)
     ]
     return chosen.withColumns({c: F.to_timestamp(c) for c in texts}) if texts else chosen
 
 
-def validate_datasets(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All five metric datasets, validated; none may be left out."""
+def validate_dataset(frame: DataFrame, name: str) -> DataFrame:
+    """The dataset's columns in their order; an error lists everything that is wrong.
+
+    Further columns are dropped, and dates given as text become timestamps. Absent columns
+    raise ``ValueError``, unfit types ``TypeError``; cells are looked at after that, where
+    text that is no date counts as an unfit type.
+    """
+    chosen = _contract_columns(frame, name)
+    # One row per column, whatever the size of the dataset.
+    rows = contract_violations(chosen, DATASET_SCHEMAS[name]).collect()
+    _require_cells(name, {row["column_name"]: row["bad_count"] for row in rows})
+    return _read_dates(chosen, name)
+
+
+def require_all(frames: Mapping[str, DataFrame]) -> None:
     absent = sorted(DATASET_SCHEMAS.keys() - frames.keys())
     if absent:
         raise ValueError(f"No frame was given for {', '.join(absent)}")
+
+
+def validate_datasets(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All five metric datasets, validated; none may be left out."""
+    require_all(frames)
     return {name: validate_dataset(frames[name], name) for name in DATASET_SCHEMAS}
+
+
+def write_validated(frame: DataFrame, name: str, path: str) -> None:
+    """Write a dataset and validate it in the same pass; an error leaves the files behind."""
+    chosen = _contract_columns(frame, name)
+    schema, found = DATASET_SCHEMAS[name], Observation()
+    counts = [
+        F.count_if(_bad_cell(f.name, _ROLES[type(f.dataType)][0], chosen.schema[f.name].dataType)).alias(f.name)
+        for f in schema
+    ]
+    watched = chosen.observe(found, *counts)
+    _read_dates(watched, name).write.mode("errorifexists").parquet(path)
+    _require_cells(name, found.get)

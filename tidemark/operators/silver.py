@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,19 +13,24 @@ from tidemark.functions.nested import field_value, resolve_milestone, reviewer_l
 from tidemark.functions.text import has_milestone_prefix
 from tidemark.functions.timing import elapsed_days, to_instant
 from tidemark.schemas import BoardRules
-from tidemark.sources.landing import decode_pages
+from tidemark.sources.landing import checked_pages, decode_pages
+
+
+def page_nodes() -> Column:
+    """The board items of a decoded page; a board belongs to an organization or a user."""
+    data = F.col("page.data")
+    return F.coalesce(
+        *(data[owner]["projectV2"]["items"]["nodes"] for owner in schemas.OWNER_TYPES)
+    )
 
 
 def unnest_nodes(decoded: DataFrame) -> DataFrame:
-    """One row per board item; a board belongs to an organization or a user.
+    """One row per board item.
 
     A page without items fails the job: leaving it out would lose submissions unseen.
     """
-    data = F.col("page.data")
-    nodes = F.coalesce(
-        *(data[owner]["projectV2"]["items"]["nodes"] for owner in schemas.OWNER_TYPES),
-        F.raise_error(F.lit("Bronze page holds no project items")),
-    )
+    complaint = F.raise_error(F.lit("Bronze page holds no project items"))
+    nodes = F.coalesce(page_nodes(), complaint)
     return decoded.select("run_id", "extracted_at", F.explode(nodes).alias("node"))
 
 
@@ -115,11 +120,48 @@ def keep_latest(rows: DataFrame) -> DataFrame:
     )
 
 
-def to_silver(bronze: DataFrame, rules: BoardRules = BoardRules()) -> DataFrame:
-    """Bronze pages of any number of runs to silver rows, in one pass and one shuffle."""
-    rows = resolve_attributes(flatten_nodes(issues_only(unnest_nodes(decode_pages(bronze)))))
+def to_silver(
+    bronze: DataFrame, rules: BoardRules = BoardRules(), unreadable: Observation | None = None
+) -> DataFrame:
+    """Bronze pages of any number of runs to silver rows, in one pass and one shuffle.
+
+    A page that can't be read fails the job. With ``unreadable`` it is left out, and once
+    the rows have been written the observation has the ``runs`` that hold such pages.
+    """
+    if unreadable is None:
+        decoded = decode_pages(bronze)
+    else:
+        bad = F.col("is_malformed") | page_nodes().isNull()
+        # At most one value per pending run.
+        runs = F.collect_set(F.when(bad, F.col("run_id"))).alias("runs")
+        decoded = checked_pages(bronze).withColumn("is_bad", bad).observe(unreadable, runs)
+        decoded = decoded.filter(~F.col("is_bad"))
+    rows = resolve_attributes(flatten_nodes(issues_only(unnest_nodes(decoded))))
     kept = rows.filter(
         not_excluded(F.col("issue_author"), rules.excluded_authors)
         & has_milestone_prefix(F.col("issue_title"))
     )
     return keep_latest(add_measures(standardise_times(kept))).select(*schemas.SILVER.columns)
+
+
+def run_verdicts(rows: DataFrame) -> DataFrame:
+    """Per run of silver rows: ``row_count, extracted_at``, and why it can't be loaded, or null.
+
+    Counted per submission first, so that no run is gathered as a whole.
+    """
+    spec = schemas.SILVER
+    nulls = F.greatest(*(F.col(c).isNull().cast("int") for c in spec.required))
+    per_key = rows.groupBy(*spec.unique[0]).agg(
+        F.count("*").alias("n"),
+        F.max(nulls).alias("nulls"),
+        F.min("extracted_at").alias("first"),
+        F.max("extracted_at").alias("last"),
+    )
+    problem = (
+        F.when(F.max("nulls") > 0, f"{spec.name} has nulls")
+        .when(F.max("n") > 1, f"{spec.name} has duplicate keys")
+        .when(F.min("first") < F.max("last"), "the run has several extraction times")
+    )
+    return per_key.groupBy("run_id").agg(
+        F.min("first").alias("extracted_at"), F.sum("n").alias("row_count"), problem.alias("problem")
+    )

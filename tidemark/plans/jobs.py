@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.text import redact
 from tidemark.operators import dimensions, facts, ledger, quality
-from tidemark.operators.silver import standardise_times, to_silver
+from tidemark.operators.silver import run_verdicts, standardise_times, to_silver
 from tidemark.operators.snapshots import Mart
 from tidemark.plans.metrics import metric_frames
 from tidemark.schemas import BoardRules
 from tidemark.session import prepare, scratch_path
-from tidemark.sources import landing
-from tidemark.sources.warehouse import Commit, Warehouse
+from tidemark.sources import folders, landing
+from tidemark.sources.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
 
@@ -35,7 +36,7 @@ class StageError(RuntimeError):
 
 
 class Pipeline:
-    """The medallion jobs. Each call publishes one commit or leaves everything as it was."""
+    """The medallion jobs. Each call ends with a ledger row, or leaves everything as it was."""
 
     def __init__(
         self,
@@ -48,27 +49,30 @@ class Pipeline:
         self.rules = rules
         self.secrets = secrets
 
-    def _together(self, *tasks: Callable[[], None]) -> None:
-        """Run independent Spark jobs at the same time; the first error is raised."""
+    def _together(self, *tasks: Callable[[], object]) -> list:
+        """Results of independent Spark jobs run at the same time; the first error is raised."""
         inherit = inheritable_thread_target(self.spark)
         with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-            for job in [pool.submit(inherit(task)) for task in tasks]:
-                job.result()
+            return [job.result() for job in [pool.submit(inherit(task)) for task in tasks]]
 
     # --- Stages ------------------------------------------------------------------
 
     @contextmanager
-    def _stage(self, stage: str) -> Iterator[None]:
-        """Name the failing stage, log it to ``ops.stage_failures``, and re-raise."""
+    def _stage(self, stage: str, runs: DataFrame | None = None) -> Iterator[None]:
+        """Name the failing stage, log it for each of ``runs``, and re-raise."""
         try:
             yield
         except StageError:
             raise
         except Exception as error:
-            row = (None, datetime.now(timezone.utc), stage, type(error).__name__, str(error))
+            row = (datetime.now(timezone.utc), stage, type(error).__name__, str(error))
+            names = schemas.STAGE_FAILURES.schema.names[1:]
             try:
+                of = self.spark.createDataFrame([(None,)], "run_id string") if runs is None else runs
                 self._record_stage_failures(
-                    self.spark.createDataFrame([row], schemas.STAGE_FAILURES.schema)
+                    of.select("run_id").distinct().select(
+                        "run_id", *(F.lit(v).alias(c) for c, v in zip(names, row, strict=True))
+                    )
                 )
             except Exception:
                 logger.exception("Could not store the failure of stage %s", stage)
@@ -76,10 +80,9 @@ class Pipeline:
 
     def _record_stage_failures(self, failures: DataFrame) -> None:
         message = redact(F.col("error_message"), self.secrets, schemas.MAX_ERROR_MESSAGE)
-        with self.warehouse.begin() as commit:
-            commit.append(
-                schemas.STAGE_FAILURES.name, failures.withColumn("error_message", message)
-            )
+        self.warehouse.write(
+            schemas.STAGE_FAILURES.name, failures.withColumn("error_message", message)
+        )
 
     def _without_failed(self, runs: DataFrame, failed: DataFrame) -> DataFrame:
         """The other runs. ``failed`` (``run_id, error_stage, problem``) goes to the log.
@@ -121,31 +124,30 @@ class Pipeline:
         """
         now = F.current_timestamp()
         attempts = self.warehouse.read(schemas.PIPELINE_ATTEMPTS.name)
-        with self.warehouse.begin() as commit:
-            with self._stage("extraction"):
-                fresh = ledger.new_attempts(landed, attempts)
-                # Each body is parsed once; what is kept of it is a few short columns.
-                checked = self._keep(landing.page_checks(fresh, owner_type).drop("body"))
-                verdicts = self._keep(self._attempt_verdicts(checked))
-            with self._stage("bronze_transform"):
-                good = verdicts.filter(F.col("problem").isNull())
-                failures = verdicts.filter(F.col("problem").isNotNull()).select(
-                    *ledger.ATTEMPT,
-                    F.col("extracted_at").alias("started_at"),
-                    now.alias("completed_at"),
-                    F.lit("extraction").alias("error_stage"),
-                    F.lit("ExtractionError").alias("error_type"),
-                    F.col("problem").alias("error_message"),
-                )
-                # One row per attempt, and its stored size is known to Spark.
-                accepted = fresh.join(good.select(*ledger.ATTEMPT), ledger.ATTEMPT, "left_semi")
-                pages = landing.to_bronze(accepted)
-                outcomes = ledger.success_rows(good, F.col("extracted_at"), now).unionByName(
-                    ledger.failure_rows(failures, self.secrets)
-                )
-            with self._stage("bronze_load"):
-                commit.append(schemas.RAW_EXTRACTIONS.name, pages)
-                commit.append(schemas.PIPELINE_ATTEMPTS.name, outcomes)
+        with self._stage("extraction"):
+            fresh = ledger.new_attempts(landed, attempts)
+            # Each body is parsed once; what is kept of it is a few short columns.
+            checked = self._keep(landing.page_checks(fresh, owner_type).drop("body"))
+            verdicts = self._keep(self._attempt_verdicts(checked))
+        with self._stage("bronze_transform", verdicts):
+            good = verdicts.filter(F.col("problem").isNull())
+            failures = verdicts.filter(F.col("problem").isNotNull()).select(
+                *ledger.ATTEMPT,
+                F.col("extracted_at").alias("started_at"),
+                now.alias("completed_at"),
+                F.lit("extraction").alias("error_stage"),
+                F.lit("ExtractionError").alias("error_type"),
+                F.col("problem").alias("error_message"),
+            )
+            # One row per attempt, and its stored size is known to Spark.
+            accepted = fresh.join(good.select(*ledger.ATTEMPT), ledger.ATTEMPT, "left_semi")
+            pages = landing.to_bronze(accepted)
+            outcomes = ledger.success_rows(good, F.col("extracted_at"), now).unionByName(
+                ledger.failure_rows(failures, self.secrets)
+            )
+        with self._stage("bronze_load", verdicts):
+            self.warehouse.write(schemas.RAW_EXTRACTIONS.name, pages)
+            self.warehouse.write(schemas.PIPELINE_ATTEMPTS.name, outcomes)
 
     def _keep(self, frame: DataFrame) -> DataFrame:
         """Write an intermediate result to the shared scratch folder and read it back."""
@@ -182,16 +184,17 @@ class Pipeline:
         """
         now = F.current_timestamp()
         begun = F.lit(started_at) if started_at else now
+        name = schemas.RAW_EXTRACTIONS.name
         attempts = self.warehouse.read(schemas.PIPELINE_ATTEMPTS.name)
-        with self.warehouse.begin() as commit, self._stage("bronze_load"):
-            commit.append(schemas.RAW_EXTRACTIONS.name, ledger.new_attempts(bronze, attempts))
-            stored = commit.written(schemas.RAW_EXTRACTIONS.name)
+        with self._stage("bronze_load"):
+            fresh = ledger.new_attempts(bronze, attempts)
+            pages = self._keep(fresh.select(*schemas.RAW_EXTRACTIONS.unique[0]))
             self._require_none(
-                quality.duplicate_keys(stored, list(schemas.RAW_EXTRACTIONS.unique[0])),
-                f"{schemas.RAW_EXTRACTIONS.name} has a duplicate page",
+                quality.duplicate_keys(pages, pages.columns), f"{name} has a duplicate page"
             )
-            stored = stored.select(*ledger.ATTEMPT).distinct()
-            commit.append(
+            self.warehouse.write(name, fresh)
+            stored = pages.select(*ledger.ATTEMPT).distinct()
+            self.warehouse.write(
                 schemas.PIPELINE_ATTEMPTS.name, ledger.success_rows(stored, begun, now)
             )
 
@@ -201,116 +204,78 @@ class Pipeline:
         rows = ledger.appendable_failures(
             ledger.failure_rows(failures, self.secrets), attempts
         )
-        with self.warehouse.begin() as commit:
-            commit.append(schemas.PIPELINE_ATTEMPTS.name, rows)
+        self.warehouse.write(schemas.PIPELINE_ATTEMPTS.name, rows)
 
     # --- Silver ----------------------------------------------------------------------
 
     def catch_up_silver(self) -> bool:
         """Turn the pages of all pending runs into silver. False if none is pending.
 
-        All runs are loaded as one batch. Only if that fails are the runs looked at one by
-        one: those at fault go to ``ops.stage_failures``, and the others are loaded. A run
-        that yields no rows is recorded with none.
+        All runs are decoded and written in one pass. Runs at fault go to
+        ``ops.stage_failures`` and stay out of the ledger, so their rows do not count; the
+        others are loaded. A run that yields no rows is recorded with none.
         """
         stored = self.warehouse.read_all(
-            schemas.RAW_EXTRACTIONS.name,
-            schemas.PIPELINE_ATTEMPTS.name,
-            schemas.SILVER_LOADS.name,
+            schemas.PIPELINE_ATTEMPTS.name, schemas.SILVER_LOADS.name
         )
-        pages, attempts, loads = stored.values()
+        attempts, loads = stored.values()
         pending = ledger.pending_attempts(attempts, attempts, loads)
         if pending.isEmpty():
             logger.info("No pending runs to load into silver")
             return False
         pending = self._keep(pending)
-        try:
-            self._publish_silver(pages, pending)
-        except Exception as error:
-            logger.warning("The silver batch failed, its runs are checked: %s", error)
-            with self._stage("silver_transform"):
-                failed = self._keep(self._silver_problems(pages, pending))
-            others = self._without_failed(pending, failed)
-            with self._stage("silver_load"):
-                self._publish_silver(pages, others)
+        pages = self.warehouse.stored(schemas.RAW_EXTRACTIONS.name)
+        chosen = ledger.extractions_of(pages, pending)
+        unreadable, load_id = Observation(), self.warehouse.new_load()
+        with self._stage("silver_transform", pending):
+            rows = to_silver(chosen, self.rules, unreadable)
+            several = pending.limit(2).count() > 1
+            self.warehouse.write(schemas.SILVER.name, rows, load_id, several)
+            failed = [
+                (run, "silver_transform", "malformed pages") for run in unreadable.get.get("runs") or []
+            ]
+        with self._stage("silver_load", pending):
+            kind = "run_id string, error_stage string, problem string"
+            failed = self.spark.createDataFrame(failed, kind)
+            verdicts = self._silver_verdicts(load_id, failed)
+            unfit = verdicts.filter(F.col("problem").isNotNull()).select(
+                "run_id", F.lit("silver_load").alias("error_stage"), "problem"
+            )
+            good = self._without_failed(pending, self._keep(failed.unionByName(unfit)))
+            times = chosen.groupBy("run_id").agg(F.min("extracted_at").alias("extracted_at"))
+            counted = good.join(verdicts.select("run_id", "row_count"), "run_id", "left")
+            counted = counted.select("run_id", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+            self._record_silver(counted.join(times, "run_id"), load_id)
         return True
 
-    def _publish_silver(self, pages: DataFrame, pending: DataFrame) -> None:
-        chosen = ledger.extractions_of(pages, pending)
-        times = chosen.select("run_id", "extracted_at").distinct()
-        several = pending.limit(2).count() > 1
-        with self.warehouse.begin() as commit:
-            self._add_silver(commit, to_silver(chosen, self.rules), several, times)
+    def _silver_verdicts(self, load_id: str, failed: DataFrame | None = None) -> DataFrame:
+        """Verdicts of the runs that a load has written, without those that failed before."""
+        rows = self.warehouse.written(schemas.SILVER.name, load_id)
+        if failed is not None:
+            rows = rows.join(failed.select("run_id"), "run_id", "left_anti")
+        return self._keep(run_verdicts(rows))
 
-    def _silver_problems(self, pages: DataFrame, pending: DataFrame) -> DataFrame:
-        """``run_id, error_stage, problem`` of the pending runs that cannot be loaded."""
-        chosen = ledger.extractions_of(pages, pending)
-        _, rejected = landing.quarantine_pages(chosen)
-        malformed = self._keep(
-            rejected.groupBy("run_id").agg(
-                F.lit("silver_transform").alias("error_stage"),
-                F.concat(F.count("*"), F.lit(" malformed pages")).alias("problem"),
-            )
-        )
-        readable = pending.join(malformed.select("run_id"), "run_id", "left_anti")
-        rows = to_silver(ledger.extractions_of(pages, readable), self.rules)
-        spec = schemas.SILVER
-        has_null = F.greatest(*(F.col(c).isNull().cast("int") for c in spec.required)) == 1
-        checked = rows.groupBy("run_id").agg(
-            F.count_if(has_null).alias("nulls"),
-            (F.count("*") - F.count_distinct("issue_id")).alias("repeats"),
-            F.count_distinct("extracted_at").alias("times"),
-        )
-        problem = (
-            F.when(F.col("nulls") > 0, f"{spec.name} has nulls")
-            .when(F.col("repeats") > 0, f"{spec.name} has duplicate keys")
-            .when(F.col("times") > 1, "the run has several extraction times")
-        )
-        unfit = checked.select(
-            "run_id", F.lit("silver_load").alias("error_stage"), problem.alias("problem")
-        )
-        return malformed.unionByName(unfit.filter(F.col("problem").isNotNull()))
+    def _record_silver(self, runs: DataFrame, load_id: str) -> None:
+        rows = ledger.load_rows(runs, load_id, "row_count")
+        self.warehouse.write(schemas.SILVER_LOADS.name, rows)
 
     def load_silver(self, rows: DataFrame, several_runs: bool = True) -> None:
-        """Append silver rows after the column, null and key checks.
+        """Add silver rows that pass the column, null and key checks, or none of them.
 
         Rows of a single run go into one folder as they are; those of several runs are
         gathered per run first, or every task would write a file to every folder.
         """
-        with self.warehouse.begin() as commit, self._stage("silver_load"):
-            self._add_silver(commit, rows, several_runs)
-
-    def _add_silver(
-        self,
-        commit: Commit,
-        rows: DataFrame,
-        several_runs: bool,
-        times: DataFrame | None = None,
-    ) -> None:
-        """``times``: ``run_id, extracted_at`` of runs to record even if they have no rows."""
-        spec = schemas.SILVER
-        commit.append(spec.name, rows, spread_by_partition=several_runs)
-        written = commit.written(spec.name)
-        counted = written.groupBy("run_id", "extracted_at").agg(F.count("*").alias("row_count"))
-        if times is not None:
-            empty = times.join(written.select("run_id").distinct(), "run_id", "left_anti")
-            empty = empty.groupBy("run_id").agg(F.min("extracted_at").alias("extracted_at"))
-            counted = counted.unionByName(empty.withColumn("row_count", F.lit(0)))
-        commit.append(schemas.SILVER_LOADS.name, ledger.load_rows(counted, "row_count"))
-        self._together(
-            lambda: self._require_none(
-                quality.null_counts(written, spec.required).filter("null_count > 0"),
-                f"{spec.name} has nulls",
-            ),
-            lambda: self._require_none(
-                quality.duplicate_keys(written, list(spec.unique[0])),
-                f"{spec.name} has duplicate keys",
-            ),
-            lambda: self._require_none(
-                quality.duplicate_keys(commit.staged(schemas.SILVER_LOADS.name), ["run_id"]),
-                f"{spec.name} already has the run, or it has several extraction times",
-            ),
-        )
+        spec, load_id = schemas.SILVER, self.warehouse.new_load()
+        with self._stage("silver_load"):
+            self.warehouse.write(spec.name, rows, load_id, several_runs)
+            verdicts = self._silver_verdicts(load_id)
+            for row in verdicts.filter(F.col("problem").isNotNull()).orderBy("run_id").limit(1).collect():
+                raise ValueError(f"{row['problem']} ({row['run_id']})")
+            known = self.warehouse.read(schemas.SILVER_LOADS.name)
+            self._require_none(
+                verdicts.join(known, "run_id", "left_semi"), f"{spec.name} already has the run"
+            )
+            self._record_silver(verdicts, load_id)
 
     # --- Gold ------------------------------------------------------------------------
 
@@ -332,14 +297,17 @@ class Pipeline:
             logger.info("No pending runs to load into gold")
             return False
         with self._stage("gold_transform"):
-            failed = self._keep(self._gold_problems(silver, runs, gold_loads))
+            failed = self._gold_problems(silver, runs, gold_loads)
         runs = self._without_failed(runs, failed)
         pending = standardise_times(ledger.pending_silver(silver, runs))
-        with self.warehouse.begin() as commit:
-            with self._stage("gold_transform"):
-                numbered = self._build_gold(commit, pending)
-            with self._stage("gold_load"):
-                self._load_gold(commit, numbered)
+        load_id = self.warehouse.new_load()
+        next_keys = self.write_gold(pending, load_id, runs)
+        with self._stage("gold_load", runs):
+            keys = F.create_map(*(F.lit(x) for pair in next_keys.items() for x in pair))
+            # Last: from now on the rows of this load count.
+            self.warehouse.write(
+                schemas.GOLD_LOADS.name, ledger.load_rows(runs, load_id, keys.alias("next_keys"))
+            )
         return True
 
     def _gold_problems(
@@ -373,55 +341,74 @@ class Pipeline:
         )
         return mixed.unionByName(clashing)
 
-    def _upsert_dimension(self, commit: Commit, spec, pending: DataFrame) -> None:
-        name = spec.table.name
-        merged, added = dimensions.upsert(
-            spec,
-            commit.staged(name),
-            dimensions.members(spec, pending, self.rules),
-            scratch_path(self.spark, name),
-            commit.counter(name),
+    def write_gold(
+        self, pending: DataFrame, load_id: str, runs: DataFrame | None = None
+    ) -> dict[str, int]:
+        """Write all gold rows of a load. They count once its ledger row is there."""
+        with self._stage("gold_transform", runs):
+            numbered, next_keys = self._build_gold(pending, load_id)
+        with self._stage("gold_load", runs):
+            self._load_gold(numbered, load_id)
+        return next_keys
+
+    def _build_gold(self, pending: DataFrame, load_id: str) -> tuple[DataFrame, dict[str, int]]:
+        """Number the snapshots and add to the dimensions; also the next keys of all tables."""
+        next_keys, fact = self.warehouse.next_keys(), schemas.FACT.name
+        given: dict[str, int] = {}
+
+        def upsert(spec: schemas.DimensionSpec, seen: DataFrame | None) -> None:
+            members = dimensions.members(spec, pending, seen, self.rules)
+            start = next_keys.get(spec.table.name, 1)
+            given[spec.table.name] = add_members(self.warehouse, spec, members, load_id, start)
+
+        def upsert_small() -> None:
+            seen = self._keep(dimensions.seen_members(pending, self.rules.zone))
+            small = [s for s in schemas.DIMENSIONS.values() if s is not schemas.DIM_ISSUE]
+            self._together(*(lambda spec=spec: upsert(spec, seen) for spec in small))
+
+        def number() -> DataFrame:
+            start = next_keys.get(fact, 1)
+            path = scratch_path(self.spark, "fact")
+            numbered, count = facts.number_snapshots(pending, path, start)
+            given[fact] = start + count
+            return numbered
+
+        numbered, *_ = self._together(
+            number, lambda: upsert(schemas.DIM_ISSUE, None), upsert_small
         )
-        commit.replace(name, merged)
-        commit.advance(name, added)
+        return numbered, {**next_keys, **given}
 
-    def _build_gold(self, commit: Commit, pending: DataFrame) -> DataFrame:
-        """Upsert the dimensions, resolve keys against them, number the snapshots."""
-        self._together(
-            *(
-                lambda spec=spec: self._upsert_dimension(commit, spec, pending)
-                for spec in schemas.DIMENSIONS.values()
-            )
-        )
+    def _load_gold(self, numbered: DataFrame, load_id: str) -> None:
+        """Write fact and bridge; a row whose key is not found fails the load."""
         current = {
-            name: commit.staged(spec.table.name) for name, spec in schemas.DIMENSIONS.items()
+            name: self.warehouse.read(spec.table.name, load_id)
+            for name, spec in schemas.DIMENSIONS.items()
         }
-        resolved = facts.resolve_keys(pending, current, self.rules.zone)
-        start = commit.counter(schemas.FACT.name)
-        numbered = facts.number_snapshots(resolved, scratch_path(self.spark, "fact"), start)
-        self._require_none(
-            facts.unresolved_keys(numbered), "Gold batch contains an unresolved dimension key"
-        )
-        commit.advance(schemas.FACT.name, numbered.count())
-        return numbered
-
-    def _load_gold(self, commit: Commit, numbered: DataFrame) -> None:
-        reviewers = commit.staged(schemas.DIM_REVIEWER.table.name)
-        loads = numbered.select("run_id", "extracted_at").distinct()
 
-        def add_bridge() -> None:
-            commit.append(schemas.BRIDGE.name, facts.bridge_rows(numbered, reviewers))
-            nulls = quality.null_counts(
-                commit.written(schemas.BRIDGE.name), schemas.BRIDGE.required
-            )
-            self._require_none(
-                nulls.filter("null_count > 0"), "Gold batch contains an unresolved reviewer key"
-            )
+        def write(name: str, rows: DataFrame, is_bad: Column, choose, complaint: str) -> None:
+            lost = Observation()
+            watched = rows.observe(lost, F.count_if(is_bad).alias("n"))
+            self.warehouse.write(name, choose(watched), load_id)
+            if lost.get.get("n"):
+                raise ValueError(f"{complaint} ({lost.get['n']} rows)")
 
+        resolved = facts.resolve_keys(numbered, current, self.rules.zone)
+        assigned = facts.bridge_rows(numbered, current["dim_reviewer"])
         self._together(
-            lambda: commit.append(schemas.FACT.name, facts.fact_rows(numbered)),
-            add_bridge,
-            lambda: commit.append(schemas.GOLD_LOADS.name, ledger.load_rows(loads)),
+            lambda: write(
+                schemas.FACT.name,
+                resolved,
+                facts.unresolved(),
+                facts.fact_rows,
+                "Gold batch contains an unresolved dimension key",
+            ),
+            lambda: write(
+                schemas.BRIDGE.name,
+                assigned,
+                F.col("reviewer_key").isNull(),
+                lambda rows: rows,
+                "Gold batch contains an unresolved reviewer key",
+            ),
         )
 
     # --- Whole run and metrics -----------------------------------------------------------
@@ -438,10 +425,30 @@ class Pipeline:
         write_datasets(metric_frames(Mart.open(self.warehouse, self.rules.zone)), folder)
 
 
+def add_members(
+    warehouse: Warehouse,
+    spec: schemas.DimensionSpec,
+    members: DataFrame,
+    load_id: str,
+    start: int,
+) -> int:
+    """Add a batch of members to a dimension as part of a load; the next unused key."""
+    name = spec.table.name
+    path = scratch_path(warehouse.spark, name)
+    added, count = dimensions.upsert(spec, warehouse.read(name), members, path, start)
+    warehouse.write(name, added, load_id)
+    return start + count
+
+
 def write_datasets(frames: Mapping[str, DataFrame], folder: str) -> None:
-    """Validate the five metric datasets, from the mart or from CSV, then write them.
+    """Write the five metric datasets, from the mart or from CSV.
 
-    Nothing is written unless all of them are valid.
+    Each is computed once: it is validated while it is written to a hidden folder. The folders get their names after all of them have proved valid.
     """
-    for name, frame in quality.validate_datasets(frames).items():
-        frame.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    quality.require_all(frames)
+    pending = f"{folder.rstrip('/')}/_pending-{uuid.uuid4().hex}"
+    for name in schemas.DATASET_SCHEMAS:
+        quality.write_validated(frames[name], name, f"{pending}/{name}")
+    for name, frame in frames.items():
+        if name in schemas.DATASET_SCHEMAS:
+            folders.move(frame.sparkSession, f"{pending}/{name}", f"{folder.rstrip('/')}/{name}")

@@ -409,10 +409,33 @@ SELECT row_number() OVER (ORDER BY first_run, reviewer) AS reviewer_key, reviewe
 
 # --- Nested pages and silver: straight from the flat tables ---------------------------------------
 
+# The pages as text, written out; the reader must have kept every character.
 _silver(
     "raw_payloads",
-    """SELECT run_id, o_orderkey // 100 + 1 AS page_no, count(*) AS item_count
-       FROM silver GROUP BY ALL""",
+    """, texts AS (
+    SELECT run_id, o_orderkey, o_orderkey // 100 + 1 AS page_no, issue_id,
+           '{"content":{"id":"' || issue_id || '","title":"' || issue_title || '","url":"' || issue_url
+           || '","author":' || coalesce('{"login":"' || issue_author || '"}', 'null')
+           || ',"createdAt":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')
+           || '","updatedAt":"' || strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ')
+           || '","state":"' || state || '","assignees":{"nodes":['
+           || array_to_string(list_transform(reviewer, lambda r: '{"login":"' || r || '"}'), ',')
+           || ']},"labels":{"nodes":[{"name":"board"}'
+           || CASE WHEN o_orderkey % 2 = 0 THEN ',{"name":"' || milestone || '"}' ELSE '' END
+           || ']}},"fieldValues":{"nodes":[{"name":null,"field":{"name":"Title"}},{"name":'
+           || coalesce('"' || status || '"', 'null') || ',"field":{"name":"Status"}}]}}' AS node
+    FROM silver
+), pages AS (
+    SELECT run_id, page_no, string_agg(node, ',' ORDER BY issue_id) AS nodes FROM texts GROUP BY ALL
+), bodies AS (
+    SELECT run_id, page_no,
+           '{"data":{"organization":{"projectV2":{"items":{"nodes":[' || nodes
+           || '],"pageInfo":{"hasNextPage":'
+           || CASE WHEN page_no < max(page_no) OVER (PARTITION BY run_id) THEN 'true' ELSE 'false' END
+           || ',"endCursor":"page-' || page_no || '"}}}}}}' AS body
+    FROM pages
+)
+SELECT run_id, page_no, length(body) AS text_length, md5(body) AS text_digest FROM bodies""",
 )
 _silver(
     "payload_documents",
@@ -741,3 +764,61 @@ ORACLE["catchup_gold"] = (
 FROM silver GROUP BY run_id"""
 )
 ORACLE["full_run"] = _LANDED_MART + "SELECT * FROM distribution"
+
+# --- Boards with drafts and faults --------------------------------------------------------------------------
+
+_silver(
+    "user_board",
+    """SELECT run_id, o_orderkey // 100 + 1 AS page_no, CAST(NULL AS VARCHAR) AS reject_reason,
+           count(*) AS item_count, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS draft_count
+       FROM silver GROUP BY ALL""",
+)
+_silver(
+    "user_board_drafts",
+    """SELECT run_id, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS non_issue_count,
+           count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS issue_count
+       FROM silver GROUP BY run_id""",
+)
+ORACLE["faulty_attempts"] = """
+SELECT run_id, CAST(number AS BIGINT) AS attempt_number, status AS attempt_status,
+       CASE WHEN message IS NOT NULL THEN 'extraction' END AS error_stage, message AS error_message
+FROM (VALUES ('run-1998', 1, 'succeeded', NULL), ('run-2000', 1, 'failed', 'non-JSON response'),
+             ('run-2000', 2, 'succeeded', NULL), ('run-2001', 1, 'succeeded', NULL),
+             ('run-twice', 1, 'failed', 'duplicate page'), ('run-untitled', 1, 'succeeded', NULL))
+     AS t(run_id, number, status, message)
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey // 100 = 0)"""
+ORACLE["faulty_runs"] = (
+    _LANDED_SILVER
+    + """SELECT run_id, count(*) AS row_count, count(*) AS fact_count,
+       CAST(NULL AS VARCHAR) AS error_stage, CAST(NULL AS VARCHAR) AS error_message
+FROM silver WHERE run_id <> 'run-2001' GROUP BY run_id
+UNION ALL SELECT 'run-untitled', 0, NULL, NULL, NULL
+UNION ALL SELECT 'run-2001', NULL, NULL, 'silver_transform', 'malformed pages'"""
+)
+ORACLE["failed_publish"] = (
+    "WITH "
+    + _SILVER.replace("SELECT * FROM measured", "SELECT * FROM measured WHERE run_id = 'run-1998'")
+    + _STAR
+    + "\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT 'gold.{name}' AS table_name, count(*) AS row_count FROM {source}"
+        for name, source in (
+            *((d, d) for d in "dim_issue dim_reviewer dim_state dim_status dim_milestone dim_date".split()),
+            ("fact_submission_snapshot", "fact"),
+            ("bridge_submission_reviewer", "bridge"),
+        )
+    )
+)
+_mart(
+    "dataset_build",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {source}"
+        for name, source in (
+            ("submission_status", "distribution"),
+            ("builder_schedule", "schedule"),
+            ("progress_trend", "progress"),
+            ("interventions", "classified"),
+            ("reviewer_workload", "workload"),
+        )
+    ),
+)

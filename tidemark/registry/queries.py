@@ -14,7 +14,9 @@ from tidemark import schemas
 from tidemark.functions import nested, text, timing
 from tidemark.operators import dimensions, facts, ledger, quality, silver, snapshots
 from tidemark.plans import metrics, views
+from tidemark.plans.jobs import Pipeline, add_members, write_datasets
 from tidemark.registry.tables import (
+    faulty_warehouse,
     landed_warehouse,
     plain,
     snapshot_mart,
@@ -23,6 +25,7 @@ from tidemark.registry.tables import (
 )
 from tidemark.session import prepare, scratch_path
 from tidemark.sources import csv_datasets, landing, orderboard
+from tidemark.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,19 +236,29 @@ def _issue_batch(spark, folder, run_id):
     return dimensions.issue_members(changed)
 
 
-def _upsert(spark, spec, existing, incoming, start):
-    path = scratch_path(spark, "upsert")
-    merged, added = dimensions.upsert(spec, existing, incoming, path, start)
-    merged.write.parquet(f"{path}/result")
-    return spark.read.schema(spec.table.schema).parquet(f"{path}/result"), start + added
+_RUNS = ("run-1998", "run-2000", "run-2001")
+
+
+def _loads(spark, folder, spec, batch):
+    """A dimension of its own, loaded from one run after the other: its states after each."""
+    warehouse, start, states = Warehouse(spark, scratch_path(spark, "loads")), 1, []
+    for name in (spec.table.name, schemas.GOLD_LOADS.name):
+        warehouse.create_table(name)
+    for run_id in _RUNS:
+        load_id = warehouse.new_load()
+        start = add_members(warehouse, spec, batch(run_id), load_id, start)
+        taken = F.current_timestamp()
+        row = spark.range(1).select(F.lit(run_id).alias("run_id"), taken.alias("extracted_at"))
+        keys = F.create_map(F.lit(spec.table.name), F.lit(start)).alias("next_keys")
+        warehouse.write(schemas.GOLD_LOADS.name, ledger.load_rows(row, load_id, keys))
+        states.append(warehouse.read(spec.table.name))
+    return states
 
 
 def _issue_loads(spark, folder):
-    spec = schemas.DIM_ISSUE
-    nothing = spark.createDataFrame([], spec.table.schema)
-    first, start = _upsert(spark, spec, nothing, _issue_batch(spark, folder, "run-1998"), 1)
-    second, start = _upsert(spark, spec, first, _issue_batch(spark, folder, "run-2000"), start)
-    third, _ = _upsert(spark, spec, second, _issue_batch(spark, folder, "run-2001"), start)
+    first, _, third = _loads(
+        spark, folder, schemas.DIM_ISSUE, lambda run_id: _issue_batch(spark, folder, run_id)
+    )
     return first, third
 
 
@@ -256,18 +269,13 @@ def dim_upsert_scd1(spark, folder):
 
 @register
 def dim_insert_only(spark, folder):
-    spec = schemas.DIM_REVIEWER
     rows = _silver(spark, folder)
-    nothing = spark.createDataFrame([], spec.table.schema)
 
     def batch(run_id):
-        return dimensions.reviewer_members(rows.filter(F.col("run_id") == run_id))
+        seen = dimensions.seen_members(rows.filter(F.col("run_id") == run_id), schemas.LOCAL_ZONE)
+        return dimensions.label_members(seen, schemas.DIM_REVIEWER)
 
-    loaded, start = nothing, 1
-    for run_id in ("run-1998", "run-2000", "run-2001"):
-        loaded, added = _upsert(spark, spec, loaded, batch(run_id), start)
-        start += added
-    return loaded
+    return _loads(spark, folder, schemas.DIM_REVIEWER, batch)[-1]
 
 
 @register
@@ -299,12 +307,13 @@ def _nodes(spark, folder):
 
 @register
 def raw_payloads(spark, folder):
-    """Stored pages: size of the compact text per page, by its item count."""
-    page = landing.decode_pages(_bronze(spark, folder))
-    items = page.select(
-        "run_id", "page_no", F.size("page.data.organization.projectV2.items.nodes").alias("n")
+    """Stored pages: length and digest of the text."""
+    return _bronze(spark, folder).select(
+        "run_id",
+        "page_no",
+        F.length("payload").alias("text_length"),
+        F.md5(F.col("payload").cast("binary")).alias("text_digest"),
     )
-    return items.select("run_id", "page_no", F.col("n").alias("item_count"))
 
 
 @register
@@ -643,19 +652,17 @@ def check_violations(spark, folder):
 def foreign_keys_hold(spark, folder):
     """Orphans of every declared reference of the mart, per reference (all zero)."""
     warehouse = snapshot_warehouse(spark, folder)
-    counts = []
-    for spec in (schemas.FACT, schemas.BRIDGE):
-        for column, target in spec.references:
-            parent, parent_key = target.rsplit(".", 1)
-            found = quality.orphans(
-                warehouse.read(spec.name), warehouse.read(parent), column, parent_key
-            )
-            label = F.lit(f"{spec.name}.{column}").alias("reference")
-            counts.append(found.agg(F.count("*").alias("orphan_count")).select(label, "orphan_count"))
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+
+    def counts(spec):
+        targets = [(column, *target.rsplit(".", 1)) for column, target in spec.references]
+        found = quality.orphan_counts(
+            warehouse.read(spec.name),
+            [(column, warehouse.read(parent), key) for column, parent, key in targets],
+        )
+        label = F.concat(F.lit(f"{spec.name}."), "column_name").alias("reference")
+        return found.select(label, "orphan_count")
+
+    return counts(schemas.FACT).unionByName(counts(schemas.BRIDGE))
 
 
 @register
@@ -751,6 +758,86 @@ def run_completeness(spark, folder):
     return landing.run_completeness(_chained_events(spark, folder))
 
 
+@register
+def user_board(spark, folder):
+    """Pages of a user's board: verdict, items, and items that are no issues yet."""
+    pages = orderboard.user_board_pages(spark, folder)
+    checked = landing.page_checks(pages, "user").withColumnRenamed("body", "payload")
+    nodes = silver.page_nodes()
+    return landing.decode_pages(checked).select(
+        "run_id",
+        "page_no",
+        "reject_reason",
+        F.size(nodes).alias("item_count"),
+        F.size(F.filter(nodes, lambda node: node["content"]["id"].isNull())).alias("draft_count"),
+    )
+
+
+@register
+def user_board_drafts(spark, folder):
+    """Drafts per run of the same board, and the issues that silver gets from it."""
+    bronze = landing.to_bronze(orderboard.user_board_pages(spark, folder))
+    nodes = silver.unnest_nodes(landing.decode_pages(bronze))
+    issues = silver.issues_only(nodes).groupBy("run_id").agg(F.count("*").alias("issue_count"))
+    return silver.non_issue_counts(nodes).join(issues, "run_id")
+
+
+# --- Faults ------------------------------------------------------------------------------------------
+
+
+@register
+def faulty_attempts(spark, folder):
+    """The attempt ledger after a board with faulty runs."""
+    attempts = faulty_warehouse(spark, folder).read(schemas.PIPELINE_ATTEMPTS.name)
+    return attempts.select(
+        "run_id", "attempt_number", "attempt_status", "error_stage", "error_message"
+    )
+
+
+@register
+def faulty_runs(spark, folder):
+    """What became of each run of that board: rows, or the stage at which it was set aside."""
+    warehouse = faulty_warehouse(spark, folder)
+    loads = warehouse.read(schemas.SILVER_LOADS.name).select("run_id", "row_count")
+    facts_ = warehouse.read(schemas.FACT.name).groupBy("run_id").agg(F.count("*").alias("fact_count"))
+    failed = warehouse.read(schemas.STAGE_FAILURES.name).select(
+        "run_id", "error_stage", "error_message"
+    )
+    return loads.join(facts_, "run_id", "left").join(failed, "run_id", "full_outer")
+
+
+@register
+def failed_publish(spark, folder):
+    """Rows per gold table after a load whose job ended just before its ledger row."""
+    warehouse = Warehouse(spark, scratch_path(spark, "cut-off"))
+    pipeline = Pipeline(warehouse, orderboard.RULES)
+    rows = _silver(spark, folder)
+    pipeline.load_silver(rows.filter("run_id = 'run-1998'"), several_runs=False)
+    pipeline.catch_up_gold()
+    pipeline.load_silver(rows.filter("run_id = 'run-2000'"), several_runs=False)
+    pending = warehouse.read(schemas.SILVER.name).filter("run_id = 'run-2000'")
+    pipeline.write_gold(pending, warehouse.new_load())
+    counts = None
+    for spec in (*(d.table for d in schemas.DIMENSIONS.values()), schemas.FACT, schemas.BRIDGE):
+        one = warehouse.read(spec.name).agg(F.count("*").alias("row_count"))
+        one = one.select(F.lit(spec.name).alias("table_name"), "row_count")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+@register
+def dataset_build(spark, folder):
+    """Rows per metric dataset, as written."""
+    home = scratch_path(spark, "datasets")
+    write_datasets(metrics.metric_frames(snapshot_mart(spark, folder)), home)
+    counts = None
+    for name in schemas.DATASET_SCHEMAS:
+        one = spark.read.parquet(f"{home}/{name}").agg(F.count("*").alias("row_count"))
+        one = one.select(F.lit(name).alias("dataset"), "row_count")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 # --- Presentation -----------------------------------------------------------------------------------
 
 

@@ -54,6 +54,17 @@ def landed_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return _once(spark, folder, "landed-run", build)
 
 
+def faulty_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """A board with faulty runs through the whole pipeline."""
+
+    def build(pipeline: Pipeline) -> None:
+        path = scratch_path(spark, "faulty")
+        orderboard.faulty_pages(spark, folder).write.parquet(path)
+        pipeline.run(spark.read.parquet(path))
+
+    return _once(spark, folder, "faulty-run", build)
+
+
 def snapshot_mart(spark: SparkSession, folder: str) -> Mart:
     return Mart.open(snapshot_warehouse(spark, folder))
 

@@ -155,9 +155,21 @@ LANDED_PAGES = T.StructType(
 # --- Stored tables ----------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Ledger:
+    """Which rows of a table count: those whose ``columns`` stand in the ledger ``table``."""
+
+    table: str
+    columns: tuple[str, ...]
+    condition: str = "true"
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """A stored table: schema, declared constraints and physical layout."""
+    """A stored table: schema, declared constraints and physical layout.
+
+    ``stored_with`` names partition columns that the files have besides the schema.
+    """
 
     name: str
     schema: T.StructType
@@ -165,6 +177,8 @@ class TableSpec:
     references: tuple[tuple[str, str], ...] = ()
     checks: tuple[tuple[str, str], ...] = ()
     partition_by: tuple[str, ...] = ()
+    stored_with: T.StructType = field(default_factory=T.StructType)
+    ledger: Ledger | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -183,6 +197,7 @@ _TYPES = {
     "date": T.DateType(),
     "bool": T.BooleanType(),
     "strings": T.ArrayType(T.StringType()),
+    "longs": T.MapType(T.StringType(), T.LongType()),
 }
 
 
@@ -195,6 +210,10 @@ def _schema(text: str) -> T.StructType:
     return T.StructType(fields)
 
 
+#: The load that wrote a row; nothing counts before the load stands in its ledger.
+_LOAD = _schema("load_id:string")
+_GOLD_LEDGER = Ledger("ops.gold_loads", ("load_id",))
+
 PIPELINE_ATTEMPTS = TableSpec(
     "ops.pipeline_attempts",
     _schema(
@@ -226,7 +245,10 @@ RAW_EXTRACTIONS = TableSpec(
     "bronze.raw_issue_extractions",
     _schema("run_id:string attempt_number:int extracted_at:ts page_no:long payload:string"),
     unique=(("run_id", "attempt_number", "page_no"),),
-    partition_by=("run_id",),
+    partition_by=("run_id", "attempt_number"),
+    ledger=Ledger(
+        "ops.pipeline_attempts", ("run_id", "attempt_number"), "attempt_status = 'succeeded'"
+    ),
 )
 
 SILVER = TableSpec(
@@ -239,19 +261,22 @@ SILVER = TableSpec(
     ),
     unique=(("run_id", "issue_id"),),
     partition_by=("run_id",),
+    stored_with=_LOAD,
+    ledger=Ledger("ops.silver_loads", ("run_id", "load_id")),
 )
 
+# ``next_keys``: per table the first surrogate key that the load has not given out.
 GOLD_LOADS = TableSpec(
     "ops.gold_loads",
-    _schema("run_id:string extracted_at:ts loaded_at:ts"),
+    _schema("run_id:string extracted_at:ts loaded_at:ts load_id:string next_keys:longs"),
     unique=(("run_id",),),
 )
 
-# Published with the silver rows: names the runs in silver without reading them. A run
-# may have no rows.
+# Written after the silver rows: names the runs in silver without reading them. A run may
+# have no rows.
 SILVER_LOADS = TableSpec(
     "ops.silver_loads",
-    _schema("run_id:string extracted_at:ts loaded_at:ts row_count:long"),
+    _schema("run_id:string extracted_at:ts loaded_at:ts load_id:string row_count:long"),
     unique=(("run_id",),),
 )
 
@@ -281,11 +306,17 @@ class DimensionSpec:
         ]
 
 
+# A load adds new members, and a row with is_update for each known one that it changes.
+_MEMBER = _schema("load_id:string is_update:bool")
+
+
 def _dimension(name, surrogate_key, natural_key, columns, updates=()):
     table = TableSpec(
         f"gold.{name}",
         _schema(f"{surrogate_key}:long {columns}"),
         unique=((surrogate_key,), (natural_key,)),
+        stored_with=_MEMBER,
+        ledger=_GOLD_LEDGER,
     )
     return DimensionSpec(table, surrogate_key, natural_key, tuple(updates))
 
@@ -346,6 +377,8 @@ FACT = TableSpec(
         ("extracted_at_key", "gold.dim_date.date_key"),
     ),
     partition_by=("extracted_on",),
+    stored_with=_LOAD,
+    ledger=_GOLD_LEDGER,
 )
 
 BRIDGE_COLUMNS = ("submission_snapshot_key", "reviewer_key")
@@ -359,6 +392,8 @@ BRIDGE = TableSpec(
         ("reviewer_key", "gold.dim_reviewer.reviewer_key"),
     ),
     partition_by=("extracted_on",),
+    stored_with=_LOAD,
+    ledger=_GOLD_LEDGER,
 )
 
 TABLES = {

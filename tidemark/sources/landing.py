@@ -214,11 +214,19 @@ def decode_pages(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("page", page)
 
 
-def quarantine_pages(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(decoded, rejected)``: malformed payloads are set aside instead of failing."""
+def checked_pages(bronze: DataFrame) -> DataFrame:
+    """Bronze pages with a typed ``page`` and ``is_malformed``: no JSON, or no such types."""
     tolerant = T.StructType([*schemas.PAGE.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = bronze.withColumn("page", F.from_json("payload", tolerant, options))
     is_bad = F.col("page").isNull() | F.col(f"page.{CORRUPT}").isNotNull()
-    decoded = parsed.filter(~is_bad).withColumn("page", F.col("page").dropFields(CORRUPT))
-    return decoded, parsed.filter(is_bad).select(*bronze.columns)
+    return parsed.select(
+        *bronze.columns, F.col("page").dropFields(CORRUPT).alias("page"), is_bad.alias("is_malformed")
+    )
+
+
+def quarantine_pages(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(decoded, rejected)``: malformed payloads are set aside instead of failing."""
+    checked = checked_pages(bronze)
+    decoded = checked.filter(~F.col("is_malformed")).drop("is_malformed")
+    return decoded, checked.filter("is_malformed").select(*bronze.columns)

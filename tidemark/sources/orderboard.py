@@ -200,3 +200,54 @@ def board_pages(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("request_cursor"),
         compact_json(body).alias("body"),
     )
+
+
+def user_board_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The board as a user's, where every seventh order is still a draft without content."""
+    pages = board_pages(spark, folder).withColumn(
+        "page", F.from_json("body", schemas.PAGE, {"mode": "FAILFAST"})
+    )
+    items = F.col("page.data.organization.projectV2.items")
+    nodes = F.transform(
+        items["nodes"],
+        lambda node: node.withField(
+            "content", F.when(node["content"]["id"].cast("long") % 7 != 0, node["content"])
+        ),
+    )
+    board = F.struct(
+        F.struct(F.struct(nodes.alias("nodes"), items["pageInfo"].alias("pageInfo")).alias("items"))
+        .alias("projectV2")
+    )
+    body = F.struct(F.struct(board.alias("user")).alias("data"))
+    return pages.withColumn("body", compact_json(body)).drop("page")
+
+
+def faulty_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The board with runs that go wrong, each in its own way, besides one that does not.
+
+    ``run-1998`` is whole. Of ``run-2000`` the first attempt has a cut page, the second is
+    whole. ``run-2001`` passes the page checks, but on its even pages the assignees are a number.
+    ``run-twice`` has page 1 twice, ``run-untitled`` no title that names a milestone.
+    """
+    pages = board_pages(spark, folder)
+    first, last = pages.filter("run_id = 'run-1998'"), pages.filter("run_id = 'run-2001'")
+    retried = pages.filter("run_id = 'run-2000'")
+    cut = F.when(F.col("page_no") == 1, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
+    number = F.replace(F.col("body"), F.lit('"assignees":{'), F.lit('"assignees":{"nodes":5,"was":{'))
+    number = F.replace(number, F.lit('},"labels"'), F.lit('}},"labels"'))
+    odd = F.when(F.col("page_no") % 2 == 0, number).otherwise(F.col("body"))
+    untitled = F.replace(F.col("body"), F.lit('"title":"[M'), F.lit('"title":"(M'))
+    later = F.col("extracted_at") + F.expr("INTERVAL 1 DAY")
+    parts = [
+        first,
+        retried.withColumn("body", cut),
+        retried.withColumn("attempt_number", F.lit(2)),
+        last.withColumn("body", odd),
+        first.filter("page_no = 1").withColumn("run_id", F.lit("run-twice")),
+        first.withColumn("run_id", F.lit("run-twice")),
+        first.withColumns({"run_id": F.lit("run-untitled"), "body": untitled, "extracted_at": later}),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result

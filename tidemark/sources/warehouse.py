@@ -1,173 +1,153 @@
-"""Parquet tables published together under numbered manifests.
+"""The stored tables: partitioned Parquet folders, and the ledgers that say which rows count.
 
-Layout below ``root``::
-
-    data/<table>/commit=<id>/...     parquet, written once, never changed
-    manifests/version=<n>/...        which commits make up each table
-
-A commit writes any number of data folders and then one manifest. Readers resolve
-tables only through the newest manifest, so all tables of a commit appear together and
-a failed run leaves nothing but unreferenced folders. One writer at a time.
+Each table is one folder below ``root``. Rows are written first and their ledger row last, so
+rows of a load that failed are never seen. One writer at a time.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
-from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.schemas import TABLES, TableSpec
 from tidemark.operators.quality import require_columns
+from tidemark.schemas import DIMENSIONS, TABLES, DimensionSpec, TableSpec
+from tidemark.sources.folders import exists
 
-_MANIFEST_SCHEMA = "table string, position int, commit string, next_key long"
+_DIMENSION_OF = {spec.table.name: spec for spec in DIMENSIONS.values()}
 
 
 class Warehouse:
-    """Read access to the newest published version."""
+    """Where the tables are, how they are written, and which of their rows count."""
 
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, TableSpec] = TABLES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = tables
 
-    def version(self) -> int:
-        """Number of the newest manifest; 0 before the first commit."""
-        return self._newest().version
-
-    def _newest(self) -> "Manifest":
-        folder = f"{self.root}/manifests"
-        try:
-            # Listing the files runs no job; a manifest that was not finished has none.
-            files = self.spark.read.schema(_MANIFEST_SCHEMA).json(folder).inputFiles()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            files = []
-        versions = [int(re.search(r"/version=(\d+)/", file).group(1)) for file in files]
-        if not versions:
-            return Manifest(0, {}, {})
-        newest = self.spark.read.schema(_MANIFEST_SCHEMA).json(
-            f"{folder}/version={max(versions)}"
-        )
-        commits: dict[str, list[str]] = {}
-        counters: dict[str, int] = {}
-        for row in sorted(newest.collect(), key=lambda row: row["position"]):
-            commits.setdefault(row["table"], []).append(row["commit"])
-            if row["next_key"] is not None:
-                counters[row["table"]] = row["next_key"]
-        return Manifest(max(versions), commits, counters)
-
-    def read(self, name: str) -> DataFrame:
-        """The table as of the newest manifest; empty when nothing was published."""
-        return self._frame(name, self._newest().commits.get(name, []))
-
-    def read_all(self, *names: str) -> dict[str, DataFrame]:
-        """Several tables as of one and the same manifest."""
-        commits = self._newest().commits
-        return {name: self._frame(name, commits.get(name, [])) for name in names}
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def _frame(self, name: str, commits: list[str]) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
+        """All rows in the table's folder, of failed loads too; empty if it has none yet."""
         spec = self.tables[name]
-        if not commits:
-            return self.spark.createDataFrame([], spec.schema)
-        # The commit is a partition folder, so one scan covers the folders of all commits.
-        reader = self.spark.read.schema(spec.schema).option("basePath", f"{self.root}/data/{name}")
-        paths = [f"{self.root}/data/{name}/commit={commit}" for commit in commits]
-        return reader.parquet(*paths).select(*spec.columns)
-
-    def create_tables(self) -> None:
-        """Publish an empty version of every table that has none yet (idempotent)."""
-        if set(self._newest().commits) >= set(self.tables):
-            return
-        with self.begin() as commit:
-            for name, spec in self.tables.items():
-                if name not in commit.commits:
-                    commit.replace(name, self.spark.createDataFrame([], spec.schema))
+        schema = T.StructType([*spec.schema.fields, *spec.stored_with.fields])
+        if not exists(self.spark, self.path(name)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
-    def begin(self) -> "Commit":
-        return Commit(self)
+    def counting(self, name: str, load_id: str | None = None) -> DataFrame:
+        """Stored rows that their ledger names, and those of a load under way.
 
+        The ledger has a row per run or attempt; it prunes partitions of the table.
+        """
+        spec = self.tables[name]
+        rows = self.stored(name)
+        if spec.ledger is None:
+            return rows
+        keys = self.stored(spec.ledger.table).filter(spec.ledger.condition)
+        keys = keys.select(*spec.ledger.columns)
+        if load_id is not None:
+            keys = keys.unionByName(self.spark.range(1).select(F.lit(load_id).alias("load_id")))
+        return rows.join(keys.distinct(), list(spec.ledger.columns), "left_semi")
+
+    def read(self, name: str, load_id: str | None = None) -> DataFrame:
+        """The table; ``load_id`` adds what that load has written so far."""
+        rows = self.counting(name, load_id)
+        if name in _DIMENSION_OF:
+            return current_members(_DIMENSION_OF[name], rows)
+        return rows.select(*self.tables[name].columns)
 
-@dataclass(frozen=True)
-class Manifest:
-    version: int
-    commits: dict[str, list[str]]
-    #: Next surrogate key of tables that only ever grow, so that loading a batch need
-    #: not read the keys already given out.
-    counters: dict[str, int]
-
-
-class Commit:
-    """A set of table writes that become visible together, or not at all."""
-
-    def __init__(self, warehouse: Warehouse):
-        self.warehouse = warehouse
-        newest = warehouse._newest()
-        self.version = newest.version + 1
-        self.commits = {name: list(ids) for name, ids in newest.commits.items()}
-        self.counters = dict(newest.counters)
-        self.commit_id = f"{self.version:06d}-{uuid.uuid4().hex[:12]}"
-
-    def __enter__(self) -> "Commit":
-        return self
-
-    def __exit__(self, kind, error, trace) -> None:
-        if kind is None:
-            self.publish()
-
-    def append(self, name: str, frame: DataFrame, spread_by_partition: bool = False) -> None:
+    def read_all(self, *names: str) -> dict[str, DataFrame]:
+        return {name: self.read(name) for name in names}
+
+    def written(self, name: str, load_id: str) -> DataFrame:
+        """What one load has written to a table."""
+        rows = self.stored(name).filter(F.col("load_id") == load_id)
+        return rows.select(*self.tables[name].columns)
+
+    def write(
+        self,
+        name: str,
+        frame: DataFrame,
+        load_id: str | None = None,
+        spread_by_partition: bool = False,
+    ) -> None:
         """Add rows, matching columns by name after an exact column check.
 
-        ``spread_by_partition`` gathers the rows of a partition folder into few files
-        first, splitting large folders; leave it off for rows already in that order.
+        Partitions that the rows belong to are written anew, so that repeating a write that
+        failed leaves no row twice. ``spread_by_partition`` gathers the rows of a partition
+        into few files first, splitting large ones; leave it off for rows in that order.
         """
-        commit = self._write(name, frame, spread_by_partition)
-        self.commits.setdefault(name, []).append(commit)
-
-    def replace(self, name: str, frame: DataFrame) -> None:
-        """Write a whole new version of a table."""
-        self.commits[name] = [self._write(name, frame)]
-
-    def written(self, name: str) -> DataFrame:
-        """Only the rows this commit added to the table."""
-        return self.warehouse._frame(name, self.commits[name][-1:])
-
-    def counter(self, name: str) -> int:
-        """Next unused surrogate key of a growing table."""
-        return self.counters.get(name, 1)
-
-    def advance(self, name: str, count: int) -> None:
-        self.counters[name] = self.counter(name) + count
+        spec = self.tables[name]
+        if load_id is not None:
+            frame = frame.withColumn("load_id", F.lit(load_id))
+        extra = [c for c in spec.stored_with.names]
+        expected = [*spec.columns, *(c for c in extra if c not in spec.columns)]
+        require_columns(frame, expected, f"DataFrame does not match {name} schema")
+        kinds = {f.name: f.dataType for f in [*spec.schema.fields, *spec.stored_with.fields]}
+        typed = frame.select(*(F.col(c).cast(kinds[c]).alias(c) for c in expected))
+        folders = [*spec.partition_by, *extra]
+        if not folders:
+            # A ledger: one row per run or attempt, in one file that appears as a whole.
+            typed.coalesce(1).write.mode("append").parquet(self.path(name))
+            return
+        if spread_by_partition:
+            typed = typed.hint("rebalance", *spec.partition_by)
+        (
+            typed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*folders)
+            .parquet(self.path(name))
+        )
 
-    def staged(self, name: str) -> DataFrame:
-        """A table as this commit will publish it."""
-        return self.warehouse._frame(name, self.commits.get(name, []))
+    def create_table(self, name: str) -> None:
+        """An empty folder for a table that has none yet."""
+        spec = self.tables[name]
+        schema = T.StructType([*spec.schema.fields, *spec.stored_with.fields])
+        # Nothing happens where the folder exists.
+        writer = self.spark.createDataFrame([], schema).write.mode("ignore")
+        writer.partitionBy(*spec.partition_by, *spec.stored_with.names).parquet(self.path(name))
 
-    def _write(self, name: str, frame: DataFrame, spread_by_partition: bool = False) -> str:
-        spec = self.warehouse.tables[name]
-        require_columns(frame, spec.columns, f"DataFrame does not match {name} schema")
-        typed = frame.select(
-            *(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields)
-        )
-        if spread_by_partition and spec.partition_by:
-            typed = typed.hint("rebalance", *spec.partition_by)
-        writer = typed.write.mode("errorifexists")
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(f"{self.warehouse.root}/data/{name}/commit={self.commit_id}")
-        return self.commit_id
-
-    def publish(self) -> None:
-        rows = [
-            (name, position, commit, self.counters.get(name))
-            for name, commits in self.commits.items()
-            for position, commit in enumerate(commits)
-        ]
-        manifest = self.warehouse.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("errorifexists").json(
-            f"{self.warehouse.root}/manifests/version={self.version}"
+    def create_tables(self) -> None:
+        for name in self.tables:
+            self.create_table(name)
+
+    def new_load(self) -> str:
+        """An id that no load has had, greater than those of earlier gold loads."""
+        earlier = self.stored("ops.gold_loads").agg(F.max("load_id")).first()[0]
+        number = int(earlier.split("-")[0]) + 1 if earlier else 1
+        return f"{number:08d}-{uuid.uuid4().hex[:12]}"
+
+    def next_keys(self) -> dict[str, int]:
+        """First unused surrogate key by table; one small ledger is read."""
+        given = self.stored("ops.gold_loads").select(F.explode("next_keys").alias("name", "key"))
+        return {r["name"]: r["key"] for r in given.groupBy("name").agg(F.max("key").alias("key")).collect()}
+
+
+def current_members(spec: DimensionSpec, rows: DataFrame) -> DataFrame:
+    """Members with the attributes of the latest load that changed them.
+
+    Only the changes are aggregated; mostly they are few, and Spark broadcasts them.
+    """
+    first = rows.filter(~F.col("is_update"))
+    if not spec.updates:
+        return first.select(*spec.table.columns)
+    latest = (
+        rows.filter("is_update")
+        # Partitioned first: saves the sort that a map-side aggregate of structs would need.
+        .repartition(spec.natural_key)
+        .groupBy(spec.natural_key)
+        .agg(F.max_by(F.struct(*spec.updates), F.col("load_id")).alias("latest"))
+    )
+    changed = F.col("latest").isNotNull()
+    return first.join(latest, spec.natural_key, "left").select(
+        *(
+            F.when(changed, F.col(f"latest.{c}")).otherwise(F.col(c)).alias(c)
+            if c in spec.updates
+            else F.col(c)
+            for c in spec.table.columns
         )
+    )
