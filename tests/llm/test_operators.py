@@ -454,3 +454,22 @@ def test_pipeline_stages(docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     rows = corpus_pipeline.run(docs.sparkSession, str(tmp_path)).collect()
     assert {r.doc_id for r in rows} <= {r[0] for r in corpus()} and rows
+
+
+def test_cutting_texts_changes_no_ids(monkeypatch):
+    """Ids of segments against the tokenizer's for whole texts."""
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    parts = ["a", "The", "ing", ".", " ", ",", "  ", "\n", "é", "漢", " ", "　", " ", " ", "😀", "12", "'s", "'",
+             "!", "...", "\t", " a", " b.", "\x85", "’", "$", "x'll"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(6000)]
+    texts += [None, "", "x" * 3000, "a b " * 900, " " * 2000, prose(3, 3000)]
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    want = [x.ids for x in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for held in (packing.ENCODED_BYTES, 700):  # a window that cuts most texts
+        monkeypatch.setattr(packing, "ENCODED_BYTES", held)
+        found = packing._Encoder(packing.tokenizer_path())(pa.array(texts, pa.string()))
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == want

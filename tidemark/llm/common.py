@@ -143,6 +143,43 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+#: Longest run that :func:`different_runs` compares by hash.
+LONGEST_RUN = 256
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of each run, ``count`` of them."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def different_runs(
+    values: np.ndarray, letters: np.ndarray, start: np.ndarray, size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """One of each different run of ``values``, and for each run which that is.
+
+    Runs follow each other without gaps and have 1 to ``LONGEST_RUN`` values; ``letters``
+    holds a 64-bit hash of each value. Runs of one hash are compared value by value.
+    """
+    if not len(size):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    within = np.arange(len(values)) - np.repeat(start, size)
+    salt = _BASE
+    while True:
+        power = np.cumprod(np.full(LONGEST_RUN + 1, salt))
+        hashes = mix(np.add.reduceat(letters * power[within], start) + size.astype(_U64))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if (size[first[which]] == size).all():
+            own = np.repeat(start[first[which]], size) + within
+            if (values[own] == values).all():
+                return first, which
+        salt = mix(np.array([salt], _U64))[0] | _U64(1)
+
+
+def byte_letters(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte."""
+    return _CASED[data]
+
+
 #: Bits of a membership bitmap: 4 MB, whatever the number of values.
 BITMAP_BITS = 1 << 25
 

@@ -8,16 +8,25 @@ block of numbers has one length and can be batched as it is.
 
 from __future__ import annotations
 
-import re
+import os
 import sys
 import types
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table
+from tidemark.llm.common import (
+    LONGEST_RUN,
+    byte_letters,
+    different_runs,
+    spread,
+    staged,
+    table,
+    text_bytes,
+)
 from tidemark.operators.keys import number_ranges
 from tidemark.session import scratch_path
 
@@ -25,11 +34,10 @@ from tidemark.session import scratch_path
 SEQUENCE = 1024
 #: Id that ends each document.
 END_ID = 0
-#: Pieces of text whose ids a worker remembers.
+#: Bytes of text encoded at a time; bounds the memory of a task.
+ENCODED_BYTES = 1 << 22
+#: Segments whose ids a worker remembers.
 REMEMBERED = 1_000_000
-#: Texts are cut at blanks between other characters. The tokenizer begins a new piece at
-#: each of them in any case, so the parts give the ids of the whole.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -38,51 +46,144 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-_MARKS = frozenset(".,")
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
-_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
-
-
-def _parts(text: str) -> list[str]:
-    """The text cut as by ``_CUT``; plain splitting where no two spaces meet."""
-    if sum(map(text.count, _SPACES)) == len(text.split()) - 1:
-        return text.split(" ")
-    return _CUT.split(text)
+#: White space beyond ASCII: the last and first three bytes of its characters, as numbers.
+_WIDE = [chr(c).encode() for c in range(0x80, 0x3001) if chr(c).isspace()]
+_WIDE_2 = np.array([int.from_bytes(c, "big") for c in _WIDE if len(c) == 2])
+_WIDE_3 = np.array([int.from_bytes(c, "big") for c in _WIDE if len(c) == 3])
+_NARROW = np.zeros(256, bool)
+_NARROW[[i for i in range(128) if chr(i).isspace()]] = True
+#: Kinds of ASCII bytes: 1 letter, 2 digit, 3 other sign, 4 apostrophe; 0 the rest.
+_KIND = np.zeros(256, np.int64)
+for _c in range(33, 127):
+    _KIND[_c] = 1 if chr(_c).isalpha() else 2 if chr(_c).isdigit() else 4 if chr(_c) == "'" else 3
+#: Whether a piece ends between two kinds. An apostrophe may begin a contraction.
+_ENDS = np.array(
+    [[0 < a < 4 and b > 0 and a != b and (a, b) != (3, 4) for b in range(5)] for a in range(5)]
+)
+#: Segments that the tokenizer gets as one text.
+TOGETHER = 64
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where a text may be cut without changing its ids, as one flag per byte.
+
+    The tokenizer begins a new piece at each blank between two other characters, and where
+    letters, digits and other signs meet.
+    """
+    cut = np.zeros(len(data), bool)
+    if len(data) < 3:
+        return cut
+    spaces = _NARROW[data]
+    cut[1:-1] = (data[1:-1] == 0x20) & ~spaces[:-2] & ~spaces[2:]
+    # A blank beside white space beyond ASCII is part of a longer run.
+    beside = np.flatnonzero(cut)
+    beside = beside[(data[beside - 1] >= 0x80) | (data[beside + 1] >= 0x80)]
+    if len(beside):
+        near = np.concatenate([np.zeros(3, np.int64), data, np.zeros(3, np.int64)])
+        near = near[beside[:, None] + np.arange(7)]  # three bytes, the blank, three bytes
+        two = near << 8
+        wide = np.isin((near[:, 1] << 8) + near[:, 2], _WIDE_2)
+        wide |= np.isin((near[:, 4] << 8) + near[:, 5], _WIDE_2)
+        wide |= np.isin((near[:, 0] << 16) + two[:, 1] + near[:, 2], _WIDE_3)
+        wide |= np.isin((near[:, 4] << 16) + two[:, 5] + near[:, 6], _WIDE_3)
+        cut[beside[wide]] = False
+    kinds = _KIND[data]
+    cut[1:] |= _ENDS[kinds[:-1], kinds[1:]]
+    return cut
 
 
 class _Encoder:
-    """Ids of texts as little-endian bytes, remembering those of frequent words."""
+    """Ids of texts. Different segments are encoded once, and frequent ones remembered.
+
+    Ids are kept as the machine's 32-bit numbers, which are little-endian.
+    """
 
     def __init__(self, path: str):
+        # A task has one core; the library's threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [_parts(text or "") for text in texts]
-        heads = self._encode([parts[0] for parts in split])
-        new = list({word for parts in split for word in parts[1:]} - self.known.keys())
+        self.known: dict[bytes, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        # A byte-level tokenizer names an id by one character for each of its bytes.
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        self.bytes_of[list(names.values())] = [len(name) for name in names]
+
+    def _encode(self, segments: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each segment."""
+        new = [segment for segment in segments if segment not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list({word for parts in split for word in parts[1:]})
-        # A mark after a letter begins a piece too, so only the word before it is encoded.
-        ended = [w for w in new if w[-1:] in _MARKS and w[-2:-1] in _LETTERS and len(w) > 1]
-        new = list({w[:-1] for w in ended} - self.known.keys() | set(new) - set(ended))
-        for begin in range(0, len(new), 4096):
-            words = new[begin : begin + 4096]
-            self.known.update(zip(words, self._encode([f" {w}" for w in words]), strict=True))
-        for word in ended:
-            self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
-        return [
-            b"".join([head, *map(self.known.__getitem__, parts[1:])])
-            for head, parts in zip(heads, split, strict=True)
+            new = segments
+        texts = [segment.decode() for segment in new]
+        # Behind each other, words with a blank before them are cut as _cuts does.
+        is_word = [
+            len(t) > 1 and t[0] == " " and not t[1].isspace() and not t[-1].isspace() for t in texts
         ]
+        words = [i for i, yes in enumerate(is_word) if yes]
+        others = [i for i, yes in enumerate(is_word) if not yes]
+        for chosen, together in ((words, TOGETHER), (others, 1)):
+            for begin in range(0, len(chosen), 64 * TOGETHER):
+                part = chosen[begin : begin + 64 * TOGETHER]
+                joined = [
+                    "".join([texts[i] for i in part[k : k + together]])
+                    for k in range(0, len(part), together)
+                ]
+                ids = array("I")
+                for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+                    ids.extend(found.ids)
+                # The bytes that ids stand for tell where a segment ends.
+                reached = np.cumsum(self.bytes_of[np.frombuffer(ids, np.uint32)])
+                ends = np.cumsum([len(new[i]) for i in part])
+                last = np.searchsorted(reached, ends) + 1
+                if not (reached[last - 1] == ends).all():
+                    raise ValueError("The tokenizer joins what should be apart")
+                raw, stops = ids.tobytes(), (4 * last).tolist()
+                for i, first, stop in zip(part, [0, *stops], stops, strict=False):
+                    self.known[new[i]] = raw[first:stop]
+        return [self.known[segment] for segment in segments]
+
+    def __call__(self, column: pa.Array) -> list[bytes]:
+        """Little-endian ids of each text of a string column (null: empty)."""
+        data, bounds = text_bytes(column)
+        parts, counts = [], np.zeros(len(column), np.int64)
+        begin, window = 0, ENCODED_BYTES
+        while begin < len(data):
+            end = min(begin + window, len(data))
+            flags = _cuts(data[begin : end + 3])[: end - begin]
+            flags[bounds[(bounds >= begin) & (bounds < end)] - begin] = True
+            flags[0] = True
+            cut = np.flatnonzero(flags)
+            if end < len(data):
+                if len(cut) == 1:  # no end of the segment in sight
+                    window *= 2
+                    continue
+                end, cut = begin + int(cut[-1]), cut[:-1]
+            ids, count = self._run(data[begin:end], cut)
+            parts.append(ids)
+            np.add.at(counts, np.searchsorted(bounds, begin + cut, "right") - 1, count)
+            begin, window = end, ENCODED_BYTES
+        ids = np.concatenate(parts or [np.zeros(0, "<u4")])
+        ends = np.cumsum(counts)
+        return [ids[a:b].tobytes() for a, b in zip(ends - counts, ends, strict=True)]
+
+    def _run(self, data: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.diff(cut, append=len(data))
+        short = size <= LONGEST_RUN
+        flat = data[np.repeat(short, size)]
+        start = np.cumsum(size[short]) - size[short]
+        first, which = different_runs(flat, byte_letters(flat), start, size[short])
+        begins = np.concatenate([cut[short][first], cut[~short]])
+        ends = begins + np.concatenate([size[short][first], size[~short]])
+        raw = data.tobytes()
+        found = self._encode([raw[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)])
+        total = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        segment = np.zeros(len(cut), np.int64)
+        segment[short], segment[~short] = which, len(first) + np.arange(int((~short).sum()))
+        count = total[segment]
+        return ids[spread((np.cumsum(total) - total)[segment], count)], count
 
 
 def _encoder(path: str) -> _Encoder:
@@ -102,17 +203,19 @@ def pieces(size: int, longest: int) -> list[int]:
 def cut_documents(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) -> DataFrame:
     """``doc_id, start, length, doc_tokens, ids`` per piece; ``ids`` are 32-bit little-endian.
 
-    Reads ``doc_id, text``. Null text is empty, and an empty text has the end id alone.
+    Reads ``doc_id, text``. Null text is empty, and an empty text has the end id alone. A
+    text longer than ``ENCODED_BYTES`` is encoded in parts; its pieces are the same. ``path``
+    names a byte-level tokenizer that begins pieces where :func:`_cuts` says.
     """
     path = path or tokenizer_path()
 
     def cut(batches):
         encode = _encoder(path)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin in range(0, batch.num_rows, 1024):
+                part = batch.slice(begin, 1024)
                 row, start, length, total, ids = [], [], [], [], []
-                for i, raw in enumerate(encode(part.column("text").to_pylist())):
+                for i, raw in enumerate(encode(part.column("text"))):
                     raw += END_ID.to_bytes(4, "little")
                     at = 0
                     for size in pieces(len(raw) // 4, longest):

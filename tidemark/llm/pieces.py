@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix, table
+from tidemark.llm.common import LONGEST_RUN, different_runs, mix, spread, table
 
 #: SentencePiece's mark for a blank.
 SPACE = "▁"
@@ -32,7 +32,7 @@ UNKNOWN = " ⁇ "
 #: Characters handled at a time; bounds the memory of a task whatever the length of its texts.
 CHARACTERS = 1 << 22
 #: Segments longer than this are encoded one by one.
-LONG = 256
+LONG = LONGEST_RUN
 #: Pairs of pieces whose compatibility a worker remembers, a power of two.
 REMEMBERED = 1 << 21
 
@@ -309,23 +309,6 @@ class PieceModel:
     def _bytes_of(self, code: int) -> list[int]:
         return [self.bytes[b] for b in chr(code).encode()]
 
-    def _different(self, codes, start, size):
-        """One of each different segment, and for each segment which that is."""
-        if not len(size):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        within = np.arange(len(codes)) - np.repeat(start, size)
-        letters = mix(codes.astype(_U64) + _U64(1))
-        salt = _BASE
-        while True:
-            power = np.cumprod(np.full(LONG + 1, salt))
-            hashes = mix(np.add.reduceat(letters * power[within], start) + size.astype(_U64))
-            _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            if (size[first[which]] == size).all():
-                own = np.repeat(start[first[which]], size) + within
-                if (codes[own] == codes).all():
-                    return first, which
-            salt = mix(np.array([salt], _U64))[0] | _U64(1)
-
     def _run(self, codes: np.ndarray, kinds: np.ndarray, cut: np.ndarray):
         """Ids of characters that are cut before each place of ``cut``, and their number by segment."""
         size = np.diff(cut, append=len(codes))
@@ -335,7 +318,8 @@ class PieceModel:
         flat = np.repeat(size <= LONG, size)
         s_codes, s_kinds, s_size = codes[flat], kinds[flat], size[short]
         s_start = np.cumsum(s_size) - s_size
-        first, which = self._different(s_codes, s_start, s_size)
+        letters = mix(s_codes.astype(_U64) + _U64(1))
+        first, which = different_runs(s_codes, letters, s_start, s_size)
         d_start, d_size = s_start[first], s_size[first]
         known = (d_size > 1) | (s_kinds[d_start] > 0)
         order = np.flatnonzero(known)
@@ -353,20 +337,20 @@ class PieceModel:
             total[d] = len(own)
         ends = np.cumsum(total)
         ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
-        ids[_spread((ends - total)[order], count)] = pieces
+        ids[spread((ends - total)[order], count)] = pieces
         for d, own in fallback:
             ids[ends[d] - total[d] : ends[d]] = own
         segment = np.zeros(len(cut), np.int64)
         segment[short], segment[long] = which, len(d_size) + np.arange(len(long))
         count = total[segment]
-        ids = ids[_spread((ends - total)[segment], count)]
+        ids = ids[spread((ends - total)[segment], count)]
         if self.loose and len(ids):
             own = [self._bytes_of(ord(c)) for c in self.loose]
             width = np.array([*[1] * self.count, *map(len, own)], np.int64)[ids]
             count = np.add.reduceat(width, np.cumsum(count) - count)
             at = np.flatnonzero(ids >= self.count)
             spread = np.repeat(ids, width)
-            spread[_spread((np.cumsum(width) - width)[at], width[at])] = [
+            spread[spread((np.cumsum(width) - width)[at], width[at])] = [
                 b for i in ids[at] for b in own[i - self.count]
             ]
             ids = spread
@@ -424,11 +408,6 @@ class PieceModel:
 codecs.register_error("tidemark-bytewise", lambda error: ("\ufffd", error.start + 1))
 
 
-def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of each run, ``count`` of them."""
-    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-
-
 def _model(path: str) -> PieceModel:
     """The worker's model; it outlives the task."""
     held = sys.modules.setdefault("_tidemark_pieces", types.ModuleType("_tidemark_pieces"))
