@@ -349,11 +349,11 @@ class PieceModel:
             width = np.array([*[1] * self.count, *map(len, own)], np.int64)[ids]
             count = np.add.reduceat(width, np.cumsum(count) - count)
             at = np.flatnonzero(ids >= self.count)
-            spread = np.repeat(ids, width)
-            spread[spread((np.cumsum(width) - width)[at], width[at])] = [
+            whole = np.repeat(ids, width)
+            whole[spread((np.cumsum(width) - width)[at], width[at])] = [
                 b for i in ids[at] for b in own[i - self.count]
             ]
-            ids = spread
+            ids = whole
         return ids, count
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
