@@ -22,3 +22,9 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     system.mkdirs(new.getParent())
     if system.exists(new) or not system.rename(folder, new):
         raise FileExistsError(f"{source} can't become {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; nothing happens where there is none."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
