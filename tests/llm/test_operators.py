@@ -107,7 +107,6 @@ def test_one_text_of_a_group_stays(docs):
 
 def test_dense_groups_are_joined_in_full(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PIVOT_LIST", 4)
-    monkeypatch.setattr(ngram_join, "PAIRS_PER_POSTING", 0)
     base = prose(7, 100).split()
     rows = []
     for i in range(60):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import prepare, scratch_path
+from tidemark.sources.folders import remove
 
 #: White space between words, as a character class for Java's and DuckDB's patterns.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -42,7 +43,16 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    read = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    read.staged_at = path
+    return read
+
+
+def forget(*frames: DataFrame | None) -> None:
+    """Remove what :func:`staged` has written. No later plan may read these frames."""
+    for frame in frames:
+        if frame is not None:
+            remove(frame.sparkSession, frame.staged_at)
 
 
 def spaced(text: Column) -> Column:
@@ -246,7 +256,8 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         label,
     )
     while True:
-        edges = staged(star_step(edges), label)
+        before, edges = edges, staged(star_step(edges), label)
+        forget(before)
         # Done when all edges lead to a node that leads nowhere itself, one from each node.
         chained = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
         forked = edges.groupBy("u").count().filter("count > 1")

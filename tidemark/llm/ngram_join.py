@@ -11,10 +11,11 @@ A parity sketch gives a lower bound of how far two sets differ, which spares mos
 join with their sets. Results are exact. Three things keep the work linear in dense groups:
 
 * A posting list whose classes are already one component yields no pair.
-* Long lists are first linked through pivots, a few pairs per member and round, as long as
-  that spares pairs. Pivots only unite components sooner; what stays apart is compared in
-  full afterwards. Rounds need no exact components: one step towards them is enough, as
-  long as equal labels mean one component.
+* Long lists are first linked through pivots, a few pairs per member and turn. Lists with the
+  same members mostly choose the same pivots, so a member meets few of them. Pivots only
+  unite components sooner; what stays apart is compared in full afterwards. Turns need no
+  exact components: one step towards them is enough, as long as equal labels mean one
+  component. The number of turns is the same for all inputs.
 * In a list of several components only pairs across them are formed, each with a member
   outside the largest one.
 """
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import (
     bitmap_of,
     components,
+    forget,
     in_bitmap,
     staged,
     star_step,
@@ -44,9 +46,8 @@ from tidemark.llm.common import (
 MOST_MATCHES = 4
 #: Cost of verifying a pair, in posting entries read.
 VERIFY_COST = 8
-#: Lists longer than this are first linked through so many pivots a round, for at most so
-#: many rounds, and only while full comparison would form more than so many pairs per posting.
-PIVOT_LIST, PIVOTS, PIVOT_ROUNDS, PAIRS_PER_POSTING = 32, 2, 3, 4
+#: Lists longer than this are first linked through so many pivots a turn, for so many turns.
+PIVOT_LIST, PIVOTS, PIVOT_TURNS = 32, 4, 2
 #: Bits of the parity sketch that rules out pairs before their sets are joined.
 SKETCH_BITS = 1024
 #: Texts, and shingles to count, that a task holds at a time.
@@ -221,12 +222,14 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
     ]
     allowed = F.filter(F.array(*weighed), lambda c: c["needs"] <= F.greatest(least, F.lit(1)))
     choice = choice.select("node", F.array_min(allowed)["needs"].alias("needs"))
-    return staged(
+    prefixes = staged(
         rows.join(choice, "node")
         .filter(F.col("pos") < F.col("n") - least + F.col("needs"))
         .select("shingle", "node", "n", "needs"),
         "prefixes",
     )
+    forget(spread_out)
+    return prefixes
 
 
 class _Linker:
@@ -237,7 +240,7 @@ class _Linker:
 
     def __init__(self, percent: int):
         self.percent = percent
-        self.edges: DataFrame | None = None
+        self.links: list[DataFrame] = []  # staged, with the columns u and v
         self.labels: DataFrame | None = None
 
     def labelled(self, postings: DataFrame) -> DataFrame:
@@ -248,10 +251,9 @@ class _Linker:
 
     def verify(self, pairs: DataFrame, sets: DataFrame) -> bool:
         """Add the pairs ``a, b`` that are similar enough; False if there are none."""
-        size = F.size("shingles")
         light = [
             sets.select(
-                F.col("node").alias(c), size.alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")
+                F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")
             )
             for c in "ab"
         ]
@@ -277,27 +279,31 @@ class _Linker:
             pairs.join(side[0], "a")
             .join(side[1], "b")
             .filter(100 * common >= self.percent * union)
-            .select("a", "b"),
+            .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")),
             "links",
         )
-        if links.isEmpty():
-            return False
-        edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        self.edges = edges if self.edges is None else self.edges.union(edges)
-        return True
+        self.links.append(links)
+        return not links.isEmpty()
+
+    def _edges(self) -> DataFrame:
+        edges = self.links[0]
+        for more in self.links[1:]:
+            edges = edges.union(more)
+        return edges
 
     def shorten(self) -> None:
         """Label the nodes after one step towards the components."""
-        self.edges = staged(star_step(self.edges), "edges")
-        self.labels = self.edges.groupBy(F.col("u").alias("node")).agg(
-            F.min("v").alias("component")
-        )
+        edges = staged(star_step(self._edges()), "edges")
+        forget(*self.links)
+        self.links = [edges]
+        self.labels = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
     def finish(self) -> None:
         """Label the nodes by their components."""
-        if self.edges is not None:
-            links = self.edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+        if self.links:
+            links = self._edges().select(F.col("u").alias("a"), F.col("v").alias("b"))
             self.labels = staged(components(links), "labels")
+            forget(*self.links)
 
 
 def _in_reach(percent: int):
@@ -323,7 +329,7 @@ def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each member outside a long list's largest component with that list's pivots of this turn."""
     long_lists = rows.filter(F.col("texts") > PIVOT_LIST)
     least = [
-        F.min(F.struct(F.xxhash64("node", "shingle", F.lit(PIVOTS * turn + k)), "node", "n"))
+        F.min(F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)), "node", "n"))
         for k in range(PIVOTS)
     ]
     pivots = (
@@ -365,7 +371,7 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``node, shingles, sketch`` of the classes in ``nodes``, one row each.
+    """``node, n, shingles, sketch`` of the classes in ``nodes``, one row each.
 
     A bitmap over text keys picks the texts to read again; one text stands for a class.
     """
@@ -406,12 +412,14 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
     )
     held = F.any_value(F.struct("shingles", "sketch"))
     one = read.groupBy("text_key", "cls").agg(held.alias("held"))
-    return staged(
-        wanted.join(classes.select("node", "cls"), "node")
+    found = staged(
+        wanted.join(classes.select("node", "n", "cls"), "node")
         .join(one, ["text_key", "cls"])
-        .select("node", "held.shingles", "held.sketch"),
+        .select("node", "n", "held.shingles", "held.sketch"),
         "sets",
     )
+    forget(wanted)
+    return found
 
 
 def similar_components(
@@ -433,37 +441,39 @@ def similar_components(
         F.min("doc_id").alias("least_id"),
     )
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    postings = _postings(classes, percent)
+    members = staged(signed.drop("prefix"), "members")
+    forget(signed)
     linker, sets = _Linker(percent), None
-    entries, before = postings.count(), None
-    for turn in range(PIVOT_ROUNDS + 1):
+    before = postings = _postings(classes, percent)
+    for turn in range(PIVOT_TURNS + 1):
         # Lists that have become one component are done with, so each turn reads fewer.
         apart = staged(_sized(linker.labelled(postings)), "apart")
-        postings = apart.select("shingle", "node", "n", "needs")
-        due = apart.filter("component != largest").agg(F.sum("texts")).first()[0] or 0
-        if turn == PIVOT_ROUNDS or due <= PAIRS_PER_POSTING * entries:
+        forget(before)
+        before, postings = apart, apart.select("shingle", "node", "n", "needs")
+        if turn == PIVOT_TURNS:
             break
-        # A further turn must be worth its cost: the last one has to have spared more.
-        if before is not None and before - due < PAIRS_PER_POSTING * entries:
-            break
-        before = due
         if sets is None:
             nodes = apart.filter(F.col("texts") > PIVOT_LIST).select("node")
             sets = _class_sets(docs, classes, nodes, shingle_words)
-        if not linker.verify(staged(_pivot_pairs(apart, turn, percent), "pivots"), sets):
-            break
-        linker.shorten()
+        pivots = staged(_pivot_pairs(apart, turn, percent), "pivots")
+        if linker.verify(pivots, sets):
+            linker.shorten()
+        forget(pivots)
+    forget(sets)
     pairs = staged(_cross_pairs(apart, percent), "pairs")
+    forget(apart)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    linker.verify(pairs, _class_sets(docs, classes, nodes, shingle_words))
+    sets = _class_sets(docs, classes, nodes, shingle_words)
+    linker.verify(pairs, sets)
+    forget(pairs, sets)
     linker.finish()
     named = linker.labelled(classes.select("node", "cls", "least_id"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_class = staged(named.join(least, "component").select("cls", "component_id"), "by-class")
-    alone = signed.filter("n = 0").select(
+    alone = members.filter("n = 0").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
     )
-    grouped = signed.filter("n > 0").select("doc_id", "text_key", "n", "cls")
+    grouped = members.filter("n > 0").select("doc_id", "text_key", "n", "cls")
     return (
         grouped.join(by_class, "cls")
         .select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id")
