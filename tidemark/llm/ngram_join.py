@@ -83,6 +83,14 @@ def _sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(slots, minlength=SKETCH_BITS) & 1).tobytes()
 
 
+def _sketch_column(sketches: list[bytes]) -> pa.ListArray:
+    words = SKETCH_BITS // 64
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(len(sketches) + 1) * words, pa.int32()),
+        pa.array(np.frombuffer(b"".join(sketches), np.int64)),
+    )
+
+
 def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
     """Shingles that come back within a block, with how many texts of such blocks have them.
 
@@ -139,14 +147,15 @@ def _rare_first(shingles: np.ndarray, common: np.ndarray, texts: np.ndarray) ->
 
 
 def _signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, text_key, n, cls, prefix``: each text with its class and longest prefix."""
+    """``doc_id, text_key, n, cls, prefix, sketch``: each text with its class and longest prefix."""
     common = docs.sparkSession.sparkContext.broadcast(_common_table(docs, size))
 
     def sign(batches):
         for batch in _slices(batches):
-            n, cls, prefix = [], [], []
+            n, cls, prefix, sketches = [], [], [], []
             for _, shingles in _sets(batch, size):
                 n.append(len(shingles))
+                sketches.append(_sketch(shingles))
                 cls.append(_digest(shingles) if len(shingles) else None)
                 most = len(shingles) - -(-percent * len(shingles) // 100) + MOST_MATCHES
                 prefix.append(_rare_first(shingles, *common.value)[:most].view(np.int64))
@@ -159,15 +168,16 @@ def _signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(cls, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(values)),
+                    _sketch_column(sketches),
                 ],
-                ["doc_id", "text_key", "n", "cls", "prefix"],
+                ["doc_id", "text_key", "n", "cls", "prefix", "sketch"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         sign,
-        f"doc_id {id_type}, text_key long, n long, cls binary, prefix array<long>",
+        f"doc_id {id_type}, text_key long, n long, cls binary, prefix array<long>, sketch array<long>",
     )
 
 
@@ -349,9 +359,26 @@ def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
+def _folded(classes: DataFrame) -> DataFrame:
+    """``node`` and its sketch in half as many bits, a column for each 64 of them."""
+    half = SKETCH_BITS // 128
+    return classes.select(
+        "node",
+        *(F.col("sketch")[k].bitwiseXOR(F.col("sketch")[k + half]).alias(f"s{k}") for k in range(half)),
+    )
+
+
 def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs across components that share as many prefix shingles as they must."""
-    columns = ["node", "n", "needs", "component"]
+    """All pairs across components that share as many prefix shingles as they must.
+
+    The sketch columns are part of the join's condition: most pairs of a dense list are
+    ruled out there and never become rows.
+    """
+    sketch = [c for c in rows.columns if c.startswith("s") and c[1:].isdigit()]
+    apart = sum(
+        (F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0)
+    )
+    columns = ["node", "n", "needs", "component", *sketch]
     a = rows.filter("component != largest").select(
         "shingle", *(F.col(c).alias(f"{c}_a") for c in columns)
     )
@@ -360,6 +387,7 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
         (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b")))
         & _in_reach(percent)
+        & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
     )
     smaller, larger = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
     return (
@@ -389,8 +417,7 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
                 continue
             shingles = [held.view(np.int64) for _, held in _sets(part, size)]
             lengths = np.cumsum([0, *map(len, shingles)])
-            sketches = b"".join(_sketch(held.view(np.uint64)) for held in shingles)
-            words = SKETCH_BITS // 64
+            sketches = [_sketch(held.view(np.uint64)) for held in shingles]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("text_key"),
@@ -399,10 +426,7 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
                         pa.array(lengths, pa.int32()),
                         pa.array(np.concatenate([*shingles, np.zeros(0, np.int64)])),
                     ),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(shingles) + 1) * words, pa.int32()),
-                        pa.array(np.frombuffer(sketches, np.int64)),
-                    ),
+                    _sketch_column(sketches),
                 ],
                 ["text_key", "cls", "shingles", "sketch"],
             )
@@ -437,11 +461,12 @@ def similar_components(
     signed = staged(_signed(docs, shingle_words, percent), "signed")
     classes = signed.filter("n > 0").groupBy("cls", "n").agg(
         F.any_value("prefix").alias("prefix"),
+        F.any_value("sketch").alias("sketch"),
         F.min("text_key").alias("text_key"),
         F.min("doc_id").alias("least_id"),
     )
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = staged(signed.drop("prefix"), "members")
+    members = staged(signed.drop("prefix", "sketch"), "members")
     forget(signed)
     linker, sets = _Linker(percent), None
     before = postings = _postings(classes, percent)
@@ -460,8 +485,10 @@ def similar_components(
             linker.shorten()
         forget(pivots)
     forget(sets)
-    pairs = staged(_cross_pairs(apart, percent), "pairs")
+    sketched = staged(apart.join(_folded(classes), "node"), "sketched")
     forget(apart)
+    pairs = staged(_cross_pairs(sketched, percent), "pairs")
+    forget(sketched)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     sets = _class_sets(docs, classes, nodes, shingle_words)
     linker.verify(pairs, sets)
