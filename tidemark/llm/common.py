@@ -55,6 +55,18 @@ def forget(*frames: DataFrame | None) -> None:
             remove(frame.sparkSession, frame.staged_at)
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the frame has such a column in any case."""
+    taken = {column.lower() for column in frame.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def spaced(text: Column) -> Column:
     """The text with every kind of white space as a blank; byte searches, no pattern."""
     text = F.coalesce(text, F.lit(""))

@@ -9,7 +9,6 @@ n-grams, corrected for the false positives expected from how full its bit is.
 
 from __future__ import annotations
 
-import re
 from functools import cached_property
 
 import numpy as np
@@ -25,7 +24,6 @@ SLOTS, PROBES = 1 << 20, 3
 #: where that share is more than one n-gram. A language always learns its most frequent ones.
 LEAST_SHARE = 2e-5
 
-_LETTER = re.compile(r"[^\W\d_]")
 # Letters and bytes of other scripts stay; all other ASCII is a blank.
 _CLEAN = np.full(256, 0x20, np.uint8)
 _CLEAN[0x80:] = np.arange(0x80, 0x100)
@@ -180,7 +178,7 @@ def predicted(docs: DataFrame, model: LanguageFilter) -> DataFrame:
                 total = counts.sum(axis=1)
                 share = counts.max(axis=1) / np.where(total > 0, total, 1)
                 for text, i, score in zip(part, best, share.tolist(), strict=True):
-                    known = model.languages and _LETTER.search(text)
+                    known = model.languages and any(map(str.isalpha, text))
                     names.append(model.languages[i] if known else "und")
                     scores.append(score if known else 0.0)
             yield pa.RecordBatch.from_arrays(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, table, words_of
+from tidemark.llm.common import fresh, staged, table, words_of
 from tidemark.operators.keys import number_ranges
 from tidemark.session import scratch_path
 
@@ -163,15 +163,18 @@ def mix(docs: DataFrame, max_epochs: int = 3) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, max_epochs: int = 3) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; its columns stay as they are."""
+    own_id, own_source, copies, turn = fresh(docs, "_id", "_source", "_copies", "_turn")
     narrow = mix(docs, max_epochs).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
+        F.col("doc_id").alias(own_id),
+        F.col("source").alias(own_source),
+        F.col("copies").alias(copies),
     ).distinct()
     joined = docs.join(
         narrow,
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")),
+        F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col("source").eqNullSafe(F.col(own_source)),
     )
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return joined.filter("_copies > 0").withColumn("_turn", again).select(*docs.columns)
+    again = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))
+    return joined.filter(F.col(copies) > 0).withColumn(turn, again).select(*docs.columns)
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

@@ -34,6 +34,7 @@ from tidemark.llm.common import (
     bitmap_of,
     components,
     forget,
+    fresh,
     in_bitmap,
     staged,
     star_step,
@@ -520,15 +521,16 @@ def one_per_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80) ->
     keepers = members.groupBy(group.alias("grp")).agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("keep")
     )
-    keepers = keepers.select("keep.doc_id", "keep.text_key").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key")
+    keep_id, keep_key, key = fresh(docs, "_keep_id", "_keep_key", "_key")
+    keepers = keepers.select(
+        F.col("keep.doc_id").alias(keep_id), F.col("keep.text_key").alias(keep_key)
     )
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    keyed = docs.filter(worded).withColumn("_key", F.xxhash64("text"))
+    keyed = docs.filter(worded).withColumn(key, F.xxhash64("text"))
     kept = keyed.join(
-        keepers, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_key") == F.col("_keep_key"))
+        keepers, F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(key) == F.col(keep_key))
     )
-    once = kept.dropDuplicates(["_keep_id", "_keep_key"]).select(*docs.columns)
+    once = kept.dropDuplicates([keep_id, keep_key]).select(*docs.columns)
     return once.union(docs.filter(~worded))
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import spaced, staged, table
+from tidemark.llm.common import fresh, spaced, staged, table
 from tidemark.llm.lexicon import COMMON_WORDS
 
 #: Rejected beyond this distance of character classes, in texts of so many characters.
@@ -192,13 +192,14 @@ def accepted(docs: DataFrame) -> DataFrame:
 
     Rows of one id and text are judged alike, so a row is found again by these two.
     """
+    own_id, own_key, key = fresh(docs, "_id", "_key", "_text_key")
     kept = judged(docs).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    kept = kept.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).distinct()
     return (
-        docs.withColumn("_text_key", F.xxhash64("text"))
+        docs.withColumn(key, F.xxhash64("text"))
         .join(
             kept,
-            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
+            F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)),
             "left_semi",
         )
         .select(*docs.columns)
