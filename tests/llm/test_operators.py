@@ -195,12 +195,96 @@ def test_repeated_passages_are_cut_once(docs):
     assert kept.columns == docs.columns and 2 not in {r.doc_id for r in kept.collect()}
 
 
-def test_chunks_are_shift_resistant():
+def windows_of(texts):
     import pyarrow as pa
 
+    return [
+        (row, begin, end, tuple(digest))
+        for part in substrings._windows(pa.array(texts, pa.string()))
+        for row, begin, end, digest in zip(*(x.tolist() for x in part), strict=True)
+    ]
+
+
+def test_windows_are_shift_resistant():
     text = prose(3, 600)
-    chunks = [{d for _, _, _, d in substrings._chunks(pa.array([t]))} for t in (text, "inserted " + text)]
-    assert len(chunks[0] & chunks[1]) > 0.9 * len(chunks[0])
+    found = [{w[3] for w in windows_of([t])} for t in (text, "inserted " + text)]
+    assert len(found[0] & found[1]) > 0.9 * len(found[0])
+
+
+def test_windows_are_equal_where_their_bytes_are():
+    words = [prose(i, 300) for i in range(30)]
+    texts = [*words, "", None, words[3][7:900] + words[4], "x" * 5000, "日本語のテキスト" * 90, *words[:5]]
+    by_digest, by_bytes = {}, {}
+    for row, begin, end, digest in windows_of(texts):
+        raw = texts[row].encode()[begin:end]
+        raw.decode()  # borders lie between characters
+        assert len(raw) >= substrings.LEAST_RUN
+        by_digest.setdefault(digest, set()).add(raw)
+        by_bytes.setdefault(raw, set()).add(digest)
+    assert all(len(x) == 1 for x in [*by_digest.values(), *by_bytes.values()])
+    # What a text's windows are does not depend on the texts beside it.
+    alone = [w[1:] for w in windows_of([words[7]])]
+    assert alone == [w[1:] for w in windows_of(texts) if w[0] == 7]
+
+
+def test_long_texts_have_the_windows_of_short_ones(monkeypatch):
+    text = prose(5, 30_000)
+    whole = windows_of([text])
+    monkeypatch.setattr(substrings, "_PART", 1 << 12)
+    assert windows_of([text]) == whole
+
+
+def test_passages_of_51_words_are_cut():
+    """Of 1,000 random passages of six-letter words, at least 99 % lose half or more."""
+
+    def longer(seed, n):
+        words = iter(prose(seed, 2 * n).split())
+        return " ".join(a + b for a, b in zip(words, words, strict=True))
+
+    lost = []
+    for i in range(1000):
+        passage = longer(10_000 + i, 51)
+        texts = [f"{longer(20_000 + 2 * i + k, 40)} {passage} {longer(50_000 + 2 * i + k, 40)}" for k in (0, 1)]
+        first = {w[3] for w in windows_of(texts[:1])}
+        spans = [{"begin": b, "end": e} for _, b, e, d in windows_of(texts[1:]) if d in first]
+        cut = sum(e - b for b, e in substrings._joined(spans))
+        lost.append(cut / len(passage.encode()))
+    assert sum(share >= 0.5 for share in lost) >= 990 and max(lost) <= 1.1
+
+
+def test_cuts_agree_with_brute_force(spark):
+    """Every cut byte lies in an earlier exact repeat, and long repeats are found."""
+    shared = [prose(900 + i, 70) for i in range(6)]
+    rows = [(i, f"{prose(i, 60)} {shared[i % 6]} {prose(100 + i, 30 + i)}") for i in range(36)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    texts, least = dict(rows), substrings.LEAST_RUN
+    for r in substrings.deduplicated(frame).collect():
+        raw = texts[r.doc_id].encode()
+        earlier = [texts[i].encode() for i in range(r.doc_id)]
+        for begin, end in r.cut_spans:
+            assert end - begin >= least - 40 and any(raw[begin:end] in e for e in earlier)
+        assert bool(r.cut_spans) == (r.doc_id >= 6)
+
+
+CLASHING = ["_id", "_key", "_text_key", "_source", "_copies", "_turn", "_spans", "_keep_id", "_cuts", "_KEEP_KEY", "cut_spans"]
+
+
+@pytest.mark.parametrize(
+    "stage",
+    [quality.accepted, ngram_join.one_per_group, substrings.without_repeats, mixing.mixed_documents],
+    ids=lambda f: f.__name__,
+)
+def test_stages_pass_clashing_columns_through(spark, stage):
+    from pyspark.sql import functions as F
+
+    rows = [(i, prose(i, 120), "en", "web") for i in range(6)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    wide = plain.select("*", *(F.concat(F.lit(f"{c}:"), "doc_id").alias(c) for c in CLASHING))
+    found = stage(wide)
+    assert found.columns == wide.columns
+    kept = found.collect()
+    assert {r.doc_id for r in kept} == {r.doc_id for r in stage(plain).collect()}
+    assert all(r[c] == f"{c}:{r.doc_id}" for r in kept for c in CLASHING)
 
 
 PAGES = "page_id long, url string, html string, digest string, host string"
