@@ -287,6 +287,43 @@ def test_stages_pass_clashing_columns_through(spark, stage):
     assert all(r[c] == f"{c}:{r.doc_id}" for r in kept for c in CLASHING)
 
 
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "page-with-menu", "no-comments", "share-layout", "related"])
+def test_names_around_the_article_do_not_drop_it(name):
+    article = "<article><h1>Title</h1><p>One two.</p></article>"
+    for page in (
+        f"<body class='{name}'><nav>x</nav><main>{article}</main></body>",
+        f"<body><div class='{name}'><div class='ad'>Buy</div>{article}</div></body>",
+        f"<body><main class='{name}'>{article}</main><aside>{article}</aside></body>",
+    ):
+        assert extraction.main_text(page, None) == "Title One two."
+
+
+def test_elements_that_are_never_closed_lose_nothing():
+    for tag in ("button", "select", "object", "svg", "iframe", "noscript", "template"):
+        text = extraction.main_text(f"<article><p>One.</p><{tag} a='>'>x<p>Two.</p></article>", None)
+        assert text.startswith("One.") and text.endswith("Two.")
+        closed = f"<article><p>One.</p><{tag}>x</{tag.upper()} ><p>Two.</p></article>"
+        assert extraction.main_text(closed, None) == "One. Two."
+
+
+def test_later_articles_under_boilerplate_names_stay_out():
+    page = (
+        "<body><article><p>The text itself.</p></article><div class='comments'>"
+        "<article><p>Nice!</p></article></div></body>"
+    )
+    assert extraction.main_text(page, None) == "The text itself."
+
+
+def test_boilerplate_needs_three_differing_pages(spark):
+    def pages(n):
+        html = "<body><div><p class='a'>{}</p><p class='b'>Always the same words.</p></div></body>"
+        return [(i, "http://h.example/x", html.format(prose(i, 30)), "d", "h") for i in range(n)]
+
+    for n, kept in ((2, True), (3, False)):
+        found = extraction.extracted(spark.createDataFrame(pages(n), PAGES)).collect()
+        assert all(("Always" in r.text) == kept for r in found)
+
+
 PAGES = "page_id long, url string, html string, digest string, host string"
 
 

@@ -37,12 +37,17 @@ HELD = 100_000
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|button|object)\b"
+    r"|<(script|style|textarea|title)\b"
     r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?</\1\s*>|.*\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+#: Elements that go with their content, if they are closed before the next one opens.
+_DROPPED = {
+    tag: re.compile(rf"<(/?){tag}\b[^>]*>", re.IGNORECASE)
+    for tag in "noscript template svg iframe select button object".split()
+}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s "
@@ -60,6 +65,9 @@ _BOILERPLATE_NAMES = frozenset(
     "newsletter notice popup promo related respond share sharing sidebar social sponsor "
     "sponsored subscribe widget".split()
 )
+#: Words of a name that say what a block has around it, or has not; it is no such block then.
+_QUALIFIERS = frozenset("has no not with without layout".split())
+_NEVER_BOILERPLATE = frozenset("html body main".split())
 _MAIN = re.compile(r"(?:article|main)(?:[.#]|$)|.*[.#]main(?:[.#]|$)")
 _NAME = re.compile(r"[a-z]+")
 
@@ -70,28 +78,35 @@ def _attributes(raw: str) -> dict[str, str]:
     }
 
 
-def _component(tag: str, raw: str) -> tuple[str, bool]:
-    """An element as written in paths, and whether it is boilerplate by name."""
+def _names_boilerplate(name: str) -> bool:
+    parts = set(_NAME.findall(name))
+    return bool(parts & _BOILERPLATE_NAMES) and not parts & _QUALIFIERS
+
+
+def _component(tag: str, raw: str) -> tuple[str, bool, bool]:
+    """An element as written in paths; whether it is boilerplate by tag or state, and by name."""
     if not raw.strip(" /\n\t"):
-        return tag, tag in _BOILERPLATE_TAGS
+        return tag, tag in _BOILERPLATE_TAGS, False
     found = _attributes(raw)
     names = [n for key in ("class", "id", "role") for n in found.get(key, "").split()]
     hidden = "hidden" in found or found.get("aria-hidden") == "true"
     hidden = hidden or "display:none" in found.get("style", "").replace(" ", "")
-    parts = {part for name in names for part in _NAME.findall(name)}
-    out = tag in _BOILERPLATE_TAGS or hidden or bool(parts & _BOILERPLATE_NAMES)
+    named = tag not in _NEVER_BOILERPLATE and any(map(_names_boilerplate, names))
     label = ".".join([tag, *sorted(re.sub(r"\d+", "", name) for name in names)])
-    return label, out
+    return label, tag in _BOILERPLATE_TAGS or hidden, named
 
 
 def blocks(html: str) -> Iterator[tuple[str, str | None, int, bool]]:
     """Opened elements and texts of a page in order.
 
     ``(path, None, 0, out)`` for each opened block element, ``(path, text, link characters,
-    out)`` for each block of text; ``out`` tells boilerplate by name. Unfinished tags end
-    the page.
+    out)`` for each block of text; ``out`` tells boilerplate by tag, state or name. Names of
+    blocks around it never make the main element or the page's first article boilerplate.
+    Unfinished tags end the page; of dropped elements that are never closed, the tag goes.
     """
-    stack: list[tuple[str, str, bool]] = []  # tag, path, out
+    # Tag, path, boilerplate, boilerplate by tag or state.
+    stack: list[tuple[str, str, bool, bool]] = []
+    articles = 0
     held: list[str] = []
     linked = links = 0
 
@@ -114,13 +129,18 @@ def blocks(html: str) -> Iterator[tuple[str, str | None, int, bool]]:
         del stack[index:]
 
     last = 0
-    for match in _TOKEN.finditer(html):
+    while match := _TOKEN.search(html, last):
         if match.start() > last:
             add(html[last : match.start()])
         last = match.end()
         tag = (match[3] or "").lower()
         if not tag:
             continue
+        if tag in _DROPPED:
+            end = None if match[2] else _DROPPED[tag].search(html, last)
+            last = end.end() if end and end[1] else last
+            held.append(" ")
+            continue
         if tag == "br":
             held.append(" ")
         elif tag in _INLINE:
@@ -140,12 +160,16 @@ def blocks(html: str) -> Iterator[tuple[str, str | None, int, bool]]:
                 pop(len(stack) - 1)
             if stack and tag in _CLOSED_BY_SAME and stack[-1][0] == tag:
                 pop(len(stack) - 1)
-            name, out = _component(tag, match[4])
+            name, out, named = _component(tag, match[4])
             inner = any(x[0] in ("article", "main") for x in stack)
             if tag == "header" and not inner:
                 out = True
-            path, above = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            stack.append((tag, f"{path}>{name}", out or above))
+            path, above, strictly = stack[-1][1:] if stack else ("", False, False)
+            if not strictly and (tag == "main" or (tag == "article" and not articles)):
+                above = False
+            articles += tag == "article" and not (out or named or above)
+            strictly = strictly or out
+            stack.append((tag, f"{path}>{name}", strictly or named or above, strictly))
             yield stack[-1][1], None, 0, stack[-1][2]
     if last < len(html):
         rest = html[last:]
@@ -338,7 +362,8 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Null html is empty and has an empty text. Pages without host are one host. A host of one
     page has no template, and its page is judged alone, as are pages that lack their host's
-    article subtree. Repeated rows count as pages. An empty table gives an empty result.
+    article subtree. Text that is equal on all pages of a host goes from ``LEAST_ALIKE``
+    differing pages on; with fewer there is no telling, so it stays unless named as boilerplate. Repeated rows count as pages. An empty table gives an empty result.
     """
     rows = pages.select(
         "page_id",
