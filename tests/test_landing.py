@@ -130,3 +130,53 @@ def test_compact_json(spark):
     row = spark.createDataFrame([("é", None)], "a string, b string")
     text = row.select(landing.compact_json(F.struct("a", "b")).alias("j")).first()["j"]
     assert text == '{"a":"é","b":null}'
+
+
+def stored_pages(spark, path):
+    name = F.regexp_extract("source_file", r"([^/]+)\.json$", 1)
+    found = landing.scan_payload_lines(spark, str(path), name, F.lit(1), F.lit("2026-01-01"))
+    pages = {}
+    for r in found.orderBy("run_id", "page_no").collect():
+        pages.setdefault(r.run_id, []).append((r.page_no, r.payload))
+    return found, pages
+
+
+def test_large_payload_files_are_read_by_several_tasks(spark, tmp_path):
+    pages = [f'{{"n":{i},"text":"{"é" * (i % 40)} , ]}} \\n"}}' for i in range(3000)]
+    document = '{"pages":[\n' + ",\n".join(pages) + "\n]}\n"
+    (tmp_path / "long.json").write_text(document)
+    (tmp_path / "short.json").write_text('{"pages":[\n{"n":0}\n]}')
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20000")
+    try:
+        found, stored = stored_pages(spark, tmp_path)
+        tasks = [n for n in found.rdd.glom().map(len).collect() if n]
+    finally:
+        spark.conf.set(size, before)
+    assert stored["long"] == list(enumerate(pages, 1)) and stored["short"] == [(1, '{"n":0}')]
+    assert len(tasks) > 5
+
+
+def test_payload_files_of_other_forms_are_parsed_whole(spark, tmp_path):
+    forms = {
+        "one_line": '{"pages":[{"n":0},{"n":1}]}',
+        "indented": '{\n  "pages": [\n    {\n      "n": 0\n    },\n    {"n": 1}\n  ]\n}\n',
+        "blank_lines": '{"pages":[\n\n{"n":0},\n{"n":1}\n]}',
+        "two_on_a_line": '{"pages":[\n{"n":0},{"n":1}\n]}',
+        "windows": '{"pages":[\r\n{"n":0},\r\n{"n":1}\r\n]}\r\n',
+    }
+    for name, document in forms.items():
+        (tmp_path / f"{name}.json").write_bytes(document.encode())
+    _, stored = stored_pages(spark, tmp_path)
+    for name in forms:
+        assert [(no, json.loads(payload)) for no, payload in stored[name]] == [(1, {"n": 0}), (2, {"n": 1})]
+
+
+@pytest.mark.parametrize(
+    "document", ['{"pages":[\n]}', '{"pages":[\n{"n":0}\n{"n":1}\n]}', '{"n":[\n{"n":0}\n]}', "[\n]"]
+)
+def test_payload_files_without_pages_fail(spark, tmp_path, document):
+    (tmp_path / "bad.json").write_text(document)
+    with pytest.raises(Exception, match="'pages' list"):
+        stored_pages(spark, tmp_path)

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import decisions
-from tidemark.operators.snapshots import Mart, as_of, current_submissions, expected_milestone
+from tidemark.operators.snapshots import (
+    Mart,
+    as_of,
+    current_submissions,
+    expected_milestone,
+    with_reviewer_names,
+)
 from tidemark.plans import metrics, views
 
 LATEST = utc("2026-08-17T02:00:00")
@@ -268,3 +274,16 @@ def test_queue_views(mart):
     shown = {r["builder"]: r for r in views.display_columns(data).collect()}
     assert (shown["reopen"]["status_slug"], shown["reopen"]["state_label"]) == ("in-review", "Closed")
     assert shown["mystery"]["updated_label"] == "9 days ago"
+
+
+def test_interventions_gather_names_of_current_submissions_only(spark, capsys):
+    """Assignments are joined before they are aggregated."""
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "submission_snapshot_key long, builder string")
+    named = spark.createDataFrame(
+        [(1, "b"), (1, "a"), (1, "b"), (3, None), (9, "z")], "submission_snapshot_key long, reviewer string"
+    )
+    found = with_reviewer_names(rows, named)
+    assert sorted(map(tuple, found.collect())) == [(1, "x", "a, b", 2), (2, "y", None, None), (3, None, None, None)]
+    found.explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.index("Aggregate") < plan.index("Join")

@@ -140,17 +140,35 @@ def latest_assignments(mart: Mart) -> DataFrame:
     )
 
 
+def _name_columns() -> list[Column]:
+    names = F.collect_set("reviewer")
+    return [
+        F.array_join(F.array_sort(names), ", ").alias("reviewer"),
+        F.size(names).cast("bigint").alias("reviewer_count"),
+    ]
+
+
 def reviewer_names(assignments: DataFrame, key: str) -> DataFrame:
     """Per key: distinct reviewer names in order, comma separated, and their number.
 
     Names are made distinct before the shuffle; the text per key is the result itself.
     """
-    names = F.collect_set("reviewer")
     return (
-        assignments.filter(F.col("reviewer").isNotNull())
-        .groupBy(key)
-        .agg(
-            F.array_join(F.array_sort(names), ", ").alias("reviewer"),
-            F.size(names).cast("bigint").alias("reviewer_count"),
-        )
+        assignments.filter(F.col("reviewer").isNotNull()).groupBy(key).agg(*_name_columns())
+    )
+
+
+def with_reviewer_names(rows: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Add names and number of each snapshot's reviewers, both null where it has none.
+
+    Rows must differ in ``submission_snapshot_key``. They are joined before the names are
+    gathered, so assignments of other snapshots are dropped as they are read.
+    """
+    named = assignments.filter(F.col("reviewer").isNotNull())
+    gathered = rows.join(named, "submission_snapshot_key", "left").groupBy(*rows.columns)
+    return gathered.agg(*_name_columns()).withColumns(
+        {
+            "reviewer": F.when(F.col("reviewer_count") > 0, F.col("reviewer")),
+            "reviewer_count": F.nullif("reviewer_count", F.lit(0)),
+        }
     )

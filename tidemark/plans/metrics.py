@@ -21,8 +21,8 @@ from tidemark.operators.snapshots import (
     final_milestone,
     latest_assignments,
     latest_extraction,
-    reviewer_names,
     with_labels,
+    with_reviewer_names,
 )
 
 
@@ -155,8 +155,10 @@ def progress_trend(mart: Mart) -> DataFrame:
 
 def classified_submissions(mart: Mart) -> DataFrame:
     """Current submission per builder with schedule, reviewers and next step."""
-    current = with_labels(mart, current_submissions(mart))
-    reviewers = reviewer_names(latest_assignments(mart), "submission_snapshot_key")
+    # Assignments meet the current submissions first, so that only theirs are gathered.
+    current = with_reviewer_names(
+        with_labels(mart, current_submissions(mart)), latest_assignments(mart)
+    )
     number = F.col("milestone_number")
     step = next_step(
         F.col("raw_status"),
@@ -166,8 +168,7 @@ def classified_submissions(mart: Mart) -> DataFrame:
         F.col("final_number"),
     )
     return (
-        current.join(reviewers, "submission_snapshot_key", "left")
-        .withColumns(
+        current.withColumns(
             {
                 "expected_number": expected_milestone(mart).scalar(),
                 "final_number": final_milestone(mart).scalar(),

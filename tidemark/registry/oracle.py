@@ -445,6 +445,12 @@ _silver(
        FROM (SELECT run_id, o_orderkey // 100 + 1 AS page_no, min(issue_id) AS first_issue_id
              FROM silver GROUP BY ALL)""",
 )
+_silver(
+    "payload_files",
+    """SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY page_no) AS page_no, first_issue_id
+       FROM (SELECT run_id, o_orderkey // 100 + 1 AS page_no, min(issue_id) AS first_issue_id
+             FROM silver GROUP BY ALL)""",
+)
 ORACLE["payload_quarantine"] = """
 SELECT event_id, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'decoded' END AS outcome
 FROM events"""
@@ -822,3 +828,36 @@ _mart(
         )
     ),
 )
+
+_TABLE_NAMES = (
+    "ops.pipeline_attempts",
+    "ops.stage_failures",
+    "bronze.raw_issue_extractions",
+    "silver.issue_submissions",
+    "ops.silver_loads",
+    "ops.gold_loads",
+    "gold.dim_issue",
+    "gold.dim_reviewer",
+    "gold.dim_state",
+    "gold.dim_status",
+    "gold.dim_milestone",
+    "gold.dim_date",
+    "gold.fact_submission_snapshot",
+    "gold.bridge_submission_reviewer",
+)
+_silver(
+    "create_tables",
+    f"""SELECT table_name, CAST(0 AS BIGINT) AS rows_when_created, CASE table_name
+               WHEN 'silver.issue_submissions' THEN (SELECT count(*) FROM silver)
+               WHEN 'ops.silver_loads' THEN (SELECT count(DISTINCT run_id) FROM silver)
+               WHEN '{_TABLE_NAMES[-2]}' THEN 0 END AS rows_when_loaded
+        FROM (VALUES {", ".join(f"('{name}')" for name in _TABLE_NAMES)}) AS t(table_name)""",
+)
+_silver(
+    "column_contract",
+    """SELECT offer, CASE WHEN let_in THEN (SELECT count(*) FROM silver) ELSE 0 END AS rows_let_in
+       FROM (VALUES ('as declared', true), ('in another order', true), ('without state', false),
+                    ('with a column beyond it', false), ('with state twice', false),
+                    ('renamed', false)) AS t(offer, let_in)""",
+)
+ORACLE["metric_registry"] = ORACLE["dataset_build"]

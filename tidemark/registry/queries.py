@@ -334,6 +334,26 @@ def payload_documents(spark, folder):
     return split.select("run_id", "page_no", first.alias("first_issue_id"))
 
 
+@register
+def payload_files(spark, folder):
+    """Every run as one payload file, read in splits; one run's file has no lines to split at."""
+    home = scratch_path(spark, "payload-files")
+    lines = landing.payload_lines(_bronze(spark, folder))
+    by_line = F.col("run_id") != "run-1998"
+    order = ["run_id", "page_no"]
+    ordered = lines.filter(by_line).repartition("run_id").sortWithinPartitions(*order)
+    ordered.select("run_id", "value").write.partitionBy("run_id").text(home)
+    parts = F.transform(
+        F.array_sort(F.collect_list(F.struct("page_no", "value"))), lambda p: p["value"]
+    )
+    one_line = lines.filter(~by_line).groupBy("run_id").agg(F.array_join(parts, "").alias("value"))
+    one_line.select("run_id", "value").write.mode("append").partitionBy("run_id").text(home)
+    run = F.regexp_extract("source_file", "run_id=([^/]+)/", 1)
+    pages = landing.scan_payload_lines(spark, home, run, F.lit(1), F.col("modified_at"))
+    first = F.col("page.data.organization.projectV2.items.nodes")[0]["content"]["id"]
+    return landing.decode_pages(pages).select("run_id", "page_no", first.alias("first_issue_id"))
+
+
 @register
 def payload_quarantine(spark, folder):
     """Event properties read as pages after cutting the closing brace of errors."""
@@ -825,6 +845,68 @@ def failed_publish(spark, folder):
     return counts
 
 
+def _row_counts(names, frame_of, label):
+    counts = None
+    for name in names:
+        one = frame_of(name).agg(F.count("*").alias("row_count"))
+        one = one.select(F.lit(name).alias(label), "row_count")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+@register
+def create_tables(spark, folder):
+    """Rows per table: all created empty, some loaded, then created once more."""
+    warehouse = Warehouse(spark, scratch_path(spark, "created"))
+    warehouse.create_tables()
+    empty = _row_counts(schemas.TABLES, warehouse.read, "table_name")
+    empty = empty.withColumnRenamed("row_count", "rows_when_created")
+    # The empty counts are taken before anything is loaded.
+    home = scratch_path(spark, "created-counts")
+    empty.write.parquet(home)
+    Pipeline(warehouse, orderboard.RULES).load_silver(_silver(spark, folder))
+    warehouse.create_tables()
+    loaded = _row_counts(
+        [schemas.SILVER.name, schemas.SILVER_LOADS.name, schemas.FACT.name], warehouse.read, "table_name"
+    )
+    return spark.read.parquet(home).join(loaded, "table_name", "left").select(
+        "table_name", "rows_when_created", F.col("row_count").alias("rows_when_loaded")
+    )
+
+
+@register
+def column_contract(spark, folder):
+    """The test board's rows offered to silver with other columns: who is let in."""
+    rows = _silver(spark, folder)
+    offers = {
+        "as declared": rows,
+        "in another order": rows.select(*reversed(rows.columns)),
+        "without state": rows.drop("state"),
+        "with a column beyond it": rows.withColumn("remark", F.lit("")),
+        "with state twice": rows.select("*", "state"),
+        "renamed": rows.withColumnRenamed("state", "issue_state"),
+    }
+    verdicts = None
+    for offer, frame in offers.items():
+        try:
+            let_in = quality.require_columns(frame, schemas.SILVER.columns, "silver")
+        except ValueError:
+            let_in = None
+        counted = (let_in if let_in is not None else rows.limit(0)).groupBy("run_id").count()
+        one = counted.agg(
+            F.lit(offer).alias("offer"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows_let_in")
+        )
+        verdicts = one if verdicts is None else verdicts.unionByName(one)
+    return verdicts
+
+
+@register
+def metric_registry(spark, folder):
+    """Rows of each registered metric, found by name."""
+    mart = snapshot_mart(spark, folder)
+    return _row_counts(metrics.METRICS, lambda name: metrics.metric(mart, name), "dataset")
+
+
 @register
 def dataset_build(spark, folder):
     """Rows per metric dataset, as written."""

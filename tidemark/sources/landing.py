@@ -11,10 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators.joins import broadcast_within
+from tidemark.session import scratch_path
 
 CORRUPT = "_corrupt"
 
@@ -80,6 +83,121 @@ def explode_documents(documents: DataFrame, document: str = "document") -> DataF
     )
 
 
+def scan_payload_lines(
+    spark: SparkSession,
+    path: str,
+    run_id: Column,
+    attempt_number: Column,
+    extracted_at: Column,
+) -> DataFrame:
+    """As :func:`scan_payload_documents`, with a large file read by several tasks.
+
+    Splits files whose pages stand on lines of their own, between a line ``{"pages":[`` and
+    a line ``]}``, as :func:`payload_lines` lays them out. Files of any other form are put
+    together again and parsed whole. Page numbers come from line counts by file block. These
+    are taken at once, by a first reading; the second one needs no shuffle of the pages.
+    """
+    text = F.btrim("line")
+    page = F.rtrim(text, F.lit(","))
+    # Parsed as the only page of a document, which leaves the same text as the whole document.
+    alone = F.from_json(
+        F.concat(F.lit('{"pages":['), page, F.lit("]}")),
+        f"pages array<string>, {CORRUPT} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    whole_page = (
+        page.startswith("{") & page.endswith("}") & alone[CORRUPT].isNull() & (F.size(alone["pages"]) == 1)
+    )
+    form = (
+        F.when(F.regexp_like(text, F.lit(r'^\{\s*"pages"\s*:\s*\[$')), "head")
+        .when(F.regexp_like(text, F.lit(r"^\]\s*\}$")), "foot")
+        .when(whole_page & (F.length(text) == F.length(page) + 1), "more")
+        .when(whole_page & (text == page), "page")
+        .otherwise("odd")
+    )
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    shapes = lines.select("source_file", "block", "place", form.alias("form"))
+    blocks = shapes.groupBy("source_file", "block").agg(
+        F.count("*").alias("n_lines"),
+        F.min("place").alias("first_place"),
+        F.max(F.when(F.col("form") == "page", F.col("place"))).alias("last_page"),
+        F.min_by("form", "place").alias("first_form"),
+        F.max_by("form", "place").alias("last_form"),
+        *(F.count_if(F.col("form") == f).alias(f) for f in ("head", "foot", "page", "odd")),
+    )
+    before = W.partitionBy("source_file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("offset", F.coalesce(F.sum("n_lines").over(before), F.lit(0)))
+    # One line for the start, one for the end, and between them pages, of which only the
+    # last lacks its comma.
+    last_page = F.col("offset") + F.col("last_page") - F.col("first_place")
+    files = blocks.groupBy("source_file").agg(
+        (
+            (F.sum("head") == 1)
+            & (F.sum("foot") == 1)
+            & (F.sum("page") == 1)
+            & (F.sum("odd") == 0)
+            & (F.min_by("first_form", "block") == "head")
+            & (F.max_by("last_form", "block") == "foot")
+            & (F.max(last_page) == F.sum("n_lines") - 2)
+        ).alias("by_line")
+    )
+    known = blocks.select("source_file", "block", "first_place", "offset").join(files, "source_file")
+    # Written, so that its rows are counted before they are broadcast: one per file block.
+    counts = scratch_path(spark, "payload-blocks")
+    known.write.parquet(counts)
+    known = broadcast_within(spark.read.schema(known.schema).parquet(counts))
+    placed = lines.join(known, ["source_file", "block"]).withColumn(
+        "line_no", F.col("offset") + F.col("place") - F.col("first_place")
+    )
+    stamps = {
+        "run_id": run_id,
+        "attempt_number": attempt_number.cast("int"),
+        "extracted_at": extracted_at.cast("timestamp"),
+    }
+    split = (
+        placed.filter(F.col("by_line") & form.isin("page", "more"))
+        .withColumns(stamps)
+        .select(*stamps, F.col("line_no").cast("bigint").alias("page_no"), alone["pages"][0].alias("payload"))
+    )
+    rest = (
+        placed.filter(~F.col("by_line"))
+        .groupBy("source_file", "modified_at")
+        .agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines"))
+        .withColumn("document", F.array_join(F.col("lines.line"), "\n"))
+        .withColumns(stamps)
+    )
+    return split.unionByName(explode_documents(rest))
+
+
+def payload_lines(pages: DataFrame) -> DataFrame:
+    """Bronze pages as lines ``run_id, page_no, value`` of payload documents, one per run.
+
+    Written in the order of ``page_no``, the lines of a run are one JSON document that
+    :func:`scan_payload_lines` can split.
+    """
+    last = pages.groupBy("run_id").agg(F.max("page_no").alias("last_page"))
+    comma = F.when(F.col("page_no") < F.col("last_page"), ",").otherwise("")
+    body = pages.join(last, "run_id").select(
+        "run_id", "page_no", F.concat("payload", comma).alias("value")
+    )
+    ends = last.select(
+        "run_id",
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).cast("bigint").alias("page_no"), F.lit('{"pages":[').alias("value")),
+                F.struct((F.col("last_page") + 1).alias("page_no"), F.lit("]}").alias("value")),
+            )
+        ),
+    )
+    return body.unionByName(ends)
+
+
 def scan_landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """Read landed pages stored as JSON lines."""
     return spark.read.schema(schemas.LANDED_PAGES).json(path, mode="FAILFAST")
