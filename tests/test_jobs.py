@@ -105,3 +105,37 @@ def test_a_page_stored_twice_is_rejected(spark, warehouse):
     with pytest.raises(StageError, match="duplicate page"):
         Pipeline(warehouse).store_extractions(pages.unionByName(pages))
     assert warehouse.read("bronze.raw_issue_extractions").isEmpty()
+
+
+def test_pages_are_not_gathered_by_run(spark, warehouse, tmp_path, monkeypatch):
+    """Ledgers are joined to pages and rows without a shuffle by run, also the first time."""
+    plans = []
+    write = Warehouse.write
+
+    def watch(self, name, frame, *more, **options):
+        if name == schemas.RAW_EXTRACTIONS.name:
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        write(self, name, frame, *more, **options)
+
+    monkeypatch.setattr(Warehouse, "write", watch)
+    pipeline = Pipeline(warehouse)
+    path = str(tmp_path / "landed")
+    for run in ("run-1", "run-2"):
+        pages = bronze(spark, page(node("a")), run_id=run).withColumnRenamed("payload", "body")
+        pages.withColumn("request_cursor", F.lit(None).cast("string")).write.parquet(f"{path}/{run}")
+        pipeline.ingest(spark.read.parquet(f"{path}/{run}"))
+    pipeline.store_extractions(bronze(spark, page(node("b")), run_id="run-3"))
+    assert len(plans) == 3
+    for plan in plans:
+        assert "Exchange hashpartitioning(run_id" not in plan and "SortMergeJoin" not in plan
+
+    rows = warehouse.stored(schemas.SILVER.name)
+    failed = spark.createDataFrame([("run-1",)], "run_id string")
+    verdicts = []
+    monkeypatch.setattr(pipeline, "_keep", lambda frame: verdicts.append(frame) or frame)
+    monkeypatch.setattr(warehouse, "written", lambda name, load_id: spark.range(9).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != "run_id"),
+        F.concat(F.lit("run-"), F.col("id").cast("string")).alias("run_id"),
+    ))
+    pipeline._silver_verdicts("load", failed)
+    assert "BroadcastHashJoin [run_id" in verdicts[0]._jdf.queryExecution().executedPlan().toString()

@@ -30,8 +30,11 @@ def with_attempt_exists(incoming: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def new_attempts(incoming: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Incoming attempts without any recorded outcome."""
-    return incoming.join(attempts.select(*ATTEMPT), ATTEMPT, "left_anti")
+    """Incoming attempts without any recorded outcome.
+
+    The pages of an attempt stay where they are: a shuffle would gather each run in one task.
+    """
+    return incoming.join(broadcast_within(attempts.select(*ATTEMPT)), ATTEMPT, "left_anti")
 
 
 def success_rows(succeeded: DataFrame, started_at: Column, completed_at: Column) -> DataFrame:

@@ -35,7 +35,9 @@ class Warehouse:
         spec = self.tables[name]
         schema = T.StructType([*spec.schema.fields, *spec.stored_with.fields])
         if not exists(self.spark, self.path(name)):
-            return self.spark.createDataFrame([], schema)
+            # Known to be empty when a query is planned: no rows are shuffled to be joined with it.
+            empty = self.spark.range(0).filter(F.lit(False))
+            return empty.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
     def counting(self, name: str, load_id: str | None = None) -> DataFrame:
