@@ -180,3 +180,23 @@ def test_payload_files_without_pages_fail(spark, tmp_path, document):
     (tmp_path / "bad.json").write_text(document)
     with pytest.raises(Exception, match="'pages' list"):
         stored_pages(spark, tmp_path)
+
+
+def test_a_run_is_written_to_files_of_bounded_size(spark, tmp_path):
+    """Pages keep their place in the run, also where page numbers have gaps."""
+    numbers = [n for n in range(1, 24) if n != 7]
+    rows = [("run-1.a", 1, utc("2026-08-05T00:00:00"), n, f'{{"n":{n}}}') for n in numbers]
+    bronze = spark.createDataFrame(rows, schemas.RAW_EXTRACTIONS.schema)
+    parts, places = landing.file_parts(bronze, 5)
+    lines = landing.payload_lines(parts)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    lines = lines.repartition("run_id").sortWithinPartitions("run_id", "page_no")
+    lines.select("run_id", "value").write.partitionBy("run_id").text(str(tmp_path / "files"))
+    file = F.regexp_extract("source_file", "run_id=([^/]+)/", 1)
+    found = landing.scan_payload_lines(spark, str(tmp_path / "files"), file, F.lit(1), F.lit("2026-01-01"))
+    sizes = found.groupBy("run_id").count().orderBy("run_id").collect()
+    assert [tuple(r) for r in sizes] == [("run-1.a.1", 5), ("run-1.a.2", 4), ("run-1.a.3", 5), ("run-1.a.4", 5), ("run-1.a.5", 3)]
+    before = {f"{r['run_id']}.{r['part']}": r["pages_before"] for r in places.collect()}
+    placed = {before[r["run_id"]] + r["page_no"]: json.loads(r["payload"])["n"] for r in found.collect()}
+    assert placed == dict(enumerate(numbers, 1))
