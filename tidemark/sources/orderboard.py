@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators.silver import add_measures
 from tidemark.schemas import BoardRules
+from tidemark.session import scratch_path
 from tidemark.sources.landing import compact_json
 
 # Fixed values of the mapping.
@@ -229,7 +230,10 @@ def faulty_pages(spark: SparkSession, folder: str) -> DataFrame:
     whole. ``run-2001`` passes the page checks, but on its even pages the assignees are a number.
     ``run-twice`` has page 1 twice, ``run-untitled`` no title that names a milestone.
     """
-    pages = board_pages(spark, folder)
+    # Written, because the parts below read it seven times.
+    staged = scratch_path(spark, "board-pages")
+    board_pages(spark, folder).write.parquet(staged)
+    pages = spark.read.parquet(staged)
     first, last = pages.filter("run_id = 'run-1998'"), pages.filter("run_id = 'run-2001'")
     retried = pages.filter("run_id = 'run-2000'")
     cut = F.when(F.col("page_no") == 1, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
