@@ -13,3 +13,16 @@ def test_faulty_pages_are_built_once(spark):
     assert {r["run_id"] for r in pages.select("run_id").distinct().collect()} == {
         "run-1998", "run-2000", "run-2001", "run-twice", "run-untitled"
     }
+
+
+def test_items_are_shuffled_once(spark):
+    """By order; not first by order and supplier, and again by order."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        frame = orderboard.shipped_items(spark, FOLDER)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plan.count("Exchange hashpartitioning(") == 1
+    assert "Exchange hashpartitioning(l_orderkey" in plan

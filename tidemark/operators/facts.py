@@ -64,11 +64,18 @@ def add_date_keys(rows: DataFrame, dim_date: DataFrame, zone: str) -> DataFrame:
 
 
 def resolve_keys(silver: DataFrame, dimensions: Mapping[str, DataFrame], zone: str) -> DataFrame:
-    """Silver rows with all dimension keys of the fact."""
+    """Silver rows with all dimension keys of the fact.
+
+    Issues come last: if that join shuffles the rows, keys have replaced their texts by then.
+    """
+
+    def with_key(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
+        return lookup_key(rows, spec, dimensions[spec.table.name.removeprefix("gold.")])
+
     rows = silver
-    for spec in (DIM_ISSUE, DIM_STATE, DIM_STATUS, DIM_MILESTONE):
-        rows = lookup_key(rows, spec, dimensions[spec.table.name.removeprefix("gold.")])
-    return add_date_keys(rows, dimensions["dim_date"], zone)
+    for spec in (DIM_STATE, DIM_STATUS, DIM_MILESTONE):
+        rows = with_key(rows, spec)
+    return with_key(add_date_keys(rows, dimensions["dim_date"], zone), DIM_ISSUE)
 
 
 def number_snapshots(silver: DataFrame, path: str, start: int) -> tuple[DataFrame, int]:

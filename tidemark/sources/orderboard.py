@@ -51,13 +51,15 @@ def _snapshots_since(ordered_at: Column) -> Column:
 def shipped_items(spark: SparkSession, folder: str) -> DataFrame:
     """Per order: each supplier with its first shipping date, and the last date per snapshot.
 
-    Items are first reduced to one row per order and supplier, before any shuffle, and
-    only then grouped by order.
+    Items are shuffled once, by order; everything after that, the join with the orders too,
+    finds its rows in place.
     """
     shipped = F.col("l_shipdate").cast("timestamp")
     last = {f"last_{i}": at for i, at in enumerate(SNAPSHOTS)}
     per_supplier = (
         table(spark, folder, "lineitem")
+        .select("l_orderkey", "l_suppkey", "l_shipdate")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_suppkey")
         .agg(
             F.min(shipped).alias("first_shipped"),
