@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+from tidemark import schemas
+from tidemark.registry import tables
 from tidemark.sources import orderboard
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,3 +30,17 @@ def test_items_are_shuffled_once(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert plan.count("Exchange hashpartitioning(") == 1
     assert "Exchange hashpartitioning(l_orderkey" in plan
+
+
+def test_snapshot_rows_are_written_where_they_are(spark, monkeypatch):
+    """The board's three runs need no shuffle of all silver rows."""
+    loads = []
+    monkeypatch.setattr(tables, "_once", lambda spark, folder, kind, build: build(tables.Pipeline(None)))
+    monkeypatch.setattr(
+        tables, "Pipeline", lambda warehouse: SimpleNamespace(
+            load_silver=lambda rows, several_runs=True: loads.append((rows.columns, several_runs)),
+            catch_up_gold=lambda: loads.append("gold"),
+        )
+    )
+    tables.snapshot_warehouse(spark, FOLDER)
+    assert loads == [(schemas.SILVER.columns, False), "gold"]
