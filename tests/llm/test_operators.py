@@ -117,6 +117,28 @@ def test_dense_groups_are_joined_in_full(spark, monkeypatch):
     assert {r.component_id for r in found.collect()} == {0}
 
 
+def test_loose_groups_are_united_before_all_pairs_are_formed(spark, monkeypatch):
+    draw = random.Random(3)
+    base = prose(7, 150).split()
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for at in draw.sample(range(150), draw.choice([1, 2, 2, 2])):
+            w[at] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    formed = []
+
+    def counted(*args, across=ngram_join._cross_pairs):
+        pairs = across(*args)
+        formed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_cross_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.similar_components(docs, 4, 85).count() == 300
+    assert formed[0] < 300
+
+
 def test_mix_meets_targets(docs):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(corpus())

@@ -48,7 +48,7 @@ MOST_MATCHES = 4
 #: Cost of verifying a pair, in posting entries read.
 VERIFY_COST = 8
 #: Lists longer than this are first linked through so many pivots a turn, for so many turns.
-PIVOT_LIST, PIVOTS, PIVOT_TURNS = 32, 4, 2
+PIVOT_LIST, PIVOTS, PIVOT_TURNS = 32, 8, 4
 #: Bits of the parity sketch that rules out pairs before their sets are joined.
 SKETCH_BITS = 1024
 #: Texts, and shingles to count, that a task holds at a time.
