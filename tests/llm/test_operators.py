@@ -615,3 +615,31 @@ def test_cutting_texts_changes_no_ids(monkeypatch):
         monkeypatch.setattr(packing, "ENCODED_BYTES", held)
         found = packing._Encoder(packing.tokenizer_path())(pa.array(texts, pa.string()))
         assert [np.frombuffer(x, "<u4").tolist() for x in found] == want
+
+
+def test_encoding_takes_bounded_memory(monkeypatch):
+    """Neither a worker's memory of segments nor its arrays grow with the texts."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    texts = [prose(seed, 40) + f" new{seed} " + "漢" * 300 for seed in range(200)]
+    want = [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]
+    with monkeypatch.context() as m:
+        m.setattr(packing, "REMEMBERED", 50)
+        encode = packing._Encoder(packing.tokenizer_path())
+        for _ in range(2):
+            found = encode(pa.array(texts, pa.string()))
+            assert [np.frombuffer(x, "<u4").tolist() for x in found] == want
+            assert len(encode.known) + len(encode.before) <= 100
+            assert max(map(len, [*encode.known, *encode.before])) <= 64
+    column = pa.array([prose(seed, 400_000) for seed in (1, 2)], pa.string())
+    assert column.nbytes > 3 << 20
+    tracemalloc.start()
+    encode(column)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 << 20

@@ -28,16 +28,18 @@ from tidemark.llm.common import (
     text_bytes,
 )
 from tidemark.operators.keys import number_ranges
-from tidemark.session import scratch_path
+from tidemark.session import arrow_batches, scratch_path
 
 #: Longest sequence, a power of two.
 SEQUENCE = 1024
 #: Id that ends each document.
 END_ID = 0
-#: Bytes of text encoded at a time; bounds the memory of a task.
-ENCODED_BYTES = 1 << 22
-#: Segments whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: Bytes of text encoded at a time; with some 40 bytes for each, it bounds the memory of a task.
+ENCODED_BYTES = 1 << 20
+#: A worker remembers the ids of at most twice so many segments, none of them longer.
+REMEMBERED, REMEMBERED_BYTES = 150_000, 64
+#: Bytes of rows that Spark hands to a task at a time.
+BATCH_BYTES = 1 << 23
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -53,13 +55,9 @@ _WIDE_3 = np.array([int.from_bytes(c, "big") for c in _WIDE if len(c) == 3])
 _NARROW = np.zeros(256, bool)
 _NARROW[[i for i in range(128) if chr(i).isspace()]] = True
 #: Kinds of ASCII bytes: 1 letter, 2 digit, 3 other sign, 4 apostrophe; 0 the rest.
-_KIND = np.zeros(256, np.int64)
+_KIND = np.zeros(256, np.int8)
 for _c in range(33, 127):
     _KIND[_c] = 1 if chr(_c).isalpha() else 2 if chr(_c).isdigit() else 4 if chr(_c) == "'" else 3
-#: Whether a piece ends between two kinds. An apostrophe may begin a contraction.
-_ENDS = np.array(
-    [[0 < a < 4 and b > 0 and a != b and (a, b) != (3, 4) for b in range(5)] for a in range(5)]
-)
 #: Segments that the tokenizer gets as one text.
 TOGETHER = 64
 
@@ -88,7 +86,9 @@ def _cuts(data: np.ndarray) -> np.ndarray:
         wide |= np.isin((near[:, 4] << 16) + two[:, 5] + near[:, 6], _WIDE_3)
         cut[beside[wide]] = False
     kinds = _KIND[data]
-    cut[1:] |= _ENDS[kinds[:-1], kinds[1:]]
+    a, b = kinds[:-1], kinds[1:]
+    # A piece ends between two kinds. An apostrophe may begin a contraction.
+    cut[1:] |= (a != b) & (a > 0) & (a < 4) & (b > 0) & ~((a == 3) & (b == 4))
     return cut
 
 
@@ -104,7 +104,9 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Segments met of late, and those met before them.
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         names = self.tokenizer.get_vocab()
         # A byte-level tokenizer names an id by one character for each of its bytes.
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
@@ -112,10 +114,9 @@ class _Encoder:
 
     def _encode(self, segments: list[bytes]) -> list[bytes]:
         """Little-endian ids of each segment."""
-        new = [segment for segment in segments if segment not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = segments
+        found = [self.known.get(segment) or self.before.get(segment) for segment in segments]
+        missing = [i for i, raw in enumerate(found) if raw is None]
+        new = [segments[i] for i in missing]
         texts = [segment.decode() for segment in new]
         # Behind each other, words with a blank before them are cut as _cuts does.
         is_word = [
@@ -131,8 +132,8 @@ class _Encoder:
                     for k in range(0, len(part), together)
                 ]
                 ids = array("I")
-                for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-                    ids.extend(found.ids)
+                for text in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+                    ids.extend(text.ids)
                 # The bytes that ids stand for tell where a segment ends.
                 reached = np.cumsum(self.bytes_of[np.frombuffer(ids, np.uint32)])
                 ends = np.cumsum([len(new[i]) for i in part])
@@ -141,8 +142,17 @@ class _Encoder:
                     raise ValueError("The tokenizer joins what should be apart")
                 raw, stops = ids.tobytes(), (4 * last).tolist()
                 for i, first, stop in zip(part, [0, *stops], stops, strict=False):
-                    self.known[new[i]] = raw[first:stop]
-        return [self.known[segment] for segment in segments]
+                    found[missing[i]] = raw[first:stop]
+        self._remember(segments, found)
+        return found
+
+    def _remember(self, segments: list[bytes], found: list[bytes]) -> None:
+        """Keep what was met now; what has not been met for long is forgotten."""
+        for segment, raw in zip(segments, found, strict=True):
+            if len(segment) <= REMEMBERED_BYTES:
+                if len(self.known) >= REMEMBERED:
+                    self.before, self.known = self.known, {}
+                self.known[segment] = raw
 
     def __call__(self, column: pa.Array) -> list[bytes]:
         """Little-endian ids of each text of a string column (null: empty)."""
@@ -255,8 +265,10 @@ def packed(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) ->
     )
     order = [F.col("length").desc(), F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
     # Written first: range partitioning reads its input twice.
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        written = staged(narrow, "pieces")
     numbered = number_ranges(
-        staged(narrow, "pieces"), "sequence_id", order, scratch_path(docs.sparkSession, "packed"), 0
+        written, "sequence_id", order, scratch_path(docs.sparkSession, "packed"), 0
     )
     return numbered.withColumn("offset", F.lit(0).cast("bigint"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs begun within hand Python tasks batches of at most ``size`` bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, named by ``spark.checkpoint.dir``.
 
