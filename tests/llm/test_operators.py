@@ -139,6 +139,34 @@ def test_loose_groups_are_united_before_all_pairs_are_formed(spark, monkeypatch)
     assert formed[0] < 300
 
 
+def test_a_member_meets_each_list_once_before_its_pivots(spark):
+    """80 texts in 50 lists of 130: a row for each text and list, not for each of their pivots."""
+    rows = [
+        (s, node, 100, 1, 0 if node < 50 else node, 130, 0) for s in range(50) for node in range(130)
+    ]
+    columns = "shingle long, node long, n long, needs int, component long, texts long, largest long"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = ngram_join._pivot_pairs(spark.createDataFrame(rows, columns), 0, 85)
+        found = [(r.a, r.b) for r in pairs.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(set(found)) == len(found)
+    by_member = collections.defaultdict(set)
+    for a, b in found:
+        by_member[a].add(b)
+    assert sorted(by_member) == list(range(50, 130))
+    # All lists have the same pivots, one for each of the hashes that differ in their least.
+    assert len({frozenset(b) for b in by_member.values()}) == 1
+    assert by_member[50] <= set(range(50)) and 1 < len(by_member[50]) <= ngram_join.PIVOTS
+
+    def joined(plan):
+        own = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+        return own + sum(joined(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    assert joined(pairs._jdf.queryExecution().executedPlan()) == 50 * 80
+
+
 def test_mix_meets_targets(docs):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(corpus())

@@ -337,26 +337,31 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member outside a long list's largest component with that list's pivots of this turn."""
+    """Each member outside a long list's largest component with that list's pivots of this turn.
+
+    A member meets each of its lists once: the pivots of a list go along as one array. Its
+    lists mostly have the same pivots, and only the different ones become rows.
+    """
     long_lists = rows.filter(F.col("texts") > PIVOT_LIST)
     least = [
         F.min(F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)), "node", "n"))
         for k in range(PIVOTS)
     ]
+    chosen = F.transform(F.array(*least), lambda p: F.struct(p["node"].alias("b"), p["n"].alias("n_b")))
     pivots = (
         long_lists.filter("component = largest")
         .groupBy("shingle")
-        .agg(F.array(*least).alias("pivots"))
-        .select("shingle", F.explode("pivots").alias("pivot"))
-        .select("shingle", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("n_b"))
+        .agg(F.array_sort(F.array_distinct(chosen)).alias("pivots"))
     )
     return (
         long_lists.filter("component != largest")
         .select("shingle", F.col("node").alias("a"), F.col("n").alias("n_a"))
         .join(pivots, "shingle")
+        .groupBy("a", "n_a")
+        .agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+        .select("a", "n_a", F.inline("pivots"))
         .filter(_in_reach(percent))
         .select("a", "b")
-        .distinct()
     )
 
 
