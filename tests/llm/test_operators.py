@@ -227,6 +227,14 @@ def test_base_counts_equal_brute_force(docs):
         assert not (r.kept and r.base_failed)
 
 
+def test_distances_form_no_sum_per_count(docs):
+    rows = quality.features(docs).select("chars", "common", "chars_sum", "n_words").collect()
+    assert all((sum(r.chars), sum(r.common)) == (r.chars_sum, r.n_words) for r in rows)
+    plan = quality.judged(docs)._jdf.queryExecution().analyzed().toString()
+    shares = plan.split("transform(")[1:]
+    assert shares and not any("aggregate(" in share.split("lambdafunction(")[1] for share in shares)
+
+
 def test_strange_characters_are_rejected(spark):
     rows = [(i, prose(i, 300), "en") for i in range(30)]
     noisy = " ".join(f"{w}%%#{i}" for i, w in enumerate(prose(77, 300).split()))

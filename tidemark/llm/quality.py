@@ -28,6 +28,7 @@ BASE_WORDS, BASE_REPEATED = 50, 50
 _CODE = 33
 assert _CODE + len(COMMON_WORDS) < 127
 _NO_BLANK = r"[^\x20\x09-\x0D]"
+_PLACED = "array<struct<h:bigint,i:int>>"
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -35,23 +36,30 @@ def _count(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))
 
 
-def _distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two arrays of counts; null if either is all zero."""
+def _distance(p: Column, p_sum: Column, q: Column, q_sum: Column) -> Column:
+    """Jensen-Shannon distance of two arrays of counts; null if either is all zero.
 
-    def share(counts: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
+    The sums come along: one formed here would be formed again for every count.
+    """
+
+    def share(counts: Column, total: Column) -> Column:
         return F.transform(counts, lambda x: x / F.when(total > 0, total))
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
 
-    terms = F.zip_with(share(p), share(q), lambda x, y: (part(x, y) + part(y, x)) / 2)
+    terms = F.zip_with(
+        share(p, p_sum), share(q, q_sum), lambda x, y: (part(x, y) + part(y, x)) / 2
+    )
     total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """``doc_id, lang``, the base counts, and the two histograms of every row."""
+    """``doc_id, lang``, the base counts, and the two histograms of every row.
+
+    ``chars_sum`` is the sum of ``chars``; that of ``common`` is ``n_words``.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         "doc_id",
@@ -80,8 +88,9 @@ def features(docs: DataFrame) -> DataFrame:
     )
     again = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+    # Without repeats no window is placed at all.
     rows = rows.withColumn(
-        "placed", F.when(again, F.sort_array(placed)).otherwise(F.slice(placed, 1, 0))
+        "placed", F.coalesce(F.when(again, F.sort_array(placed)), F.array().cast(_PLACED))
     )
     repeated = F.filter(
         "placed",
@@ -138,13 +147,17 @@ def features(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "n_chars",
+        (known_sum + lower).cast("bigint").alias("chars_sum"),
         F.concat("known", F.array(lower)).alias("chars"),
         F.concat("hits", F.array(other)).alias("common"),
     )
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """``ref_lang, ref_chars, ref_common``: the histograms of all documents of each language."""
+    """The histograms of all documents of each language, and their sums.
+
+    ``ref_lang, ref_chars, ref_common, ref_chars_sum, ref_words``.
+    """
 
     def summed(name: str, size: int) -> Column:
         return F.array(*(F.sum(F.get(name, F.lit(i)).cast("bigint")) for i in range(size)))
@@ -152,6 +165,8 @@ def references(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("lang").alias("ref_lang")).agg(
         summed("chars", 7).alias("ref_chars"),
         summed("common", len(COMMON_WORDS) + 1).alias("ref_common"),
+        F.sum("chars_sum").alias("ref_chars_sum"),
+        F.sum("n_words").alias("ref_words"),
     )
 
 
@@ -171,8 +186,12 @@ def judged(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "*",
         base.alias("base_failed"),
-        _distance(F.col("chars"), F.col("ref_chars")).alias("char_distance"),
-        _distance(F.col("common"), F.col("ref_common")).alias("word_distance"),
+        _distance(
+            F.col("chars"), F.col("chars_sum"), F.col("ref_chars"), F.col("ref_chars_sum")
+        ).alias("char_distance"),
+        _distance(
+            F.col("common"), F.col("n_words"), F.col("ref_common"), F.col("ref_words")
+        ).alias("word_distance"),
     )
     chars, words = F.col("char_distance"), F.col("word_distance")
     far = (F.col("n_chars") >= LEAST_CHARS) & (chars > CHAR_DISTANCE)
