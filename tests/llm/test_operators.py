@@ -679,3 +679,35 @@ def test_encoding_takes_bounded_memory(monkeypatch):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 100 << 20
+
+
+def test_tasks_give_back_freed_memory():
+    """What a task has freed does not stay with the waiting worker."""
+    import re
+    from pathlib import Path
+
+    import pyarrow as pa
+    from tidemark.llm.common import frugal
+
+    def held() -> int:
+        found = re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+        return int(found[0]) >> 10
+
+    last = []
+
+    @frugal
+    def task(batches):
+        for batch in batches:
+            parts = [np.ones(7_000) for _ in range(4_000)]
+            last.append(np.ones(7_000))  # lies behind the freed ones
+            yield batch
+            del parts
+
+    batch, before = pa.RecordBatch.from_pydict({"x": [1]}), held()
+    reached = [held() for _ in task(iter([batch, batch]))]
+    assert min(reached) > before + 150 and held() < before + 50
+    for module, name in (
+        (packing, "cut"), (ngram_join, "count"), (ngram_join, "sign"), (ngram_join, "spread"),
+        (ngram_join, "sets"), (substrings, "cut"), (substrings, "possible"), (substrings, "clean"),
+    ):
+        assert f"@frugal\n    def {name}(batches)" in Path(module.__file__).read_text()

@@ -6,7 +6,9 @@ A *word* is a maximal run of characters other than blank and U+0009 to U+000D. H
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,30 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced(text), " "), "")
 
 
+def frugal(
+    task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task; at its end the worker gives memory that it has freed back to the system.
+
+    A worker waits for its next task, and what it keeps until then counts as its executor's.
+    """
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits, one to one."""
     values = values ^ (values >> _U64(32))

@@ -35,6 +35,7 @@ from tidemark.llm.common import (
     components,
     forget,
     fresh,
+    frugal,
     in_bitmap,
     staged,
     star_step,
@@ -107,6 +108,7 @@ def _common_shingles(docs: DataFrame, size: int) -> DataFrame:
             ["shingle", "texts"],
         )
 
+    @frugal
     def count(batches):
         held, entries = [], 0
         for batch in _slices(batches):
@@ -151,6 +153,7 @@ def _signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id, text_key, n, cls, prefix, sketch``: each text with its class and longest prefix."""
     common = docs.sparkSession.sparkContext.broadcast(_common_table(docs, size))
 
+    @frugal
     def sign(batches):
         for batch in _slices(batches):
             n, cls, prefix, sketches = [], [], [], []
@@ -192,6 +195,7 @@ def _postings(classes: DataFrame, percent: int) -> DataFrame:
     )
     bitmap = classes.sparkSession.sparkContext.broadcast(bitmap_of(counted, "shingle"))
 
+    @frugal
     def spread(batches):
         for batch in batches:
             lists = batch.column("prefix")
@@ -415,6 +419,7 @@ def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int
     )
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "text_key"))
 
+    @frugal
     def sets(batches):
         for batch in _slices(batches):
             kept = in_bitmap(bitmap.value, batch.column("text_key").to_numpy())

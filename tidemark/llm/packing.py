@@ -22,6 +22,7 @@ from tidemark.llm.common import (
     LONGEST_RUN,
     byte_letters,
     different_runs,
+    frugal,
     spread,
     staged,
     table,
@@ -219,6 +220,7 @@ def cut_documents(docs: DataFrame, path: str | None = None, longest: int = SEQUE
     """
     path = path or tokenizer_path()
 
+    @frugal
     def cut(batches):
         encode = _encoder(path)
         for batch in batches:

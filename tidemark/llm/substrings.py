@@ -22,6 +22,7 @@ from tidemark.llm.common import (
     bitmap_of,
     byte_letters,
     fresh,
+    frugal,
     in_bitmap,
     mix,
     staged,
@@ -156,6 +157,7 @@ def _windows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 def windowed(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, begin, end, digest`` of all windows, in bytes."""
 
+    @frugal
     def cut(batches):
         for batch in batches:
             for row, begin, end, digest in _windows(batch.column("text")):
@@ -194,6 +196,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     key = F.xxhash64("digest").alias("key")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(first.select(key), "key"))
 
+    @frugal
     def possible(batches):
         for batch in batches:
             kept = in_bitmap(bitmap.value, batch.column("key").to_numpy())
@@ -263,6 +266,7 @@ def deduplicated(docs: DataFrame, cuts: str = "cut_spans") -> DataFrame:
     )
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
+    @frugal
     def clean(batches):
         for batch in batches:
             texts, taken = [], []
