@@ -51,10 +51,77 @@ def _files(folder):
     return [f for f in Path(folder).rglob("part-*") if f.is_file()]
 
 
+def test_pages_are_the_same_by_block(spark, board):
+    pages = _rows(orderboard.board_pages(spark, board))
+    assert len(pages) > 6
+    assert _rows(orderboard.board_pages(spark, board, by_block=True)) == pages
 
 
+def test_submissions_are_not_shuffled_for_pages(spark, board, tmp_path, monkeypatch):
+    """Orders and items are, each once, by block; the third shuffle is that of the last page numbers."""
+    read, plans = orderboard.table, []
 
+    def table(spark, folder, name):
+        rows = read(spark, folder, name)
+        return F.broadcast(rows) if name in ("customer", "supplier") else rows
 
+    class Pages:
+        """Notes the plan at the time of writing."""
+
+        sparkSession = spark
+
+        def __init__(self, frame):
+            self.frame = frame
+
+        @property
+        def write(self):
+            plans.append(self.frame.select("*")._jdf.queryExecution().executedPlan().toString())
+            return self.frame.write
+
+    monkeypatch.setattr(orderboard, "table", table)
+    monkeypatch.setattr(orderboard, "ORDERS_PER_TASK", 3)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pages = Pages(orderboard.board_pages(spark, board, by_block=True))
+        orderboard.store_pages(pages, str(tmp_path / "pages"))
+    assert plans[0].count("Exchange hashpartitioning(") == 3
+    assert plans[0].count("Exchange hashpartitioning(block") == 2
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+
+
+def test_a_load_leaves_no_numbered_copies(spark, warehouse, tmp_path, monkeypatch):
+    """Fact and dimensions are in the mart then; what they were numbered from is gone."""
+    from tidemark.plans import jobs
+
+    monkeypatch.setattr(jobs, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{time.time_ns()}")
+    pipeline = jobs.Pipeline(warehouse)
+    pipeline.store_extractions(bronze(spark, page(node("a"))))
+    assert pipeline.catch_up_silver() and pipeline.catch_up_gold()
+    assert warehouse.read(schemas.FACT.name).count() == 1
+    left = [f.name for f in tmp_path.iterdir() if f.name.startswith(("fact", "gold.dim"))]
+    assert left == []
+
+
+@pytest.mark.parametrize("runs, by_run", [(1, False), (3, False), (5, True)])
+def test_silver_of_few_runs_is_not_shuffled_by_run(spark, warehouse, monkeypatch, runs, by_run):
+    from tidemark.plans.jobs import Pipeline
+
+    pipeline, spread = Pipeline(warehouse), []
+    for run in range(runs):
+        taken = f"2026-08-{run + 5:02d}T00:00:00"
+        pipeline.store_extractions(bronze(spark, page(node("a")), run_id=f"run-{run}", extracted_at=taken))
+    write = warehouse.write
+
+    def watch(name, frame, load_id=None, spread_by_partition=False):
+        if name == schemas.SILVER.name:
+            spread.append(spread_by_partition)
+        write(name, frame, load_id, spread_by_partition)
+
+    monkeypatch.setattr(warehouse, "write", watch)
+    assert pipeline.catch_up_silver()
+    assert spread == [by_run]
+    assert warehouse.read(schemas.SILVER.name).count() == runs
 
 
 
@@ -65,6 +132,17 @@ def _shuffle_files(spark):
     return {name for name in names if name.startswith("shuffle_")}
 
 
+def test_shuffled_rows_go_with_their_job(spark):
+    before = _shuffle_files(prepare_mart(spark))
+    frame = spark.range(1000).repartition(7, "id")
+    frame.write.format("noop").mode("overwrite").save()
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    # The same frame again: its rows are shuffled again.
+    assert len(frame.collect()) == len(frame.collect()) == 1000
+
 
 def test_a_task_decodes_few_pages_at_once(spark, tmp_path):
     """A reader's batch of a board's pages, of some 60 KB each, stays far below an executor's memory."""
