@@ -88,6 +88,55 @@ def test_submissions_are_not_shuffled_for_pages(spark, board, tmp_path, monkeypa
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
 
 
+def test_faulty_pages_are_stored_once(spark, board, tmp_path, monkeypatch):
+    """Nothing but the faulty board itself is written, and it has the pages it always had."""
+    staged = tmp_path / "faulty"
+    monkeypatch.setattr(orderboard, "scratch_path", lambda spark, label: str(tmp_path / label))
+    pages = orderboard.faulty_pages(spark, board, str(staged))
+    assert [f.name for f in tmp_path.iterdir()] == ["faulty"]
+    runs = orderboard.board_pages(spark, board).filter("page_no is not null").cache()
+    found = pages.filter("page_no is not null").withColumn("day", F.to_date("extracted_at"))
+
+    def of(frame, run):
+        return _rows(frame.filter(F.col("run_id") == run).select("page_no", "request_cursor", "body"))
+
+    whole = {run: of(runs, run) for run in ("run-1998", "run-2000", "run-2001")}
+    assert all(whole.values())
+    assert of(found, "run-1998") == whole["run-1998"]
+    first = [row for row in whole["run-1998"] if row[0] == "1"]
+    assert of(found, "run-twice") == sorted([*whole["run-1998"], *first])
+    untitled = [(*row[:2], row[2].replace('"title":"[M', '"title":"(M')) for row in whole["run-1998"]]
+    assert of(found, "run-untitled") == untitled
+    days = found.filter("run_id = 'run-untitled'").select("day").distinct().collect()
+    assert [str(r["day"]) for r in days] == ["1999-01-01"]
+    attempts = {n: of(found.filter(F.col("attempt_number") == n), "run-2000") for n in (1, 2)}
+    cut = [(*row[:2], row[2][:-1] if row[0] == "1" else row[2]) for row in whole["run-2000"]]
+    assert attempts == {1: cut, 2: whole["run-2000"]}
+    odd = [
+        (*row[:2], row[2].replace('"assignees":{', '"assignees":{"nodes":5,"was":{').replace('},"labels"', '}},"labels"'))
+        if row[0] == "2"
+        else row
+        for row in whole["run-2001"]
+    ]
+    assert of(found, "run-2001") == odd
+
+
+def test_landed_pages_go_once_bronze_holds_them(spark, board, tmp_path, monkeypatch):
+    read = orderboard.table
+
+    def table(spark, folder, name):
+        # An attempt has each page once and a run each order, so that there is something to load.
+        rows = read(spark, folder, name).dropna("any")
+        return rows if name == "lineitem" else rows.dropDuplicates([rows.columns[0]])
+
+    monkeypatch.setattr(orderboard, "table", table)
+    monkeypatch.setattr(tables, "scratch_path", lambda spark, label: str(tmp_path / label))
+    for build, made in ((tables.landed_warehouse, "landed"), (tables.faulty_warehouse, "faulty")):
+        warehouse = build(spark, board)
+        assert not (tmp_path / made).exists()
+        assert warehouse.read(schemas.RAW_EXTRACTIONS.name).count() > 3
+        stored = _files(warehouse.path(schemas.RAW_EXTRACTIONS.name))
+        assert stored and all(".zstd." in f.name for f in stored)
 
 
 def test_a_load_leaves_no_numbered_copies(spark, warehouse, tmp_path, monkeypatch):

@@ -61,8 +61,8 @@ def faulty_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
     def build(pipeline: Pipeline) -> None:
         path = scratch_path(spark, "faulty")
-        orderboard.faulty_pages(spark, folder).write.parquet(path)
-        pipeline.run(spark.read.parquet(path))
+        pages = orderboard.faulty_pages(spark, folder, path)
+        pipeline.run(pages, taken_in=lambda: folders.remove(spark, path))
 
     return _once(spark, folder, "faulty-run", build)
 

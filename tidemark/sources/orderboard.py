@@ -264,35 +264,39 @@ def store_pages(pages: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def faulty_pages(spark: SparkSession, folder: str) -> DataFrame:
+def faulty_pages(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
     """The board with runs that go wrong, each in its own way, besides one that does not.
 
     ``run-1998`` is whole. Of ``run-2000`` the first attempt has a cut page, the second is
     whole. ``run-2001`` passes the page checks, but on its even pages the assignees are a number.
     ``run-twice`` has page 1 twice, ``run-untitled`` no title that names a milestone.
+    The pages are written to ``path``, because what reads them does so more than once.
     """
-    # Written, because the parts below read it seven times.
-    staged = scratch_path(spark, "board-pages")
-    board_pages(spark, folder).write.parquet(staged)
-    pages = spark.read.parquet(staged)
-    first, last = pages.filter("run_id = 'run-1998'"), pages.filter("run_id = 'run-2001'")
-    retried = pages.filter("run_id = 'run-2000'")
+    pages = board_pages(spark, folder, by_block=True)
     cut = F.when(F.col("page_no") == 1, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
     number = F.replace(F.col("body"), F.lit('"assignees":{'), F.lit('"assignees":{"nodes":5,"was":{'))
     number = F.replace(number, F.lit('},"labels"'), F.lit('}},"labels"'))
     odd = F.when(F.col("page_no") % 2 == 0, number).otherwise(F.col("body"))
     untitled = F.replace(F.col("body"), F.lit('"title":"[M'), F.lit('"title":"(M'))
     later = F.col("extracted_at") + F.expr("INTERVAL 1 DAY")
-    parts = [
-        first,
-        retried.withColumn("body", cut),
-        retried.withColumn("attempt_number", F.lit(2)),
-        last.withColumn("body", odd),
-        first.filter("page_no = 1").withColumn("run_id", F.lit("run-twice")),
-        first.withColumn("run_id", F.lit("run-twice")),
-        first.withColumns({"run_id": F.lit("run-untitled"), "body": untitled, "extracted_at": later}),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    made = ("run_id", "attempt_number", "extracted_at", "body")
+
+    def version(**changes: Column) -> Column:
+        return F.struct(*(changes.get(c, F.col(c)).alias(c) for c in made))
+
+    twice = version(run_id=F.lit("run-twice"))
+    first = [version(), twice, version(run_id=F.lit("run-untitled"), body=untitled, extracted_at=later)]
+    # All that becomes of a page is made at once, so that its text is stored no more than that.
+    versions = (
+        F.when((F.col("run_id") == "run-1998") & (F.col("page_no") == 1), F.array(*first, twice))
+        .when(F.col("run_id") == "run-1998", F.array(*first))
+        .when(
+            F.col("run_id") == "run-2000",
+            F.array(version(body=cut), version(attempt_number=F.lit(2))),
+        )
+        .when(F.col("run_id") == "run-2001", F.array(version(body=odd)))
+    )
+    others = [c for c in pages.columns if c not in made]
+    parts = pages.select(*others, F.explode(versions).alias("version"))
+    parts = parts.select(*(f"version.{c}" if c in made else c for c in pages.columns))
+    return store_pages(parts, path or scratch_path(spark, "faulty"))
