@@ -173,6 +173,19 @@ def test_silver_of_few_runs_is_not_shuffled_by_run(spark, warehouse, monkeypatch
     assert warehouse.read(schemas.SILVER.name).count() == runs
 
 
+def test_payload_files_are_stored_compressed(spark, tmp_path, monkeypatch):
+    pages = [page(*(node(f"{n}-{i}") for i in range(40)), has_next=True, end_cursor=f"c{n}") for n in range(30)]
+    stored = bronze(spark, *pages, run_id="run-2000").unionByName(bronze(spark, *pages[:7], run_id="run-1998"))
+    monkeypatch.setattr(queries, "PAGES_PER_FILE", 4)
+    monkeypatch.setattr(queries, "_bronze", lambda spark, folder: stored)
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    found = [tuple(r) for r in queries.payload_files(spark, "").collect()]
+    expected = [(run, n + 1, f"{n}-0") for run, count in (("run-1998", 7), ("run-2000", 30)) for n in range(count)]
+    assert sorted(found) == expected
+    text = stored.agg(F.sum(F.length("payload")).alias("n")).first()["n"]
+    files = _files(tmp_path / "payload-files")
+    assert len(files) == 10 and sum(f.stat().st_size for f in files) < text / 4
+
 
 def _shuffle_files(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
